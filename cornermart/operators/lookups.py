@@ -1,0 +1,43 @@
+"""Joins of large facts to reference tables: broadcast only when the size is proven."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, functions as F
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A reference table whose row count was checked once, when it was loaded."""
+
+    frame: DataFrame
+    fits: bool
+    salts: int = 64
+
+    @classmethod
+    def of(cls, frame: DataFrame, max_rows: int, salts: int = 64) -> Lookup:
+        return cls(frame, frame.limit(max_rows + 1).count() <= max_rows, salts)
+
+    def join(self, facts: DataFrame, on: list[str], how: str, spread: str) -> DataFrame:
+        """Equi-join ``facts`` to the lookup.
+
+        A lookup above the bound is repeated once per salt and the facts of one key are
+        spread over the salts by ``spread``, so a store or currency holding a third of all
+        rows does not land in one task.
+        """
+        if self.fits:
+            return facts.join(F.broadcast(self.frame), on, how)
+        salt = F.pmod(F.xxhash64(spread), F.lit(self.salts)).cast("int")
+        salted = facts.withColumn("_salt", salt)
+        repeated = self.frame.withColumn(
+            "_salt", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1)))
+        )
+        return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
+
+
+def narrow(df: DataFrame, keys: DataFrame, on: str, max_rows: int) -> DataFrame:
+    """Keep the rows of ``df`` whose key is in ``keys``; few keys spare ``df`` its shuffle."""
+    keys = keys.select(on).distinct()
+    few = keys.limit(max_rows + 1).count() <= max_rows
+    return df.join(F.broadcast(keys) if few else keys, on, "left_semi")
