@@ -23,30 +23,42 @@ REFUND_COLUMNS = [
 # -- customers ---------------------------------------------------------------------------
 
 
-def online_customers(web: DataFrame) -> DataFrame:
-    return web.groupBy(F.col("customer_email").alias("customer_key")).agg(
-        F.lit(rules.ONLINE).alias("customer_type"), F.min("_run_date").alias("first_seen_run_date")
+def _first_seen(sightings: DataFrame) -> DataFrame:
+    """Sightings -> one row per key and type; the minimum combines map-side."""
+    return sightings.groupBy("customer_key", "customer_type").agg(
+        F.min("_run_date").alias("first_seen_run_date")
     )
 
 
-def store_customers(pos: DataFrame) -> DataFrame:
+def _online_sightings(web: DataFrame) -> DataFrame:
+    key, kind = F.col("customer_email").alias("customer_key"), F.lit(rules.ONLINE)
+    return web.select(key, kind.alias("customer_type"), "_run_date")
+
+
+def _store_sightings(pos: DataFrame) -> DataFrame:
     """Loyalty and walk-in identities from one scan."""
-    return pos.groupBy(
+    return pos.select(
         rules.store_customer_key().alias("customer_key"),
         rules.store_customer_type().alias("customer_type"),
-    ).agg(F.min("_run_date").alias("first_seen_run_date"))
+        "_run_date",
+    )
+
+
+def online_customers(web: DataFrame) -> DataFrame:
+    return _first_seen(_online_sightings(web))
 
 
 def loyalty_customers(pos: DataFrame) -> DataFrame:
-    return store_customers(pos.filter(F.col("customer_phone").isNotNull()))
+    return _first_seen(_store_sightings(pos.filter(F.col("customer_phone").isNotNull())))
 
 
 def walk_in_customers(pos: DataFrame) -> DataFrame:
-    return store_customers(pos.filter(F.col("customer_phone").isNull()))
+    return _first_seen(_store_sightings(pos.filter(F.col("customer_phone").isNull())))
 
 
 def customers(web: DataFrame, pos: DataFrame) -> DataFrame:
-    return online_customers(web).unionByName(store_customers(pos))
+    """All three identity kinds stacked, with a single shuffle."""
+    return _first_seen(_online_sightings(web).unionByName(_store_sightings(pos)))
 
 
 # -- orders ------------------------------------------------------------------------------
@@ -156,13 +168,17 @@ def refunds_with_delivery(web: DataFrame, shipments: DataFrame) -> DataFrame:
 
     A left outer join cannot split a hot right side, so it is written as inner plus anti: the
     inner part can be split on either side at run time and the anti part sees one row per order.
+    The join key is never NULL (a refund without order matches nothing), which makes both parts
+    read the same shuffle of the refunds.
     """
-    refunds, delivered = exploded_refunds(web), deliveries(shipments)
-    matched = refunds.join(delivered, "order_id")
-    pending = refunds.join(
-        delivered.select("order_id").distinct(), "order_id", "left_anti"
-    ).withColumn("delivered_at", F.lit(None).cast("timestamp_ntz"))
-    return matched.unionByName(pending).withColumn(
+    refunds = exploded_refunds(web).withColumn("_key", F.coalesce("order_id", F.lit("\0")))
+    delivered = deliveries(shipments).filter("order_id is not null")
+    delivered = delivered.withColumnRenamed("order_id", "_key")
+    matched = refunds.join(delivered, "_key")
+    pending = refunds.join(delivered.select("_key").distinct(), "_key", "left_anti")
+    pending = pending.withColumn("delivered_at", F.lit(None).cast("timestamp_ntz"))
+    both = matched.unionByName(pending).drop("_key")
+    return both.withColumn(
         "days_since_delivery", timefx.day_diff(F.col("delivered_at"), F.col("refund_ts"))
     )
 

@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from datetime import date, datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..contracts import PARTITION, SOURCES
 from ..operators import gold, quality, silver
@@ -100,11 +100,9 @@ def freshness(named: dict[str, DataFrame]) -> DataFrame:
             F.count("*").alias("n_rows"), F.max(PARTITION).alias("latest_run_date")
         ).select(F.lit(name).alias("table_name"), "n_rows", "latest_run_date")
         per_table = one if per_table is None else per_table.unionByName(one)
-    newest = per_table.agg(F.max("latest_run_date").alias("newest"))
-    lag = F.datediff("newest", "latest_run_date").alias("days_behind")
-    return per_table.crossJoin(F.broadcast(newest)).select(
-        "table_name", "n_rows", "latest_run_date", lag
-    )
+    newest = F.max("latest_run_date").over(Window.partitionBy())  # one row per table
+    lag = F.datediff(newest, "latest_run_date").alias("days_behind")
+    return per_table.select("*", lag)
 
 
 def run_day(

@@ -79,8 +79,18 @@ def replace_self(df: DataFrame, path: str) -> None:
 # -- partition writes --------------------------------------------------------------------
 
 
-def _rebalanced(df: DataFrame, partition: str) -> DataFrame:
-    """Group rows by partition value for few files; at run time a huge day is split again."""
+SMALL_WRITE = 2_000_000  # rows; below it a write is bound by its number of files, not by bytes
+
+
+def _rebalanced(df: DataFrame, partition: str, rows: int | None = None) -> DataFrame:
+    """Group rows by partition value for few files.
+
+    The run-time rebalance splits a huge day over several tasks, but packs a small write into
+    one task however many days it holds; a write known to be small is spread evenly instead.
+    """
+    if rows is not None and rows <= SMALL_WRITE:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(tasks, partition)
     return df.hint("rebalance", F.col(partition))
 
 
@@ -88,9 +98,10 @@ def _folder(partition: str) -> Column:
     return F.coalesce(F.col(partition).cast("string"), F.lit(NO_VALUE))
 
 
-def _values(df: DataFrame, partition: str) -> set[str]:
-    """Distinct partition values as folder names use them (one per calendar day)."""
-    return {row.p for row in df.select(_folder(partition).alias("p")).distinct().collect()}
+def _sizes(df: DataFrame, partition: str) -> dict[str, int]:
+    """Rows per partition value, as folder names spell it (one entry per calendar day)."""
+    counted = df.groupBy(_folder(partition).alias("p")).agg(F.count("*").alias("n"))
+    return {row.p: row.n for row in counted.collect()}
 
 
 def swap(staged: DataFrame, path: str, partition: str, doomed: set[str], sort: list[str] = ()) -> None:
@@ -100,17 +111,17 @@ def swap(staged: DataFrame, path: str, partition: str, doomed: set[str], sort: l
     the same table, so a failed run is simply run again.
     """
     spark = staged.sparkSession
-    shaped = _rebalanced(staged, partition)
+    kept = _sizes(staged, partition)
+    shaped = _rebalanced(staged, partition, sum(kept.values()))
     if sort:
         shaped = shaped.sortWithinPartitions(partition, *sort)
-    kept = _values(staged, partition)
     (
         shaped.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
-    for value in sorted(doomed - kept):
+    for value in sorted(doomed - kept.keys()):
         fs.remove(spark, f"{path}/{partition}={value}")
 
 
@@ -141,7 +152,7 @@ def upsert(
     staging = staging_path(s, name)
     batch_path, merged_path = f"{staging}/batch", f"{staging}/merged"
     batch.write.parquet(batch_path)
-    batch = spark.read.parquet(batch_path)
+    batch = spark.read.schema(batch.schema).parquet(batch_path)
     if not fs.exists(spark, path):
         swap(batch, path, partition, set(), sort)
         fs.remove(spark, staging)
@@ -153,11 +164,11 @@ def upsert(
         doomed_keys = doomed_keys.unionByName(doomed_rows.select(key))
     doomed_keys = doomed_keys.distinct()
     hit = narrow(target.select(key, partition), doomed_keys, key, s.broadcast_rows)
-    touched = _values(hit, partition) | _values(batch, partition)
+    touched = _sizes(hit, partition).keys() | _sizes(batch, partition).keys()
     inside = target.filter(_folder(partition).isin(sorted(touched)))
     rows = inside.join(doomed_keys, key, "left_anti").unionByName(batch.select(target.columns))
     rows.write.parquet(merged_path)
-    swap(spark.read.parquet(merged_path), path, partition, touched, sort)
+    swap(spark.read.schema(batch.schema).parquet(merged_path), path, partition, set(touched), sort)
     fs.remove(spark, staging)
 
 
