@@ -144,6 +144,13 @@ def silver_schema(name: str) -> StructType:
     return StructType.fromDDL(SILVER[name])
 
 
+def declared_schema(layer: str | None, name: str) -> StructType | None:
+    """Schema of a stored table where one is declared; others are read as written."""
+    if layer == "bronze" and name in CONTRACTS:
+        return bronze_schema(name)
+    return silver_schema(name) if layer == "silver" and name in SILVER else None
+
+
 def source(name: str) -> SourceSpec:
     return next(s for s in SOURCES if s.name == name)
 

@@ -137,24 +137,31 @@ def unique_report(tables: Tables) -> DataFrame:
     )
 
 
-def not_null_report(tables: Tables) -> DataFrame:
-    """NULLs per declared column, all columns of a table in one pass."""
+def counted_rows(df: DataFrame, table: str, broken: dict[tuple[str, str], Column]) -> DataFrame:
+    """Rows breaking each named (check, column) condition, all in one pass over the table."""
+    counts = df.agg(*[F.count_if(c).alias(f"c{i}") for i, c in enumerate(broken.values())])
+    cells = [
+        F.struct(*_finding(check, table, column), F.col(f"c{i}").alias("violations"))
+        for i, (check, column) in enumerate(broken)
+    ]
+    return counts.select(F.inline(F.array(*cells)))
 
-    def one(table: str, columns: tuple[str, ...]) -> DataFrame:
-        counts = tables[table].agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-        cells = F.explode(
-            F.array(
-                *[F.struct(F.lit(c).alias("name"), F.col(c).alias("violations")) for c in columns]
-            )
-        ).alias("c")
-        return counts.select(cells).select(
-            F.lit("not_null").alias("check_name"),
-            F.lit(table).alias("table_name"),
-            F.col("c.name").alias("column_name"),
-            F.col("c.violations").alias("violations"),
-        )
 
-    return _union(one(t, r.not_null) for t, r in RULES.items() if t in tables and r.not_null)
+def _nulls(rules: TableRules) -> dict[tuple[str, str], Column]:
+    return {("not_null", c): F.col(c).isNull() for c in rules.not_null}
+
+
+def _outside(rules: TableRules) -> dict[tuple[str, str], Column]:
+    return {("accepted_values", c): ~F.col(c).isin(*v) for c, v in rules.accepted.items()}
+
+
+def not_null_report(tables: Tables) -> DataFrame:
+    """NULLs per declared column."""
+    return _union(
+        counted_rows(tables[t], t, _nulls(r))
+        for t, r in RULES.items()
+        if t in tables and r.not_null
+    )
 
 
 def accepted_report(tables: Tables) -> DataFrame:
@@ -189,9 +196,22 @@ def relationship_report(tables: Tables) -> DataFrame:
 # -- business invariants -----------------------------------------------------------------
 
 
+def _cad_kept() -> Column:
+    return (F.col("currency") == "CAD") & (F.col("amount_usd") == F.col("amount_original"))
+
+
+def _rfm_total_differs() -> Column:
+    parts = ["monetary_score", "frequency_score", "recency_score", "tenure_bonus"]
+    return F.col("total_score") != sum((F.col(p) for p in parts[1:]), F.col(parts[0]))
+
+
+def _before_reference() -> Column:
+    return F.col("days_since_last_order") < 0
+
+
 def unconverted_cad(df: DataFrame) -> DataFrame:
     """CAD rows whose USD amount equals the original: the rate join found nothing."""
-    return df.filter((F.col("currency") == "CAD") & (F.col("amount_usd") == F.col("amount_original")))
+    return df.filter(_cad_kept())
 
 
 def duplicate_active(subscriptions: DataFrame) -> DataFrame:
@@ -201,7 +221,7 @@ def duplicate_active(subscriptions: DataFrame) -> DataFrame:
 
 
 def negative_recency(health: DataFrame) -> DataFrame:
-    return health.filter(F.col("days_since_last_order") < 0)
+    return health.filter(_before_reference())
 
 
 def reactivated_but_churned(subscriptions: DataFrame, churn: DataFrame) -> DataFrame:
@@ -241,8 +261,7 @@ def revenue_reconciliation(weekly: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def rfm_sum_broken(rfm: DataFrame) -> DataFrame:
-    parts = ["monetary_score", "frequency_score", "recency_score", "tenure_bonus"]
-    return rfm.filter(F.col("total_score") != sum((F.col(p) for p in parts[1:]), F.col(parts[0])))
+    return rfm.filter(_rfm_total_differs())
 
 
 def tenure_history_broken(
@@ -277,35 +296,39 @@ def tenure_history_broken(
 
 
 def run_checks(t: Tables, s: Settings) -> DataFrame:
-    """All checks over built tables as (check_name, table_name, column_name, violations)."""
-    columns = ["check_name", "table_name", "column_name", "violations"]
+    """All checks over built tables as (check_name, table_name, column_name, violations).
 
-    def counted(check: str, table: str, broken: DataFrame) -> DataFrame:
+    Everything that looks at single rows shares one pass per table; ``violations`` counts rows
+    there, and repeated keys, orphaned rows or failing customers in the others.
+    """
+    row_invariants = {
+        "stg_orders": {("cad_orders", "amount_usd"): _cad_kept()},
+        "stg_refunds": {("cad_refunds", "amount_usd"): _cad_kept()},
+        "fact_customer_health": {("negative_recency", "days_since_last_order"): _before_reference()},
+        "fact_customer_rfm": {("rfm_sum", "total_score"): _rfm_total_differs()},
+    }
+    row_checks = [
+        counted_rows(t[name], name, _nulls(r) | _outside(r) | row_invariants.get(name, {}))
+        for name, r in RULES.items()
+    ]
+
+    def counted(check: str, table: str, column: str, broken: DataFrame) -> DataFrame:
         found = broken.agg(F.count("*").alias("violations"))
-        return found.select(*_finding(check, table, ""), "violations")
+        return found.select(*_finding(check, table, column), "violations")
 
-    accepted = _union(
-        unexpected_values(t[table], c, values)
-        .agg(F.count("*").alias("violations"))
-        .select(*_finding("accepted_values", table, c), "violations")
-        for table, r in RULES.items()
-        for c, values in r.accepted.items()
-    )
     orders, refunds, subs = t["stg_orders"], t["stg_refunds"], t["stg_subscriptions"]
-    rfm, churn = t["fact_customer_rfm"], t["fact_subscription_churn"]
+    churn, rfm = t["fact_subscription_churn"], t["fact_customer_rfm"]
     alerts, weekly = t["fact_refund_alerts"], t["fact_weekly_revenue"]
-    invariants = [
-        counted("cad_orders", "stg_orders", unconverted_cad(orders)),
-        counted("cad_refunds", "stg_refunds", unconverted_cad(refunds)),
-        counted("duplicate_active", "stg_subscriptions", duplicate_active(subs)),
-        counted("negative_recency", "fact_customer_health", negative_recency(t["fact_customer_health"])),
-        counted("reactivated", "fact_subscription_churn", reactivated_but_churned(subs, churn)),
-        counted("rfm_sum", "fact_customer_rfm", rfm_sum_broken(rfm)),
-        counted("tenure_history", "fact_customer_rfm", tenure_history_broken(rfm, subs, orders, s)),
-        counted("refund_conservation", "fact_refund_alerts",
-                refund_conservation(alerts, refunds).filter("mismatch = 1")),
-        counted("revenue_reconcile", "fact_weekly_revenue",
-                revenue_reconciliation(weekly, orders).filter("mismatch = 1")),
+    lost = refund_conservation(alerts, refunds).filter("mismatch = 1")
+    unbalanced = revenue_reconciliation(weekly, orders).filter("mismatch = 1")
+    young = tenure_history_broken(rfm, subs, orders, s)
+    others = [
+        unique_report(t),
+        relationship_report(t).drop("orphan_keys"),
+        counted("duplicate_active", "stg_subscriptions", "customer_key", duplicate_active(subs)),
+        counted("reactivated", "fact_subscription_churn", "customer_key", reactivated_but_churned(subs, churn)),
+        counted("tenure_history", "fact_customer_rfm", "tenure_bonus", young),
+        counted("refund_conservation", "fact_refund_alerts", "daily_refunds", lost),
+        counted("revenue_reconcile", "fact_weekly_revenue", "total_revenue", unbalanced),
     ]
-    reports = [unique_report(t), not_null_report(t), accepted, relationship_report(t)]
-    return _union([r.select(*columns) for r in [*reports, *invariants]])
+    return _union([*row_checks, *others])

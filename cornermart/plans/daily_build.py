@@ -16,6 +16,7 @@ from ..settings import Settings
 from ..sources import bronze, seeds, tables
 from . import incremental
 
+SILVER = ("stg_customers", "stg_orders", "stg_refunds", "stg_subscriptions")
 GOLD = (
     "fact_weekly_revenue",
     "fact_subscription_churn",
@@ -77,11 +78,7 @@ def build_gold(spark: SparkSession, s: Settings) -> None:
 
 def check(spark: SparkSession, s: Settings, run_date: date | None = None) -> DataFrame:
     """Run all checks on the stored tables and append the results to their history."""
-    built = {
-        n: tables.table(spark, s, "silver", n)
-        for n in ("stg_customers", "stg_orders", "stg_subscriptions")
-    }
-    built["stg_refunds"] = incremental.stored(spark, s, "stg_refunds")
+    built = {n: tables.table(spark, s, "silver", n) for n in SILVER}
     built |= {n: tables.table(spark, s, "gold", n) for n in GOLD}
     results = quality.run_checks(built, s).withColumns(
         {"run_date": F.lit(run_date).cast("date"), "checked_at": F.current_timestamp()}

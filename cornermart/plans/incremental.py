@@ -37,7 +37,7 @@ def lookups(spark: SparkSession, s: Settings) -> tuple[Lookup, Lookup]:
 
 
 def stored(spark: SparkSession, s: Settings, name: str) -> DataFrame:
-    return tables.table(spark, s, "silver", name, silver_schema(name))
+    return tables.table(spark, s, "silver", name)
 
 
 def _dated_refunds(refunds: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def earlier_first_seen(target: DataFrame, batch: DataFrame) -> DataFrame:
 
 def _sources(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
     names = ("shopify_orders", "square_transactions", "shipstation_shipments")
-    return tuple(tables.bronze(spark, s, n) for n in names)
+    return tuple(tables.table(spark, s, "bronze", n) for n in names)
 
 
 def _upsert_orders(batch: DataFrame, s: Settings, doomed: DataFrame | None = None) -> None:
@@ -73,7 +73,7 @@ def _replace_refunds(spark: SparkSession, s: Settings, rates: Lookup) -> None:
 
 def refresh_subscriptions(spark: SparkSession, s: Settings) -> None:
     """Always rebuilt: the source is a snapshot."""
-    subs = silver.subscriptions(tables.bronze(spark, s, "recharge_subscriptions"))
+    subs = silver.subscriptions(tables.table(spark, s, "bronze", "recharge_subscriptions"))
     tables.replace(subs, s.path("silver", "stg_subscriptions"), sort=["customer_key"])
 
 

@@ -111,7 +111,7 @@ def _publish(
     rows = spark.read.schema(bronze_schema(spec.name)).parquet(staged)
     path = s.path("bronze", spec.name)
     if fs.glob(spark, f"{path}/*=*"):
-        tables.check_drift(tables.table(spark, s, "bronze", spec.name), spec.name)
+        tables.check_drift(spark.read.parquet(tables.current(spark, path)), spec.name)
     if spec.load_strategy == SNAPSHOT:
         tables.replace_self(rows, path)
     else:

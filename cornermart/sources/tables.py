@@ -7,7 +7,14 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ..contracts import PARTITION, ContractError, bronze_schema, schema_diff, signature
+from ..contracts import (
+    PARTITION,
+    ContractError,
+    bronze_schema,
+    declared_schema,
+    schema_diff,
+    signature,
+)
 from ..operators.lookups import narrow
 from ..settings import Settings
 from . import fs
@@ -19,8 +26,9 @@ NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of rows without a
 def table(
     spark: SparkSession, s: Settings, layer: str, name: str, schema: StructType | None = None
 ) -> DataFrame:
-    """A stored table by layer and name. A declared ``schema`` also reads a table without files."""
+    """A stored table by layer and name. With a declared schema it is readable before its first file."""
     path = s.path(layer, name)
+    schema = schema or declared_schema(layer, name)
     if schema is None:
         return spark.read.parquet(current(spark, path))
     if not fs.exists(spark, path):
@@ -28,10 +36,6 @@ def table(
     return spark.read.schema(schema).parquet(current(spark, path))
 
 
-def bronze(spark: SparkSession, s: Settings, name: str) -> DataFrame:
-    return table(spark, s, "bronze", name, bronze_schema(name))
-
-
 def has_table(spark: SparkSession, s: Settings, layer: str, name: str) -> bool:
     return fs.exists(spark, s.path(layer, name))
 

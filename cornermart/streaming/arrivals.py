@@ -12,6 +12,8 @@ from ..sources import bronze
 # Fixed value: a delivery is <source>_<day>.<csv|json>, or a folder of that name with part files.
 _DELIVERY = r"([a-z_]+)_(\d{4}-\d{2}-\d{2})\.(?:csv|json)(?:/[^/]*)?$"
 
+_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def deliveries(files: DataFrame) -> DataFrame:
     """(source, day) of each new file; only paths are looked at, never contents."""
@@ -40,6 +42,7 @@ def ingest_arrivals(spark: SparkSession, s: Settings, checkpoint: str) -> Stream
     """Process all files that arrived since the last call, then stop."""
     files = (
         spark.readStream.format("binaryFile")
+        .schema(_FILE_SCHEMA)
         .option("recursiveFileLookup", True)
         .load(s.raw)
         .select("path")

@@ -16,8 +16,7 @@ from ..sources import bronze, tables, validate
 from . import views
 from .views import Shop
 
-SILVER = ("stg_customers", "stg_orders", "stg_refunds", "stg_subscriptions")
-GOLD = daily_build.GOLD
+SILVER, GOLD = daily_build.SILVER, daily_build.GOLD
 CUTOFF = "2000-01-01"  # the stored part of the incremental demonstrations ends before this day
 
 

@@ -105,7 +105,7 @@ def test_short_rows_are_padded_and_wide_rows_refused(spark, lake):
     head = "ticket_id,requester_email,subject,created_at,tags,related_order_id\n"
     path.write_text(head + "Z1,a@x\n")
     assert bronze.load_day(spark, lake, source("zendesk_tickets"), DAY).rows == 1
-    assert tables.bronze(spark, lake, "zendesk_tickets").first().subject is None
+    assert tables.table(spark, lake, "bronze", "zendesk_tickets").first().subject is None
     path.write_text(head + "Z1,a@x,s,t,u,v,w,x\n")
     with pytest.raises(ContractError, match="1 rows wider than the header"):
         bronze.load_day(spark, lake, source("zendesk_tickets"), DAY)
@@ -234,7 +234,7 @@ def test_missing_file_rules(spark, lake):
         bronze.load_day(spark, lake, source("shopify_orders"), DAY)
     with pytest.raises(FileNotFoundError):
         files.resolve_all(spark, lake, source("shopify_orders"))
-    assert tables.bronze(spark, lake, "zendesk_tickets").count() == 0
+    assert tables.table(spark, lake, "bronze", "zendesk_tickets").count() == 0
 
 
 def test_empty_required_sources_are_refused(spark, lake):
@@ -250,7 +250,7 @@ def test_empty_required_sources_are_refused(spark, lake):
 def test_lineage_and_exact_types(spark, lake):
     d.write_json(raw(lake), "shopify_orders", "2026-08-03", [d.web("#1", total_price=0.1)])
     assert bronze.load_day(spark, lake, source("shopify_orders"), DAY).rows == 1
-    stored = tables.bronze(spark, lake, "shopify_orders")
+    stored = tables.table(spark, lake, "bronze", "shopify_orders")
     row = stored.first()
     assert (row._source_system, row._run_date) == ("shopify_orders", DAY)
     assert row._ingested_at is not None and row.total_price == Decimal("0.1000")
@@ -261,7 +261,7 @@ def test_lineage_and_exact_types(spark, lake):
 def test_day_with_no_refunds_keeps_its_type(spark, lake):
     d.write_json(raw(lake), "shopify_orders", "2026-08-03", [d.web("#1")])
     bronze.load_day(spark, lake, source("shopify_orders"), DAY)
-    refunds = tables.bronze(spark, lake, "shopify_orders").schema["refunds"].dataType
+    refunds = tables.table(spark, lake, "bronze", "shopify_orders").schema["refunds"].dataType
     assert refunds.simpleString() == CONTRACTS["shopify_orders"]["refunds"].dataType.simpleString()
 
 
@@ -272,7 +272,7 @@ def test_reloading_a_day_replaces_only_that_day(spark, lake):
     for _ in range(2):
         bronze.load_day(spark, lake, spec, DAY)
         bronze.load_day(spark, lake, spec, date(2026, 8, 4))
-    ids = lambda: sorted(r.order_id for r in tables.bronze(spark, lake, spec.name).collect())
+    ids = lambda: sorted(r.order_id for r in tables.table(spark, lake, "bronze", spec.name).collect())
     assert ids() == ["#1", "#2", "#3"]
     d.write_json(raw(lake), spec.name, "2026-08-03", [d.web("#9")])
     bronze.load_day(spark, lake, spec, DAY)
@@ -286,7 +286,7 @@ def test_optional_day_delivered_again_empty_removes_the_day(spark, lake):
     bronze.load_history(spark, lake, spec)
     d.write_csv(raw(lake), spec.name, "2026-08-03", [], list(d.ticket("Z")))
     bronze.load_day(spark, lake, spec, DAY)
-    assert [r.ticket_id for r in tables.bronze(spark, lake, spec.name).collect()] == ["Z2"]
+    assert [r.ticket_id for r in tables.table(spark, lake, "bronze", spec.name).collect()] == ["Z2"]
 
 
 def test_history_appends_days_and_takes_the_newest_snapshot(spark, lake):
@@ -294,10 +294,10 @@ def test_history_appends_days_and_takes_the_newest_snapshot(spark, lake):
         d.write_csv(raw(lake), "zendesk_tickets", day, [d.ticket(f"Z{day}{i}") for i in range(n)], list(d.ticket("Z")))
         d.write_json(raw(lake), "recharge_subscriptions", day, [d.sub(f"RC-{day}-{i}") for i in range(n + 1)])
     assert bronze.load_history(spark, lake, source("zendesk_tickets")).rows == 3
-    days = {str(r._run_date) for r in tables.bronze(spark, lake, "zendesk_tickets").collect()}
+    days = {str(r._run_date) for r in tables.table(spark, lake, "bronze", "zendesk_tickets").collect()}
     assert days == {"2026-08-03", "2026-08-05"}
     assert bronze.load_history(spark, lake, source("recharge_subscriptions")).rows == 2
-    got = tables.bronze(spark, lake, "recharge_subscriptions").collect()
+    got = tables.table(spark, lake, "bronze", "recharge_subscriptions").collect()
     assert {str(r._run_date) for r in got} == {"2026-08-05"} and len(got) == 2
 
 
@@ -306,7 +306,7 @@ def test_snapshot_load_replaces_everything(spark, lake):
     for day, n in (("2026-08-03", 3), ("2026-08-04", 1)):
         d.write_json(raw(lake), spec.name, day, [d.sub(f"RC-{i}") for i in range(n)])
         bronze.load_day(spark, lake, spec, date.fromisoformat(day))
-        assert tables.bronze(spark, lake, spec.name).count() == n
+        assert tables.table(spark, lake, "bronze", spec.name).count() == n
 
 
 def test_latest_snapshot_prunes_to_one_day(spark, tmp_path):
@@ -340,7 +340,7 @@ def test_hive_layouts(spark, lake):
     assert bronze.load_day(spark, hive, source("shopify_orders"), DAY).rows == 1
     assert bronze.load_history(spark, hive, source("shopify_orders")).rows == 1
     zone = lake.root + "/archive"
-    tables.write_hive_layout(tables.bronze(spark, hive, "shopify_orders"), zone)
+    tables.write_hive_layout(tables.table(spark, hive, "bronze", "shopify_orders"), zone)
     archived = list(Path(files.hive_folder(zone, "shopify_orders", DAY)).glob("*.parquet"))
     assert archived and spark.read.parquet(zone).first().order_id == "#1"
 
