@@ -53,10 +53,12 @@ def _checked(raw: DataFrame, spec: SourceSpec) -> tuple[DataFrame, Observation]:
     seen = Observation()
     if spec.format == "csv":
         return raw.observe(seen, F.count(OVERFLOW).alias("overflow")), seen
+    raw = validate.opened(raw, spec.name)
     checks = validate.value_checks(spec.name)
     counts = [F.count(validate.member(n)).alias(f"has_{n}") for n in checks]
     counts += [F.count_if(broken).alias(f"bad_{n}") for n, broken in checks.items()]
     counts.append(F.count_if(F.size(validate.undeclared(spec.name)) > 0).alias("undeclared"))
+    counts.append(F.count_if(F.col("_r").isNull()).alias("not_objects"))
     return validate.typed(raw.observe(seen, *counts), spec.name), seen
 
 
@@ -68,6 +70,8 @@ def _verify(raw: DataFrame, spec: SourceSpec, found: dict[str, int]) -> None:
             quoted = [tuple(r) for r in bad.limit(validate.SAMPLE).collect()]
             raise ContractError(f"[{spec.name}] {found['overflow']} rows wider than the header: {quoted}")
         return
+    if found["not_objects"]:
+        raise ContractError(f"[{spec.name}] {found['not_objects']} records are not JSON objects")
     names = CONTRACTS[spec.name].names
     present = {n for n in names if found[f"has_{n}"]}
     if found["undeclared"]:

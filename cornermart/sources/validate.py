@@ -22,11 +22,6 @@ from ..contracts import CONTRACTS
 SAMPLE = 5  # offenders quoted per column
 
 
-def _present(value: Column) -> Column:
-    """Neither absent nor JSON null."""
-    return value.isNotNull() & ~F.coalesce(F.is_variant_null(value), F.lit(True))
-
-
 def kind(value: Column) -> Column:
     """Coarse JSON kind: text, boolean, number, array, object or other."""
     shape = F.schema_of_variant(value)
@@ -40,51 +35,67 @@ def kind(value: Column) -> Column:
     )
 
 
+def _opened_type(dtype: DataType) -> str:
+    """One level of a type with everything below it left as VARIANT."""
+    if isinstance(dtype, StructType):
+        return "struct<" + ",".join(f"`{f.name}`:variant" for f in dtype.fields) + ">"
+    return "variant"
+
+
+def _broken_members(opened: Column, dtype: StructType) -> Column:
+    """NULL for anything but an object; members may be absent or null, undeclared ones are ignored."""
+    checks = [mismatches(opened[f.name], f.dataType) for f in dtype.fields]
+    return opened.isNull() | reduce(or_, checks)
+
+
+def _broken_element(element: Column, dtype: DataType) -> Column:
+    """Inside an array a null is not a value of the element type."""
+    if isinstance(dtype, StructType):
+        return _broken_members(element, dtype)
+    return F.is_variant_null(element) | mismatches(element, dtype)
+
+
 def mismatches(value: Column, dtype: DataType) -> Column:
-    """TRUE when a present VARIANT value does not have the declared type.
+    """TRUE when a VARIANT value does not have the declared type; absent and null values pass.
 
     Numbers must be exact in the declared decimal; booleans and text are never numbers; dates may
-    be text; struct members may be absent or null and undeclared members are ignored; types not
-    listed here pass.
+    be text; types not listed here pass.
     """
     shape = F.schema_of_variant(value)
+    absent = value.isNull() | F.is_variant_null(value)
     if isinstance(dtype, StringType):
-        return shape != "STRING"
+        return F.coalesce(~shape.isin("STRING", "VOID"), F.lit(False))
+    if isinstance(dtype, LongType):
+        return F.coalesce(~shape.isin("BIGINT", "VOID"), F.lit(False))
+    if isinstance(dtype, (DateType, TimestampType)):
+        return ~absent & ~shape.rlike("^(STRING|DATE|TIMESTAMP)")
     if isinstance(dtype, DecimalType):
         wide = F.try_variant_get(value, "$", "decimal(38,18)")
         stored = F.try_variant_get(value, "$", dtype.simpleString())
-        return (kind(value) != "number") | ~F.coalesce(wide == stored, F.lit(False))
-    if isinstance(dtype, LongType):
-        return shape != "BIGINT"
-    if isinstance(dtype, (DateType, TimestampType)):
-        return ~shape.rlike("^(STRING|DATE|TIMESTAMP)")
+        inexact = F.coalesce(wide != stored, F.lit(True))
+        return ~absent & (inexact | shape.isin("STRING", "BOOLEAN"))
     if isinstance(dtype, ArrayType):
-        elements = F.try_variant_get(value, "$", "array<variant>")
-        broken = F.exists(
-            elements,
-            lambda e: ~_present(e) | F.coalesce(mismatches(e, dtype.elementType), F.lit(True)),
-        )
-        return ~shape.startswith("ARRAY") | F.coalesce(broken, F.lit(True))
+        elements = F.try_variant_get(value, "$", f"array<{_opened_type(dtype.elementType)}>")
+        broken = F.exists(elements, lambda e: _broken_element(e, dtype.elementType))
+        return ~absent & F.coalesce(broken, F.lit(True))
     if isinstance(dtype, StructType):
-        members = [
-            _present(member) & F.coalesce(mismatches(member, f.dataType), F.lit(True))
-            for f in dtype.fields
-            for member in [F.try_variant_get(value, f"$.{f.name}", "variant")]
-        ]
-        return ~shape.startswith("OBJECT") | reduce(or_, members)
+        opened = F.try_variant_get(value, "$", _opened_type(dtype))
+        return ~absent & _broken_members(opened, dtype)
     return F.lit(False)
 
 
+def opened(raw: DataFrame, source_name: str) -> DataFrame:
+    """Add ``_r``: the declared members of each record, each still a VARIANT; NULL if no object."""
+    return raw.withColumn("_r", F.try_variant_get("v", "$", _opened_type(CONTRACTS[source_name])))
+
+
 def member(name: str) -> Column:
-    return F.try_variant_get("v", f"$.{name}", "variant")
+    return F.col("_r")[name]
 
 
 def value_checks(source_name: str) -> dict[str, Column]:
-    """Per declared column: does this record break it?"""
-    return {
-        f.name: _present(member(f.name)) & F.coalesce(mismatches(member(f.name), f.dataType), F.lit(True))
-        for f in CONTRACTS[source_name].fields
-    }
+    """Per declared column of an opened record: does it break its type?"""
+    return {f.name: mismatches(member(f.name), f.dataType) for f in CONTRACTS[source_name].fields}
 
 
 def undeclared(source_name: str) -> Column:
@@ -96,7 +107,7 @@ def undeclared(source_name: str) -> Column:
 def column_report(raw: DataFrame, source_name: str) -> DataFrame:
     """Columns missing from every record and columns nobody declared: (issue, column_name, n_rows)."""
     names = CONTRACTS[source_name].names
-    seen = raw.agg(
+    seen = opened(raw, source_name).agg(
         F.count("*").alias("n_rows"), *[F.count(member(n)).alias(f"has_{n}") for n in names]
     )
     absent = F.filter(
@@ -129,9 +140,9 @@ def violations(raw: DataFrame, source_name: str) -> DataFrame:
         )
         for name, broken in value_checks(source_name).items()
     ]
-    return raw.select(F.explode(F.filter(F.array(*offenders), lambda o: o.isNotNull())).alias("o"), "_file").select(
-        "o.*", "_file"
-    )
+    found = F.filter(F.array(*offenders), lambda o: o.isNotNull())
+    records = opened(raw, source_name)
+    return records.select(F.explode(found).alias("o"), "_file").select("o.*", "_file")
 
 
 def violation_counts(raw: DataFrame, source_name: str) -> DataFrame:
@@ -151,10 +162,6 @@ def describe_offenders(raw: DataFrame, source_name: str, column: str) -> str:
 
 def typed(raw: DataFrame, source_name: str) -> DataFrame:
     """Declared columns in declared types. Run the checks first: the getters themselves are lenient."""
-    return raw.select(
-        *[
-            F.try_variant_get("v", f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-            for f in CONTRACTS[source_name].fields
-        ],
-        "_file",
-    )
+    contract = CONTRACTS[source_name]
+    record = raw.select(F.try_variant_get("v", "$", contract.simpleString()).alias("r"), "_file")
+    return record.select("r.*", "_file")

@@ -114,6 +114,7 @@ def test_short_rows_are_padded_and_wide_rows_refused(spark, lake):
 def test_json_keeps_nested_values_and_types(spark, lake):
     path = d.write_json(raw(lake), "shopify_orders", "2026-08-03", [d.web("#1"), d.web("#2", total_price="9")])
     got = readers.read_json(spark, source("shopify_orders"), [str(path)])
+    got = validate.opened(got, "shopify_orders")
     kinds = [r[0] for r in got.select(validate.kind(validate.member("total_price"))).collect()]
     assert sorted(kinds) == ["number", "text"]
     typed = validate.typed(got, "shopify_orders").filter("order_id = '#1'").first()
@@ -217,6 +218,12 @@ def test_json_columns_missing_and_extra(spark, lake):
     assert not tables.has_table(spark, lake, "bronze", "shopify_orders")
 
 
+def test_records_must_be_objects(spark, lake):
+    (raw(lake) / "shopify_orders_2026-08-03.json").write_text(json.dumps([d.web("#1"), 5]))
+    with pytest.raises(ContractError, match="1 records are not JSON objects"):
+        bronze.load_day(spark, lake, source("shopify_orders"), DAY)
+
+
 def test_dates_accept_text(spark):
     from pyspark.sql.types import DateType, StringType
 
