@@ -163,17 +163,22 @@ def deliveries(shipments: DataFrame) -> DataFrame:
     )
 
 
-def refunds_with_delivery(web: DataFrame, shipments: DataFrame) -> DataFrame:
+def refunds_with_delivery(
+    web: DataFrame, shipments: DataFrame, earliest_only: bool = False
+) -> DataFrame:
     """Refund x delivery, keeping refunds without one; several deliveries repeat the refund.
 
     A left outer join cannot split a hot right side, so it is written as inner plus anti: the
     inner part can be split on either side at run time and the anti part sees one row per order.
     The join key is never NULL (a refund without order matches nothing), which makes both parts
-    read the same shuffle of the refunds.
+    read the same shuffle of the refunds. ``earliest_only`` keeps one delivery per order, so a
+    refund is never repeated.
     """
     refunds = exploded_refunds(web).withColumn("_key", F.coalesce("order_id", F.lit("\0")))
     delivered = deliveries(shipments).filter("order_id is not null")
     delivered = delivered.withColumnRenamed("order_id", "_key")
+    if earliest_only:
+        delivered = delivered.groupBy("_key").agg(F.min("delivered_at").alias("delivered_at"))
     matched = refunds.join(delivered, "_key")
     pending = refunds.join(delivered.select("_key").distinct(), "_key", "left_anti")
     pending = pending.withColumn("delivered_at", F.lit(None).cast("timestamp_ntz"))

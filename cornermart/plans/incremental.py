@@ -102,8 +102,8 @@ def update(spark: SparkSession, s: Settings) -> None:
         return rebuild(spark, s)
     web, pos, ship = _sources(spark, s)
     zones, rates = lookups(spark, s)
-    mark = watermark(stored(spark, s, "stg_orders"), ORDER_DAY)
-    fresh = F.lit(True) if mark is None else F.col(PARTITION) > F.lit(mark)
+    mark = tables.newest_partition(spark, s.path("silver", "stg_orders"), ORDER_DAY)
+    fresh = F.lit(True) if mark is None else F.col(PARTITION) > F.lit(mark).cast("date")
     new_web, new_pos = web.filter(fresh), pos.filter(fresh)
 
     path = s.path("silver", "stg_customers")

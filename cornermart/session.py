@@ -28,12 +28,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Cut lineage into reliable shared storage; survives the loss of executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh shared folder path for a table that one query writes and reads."""
     return f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, name: str = "cut") -> DataFrame:
+    """Cut lineage into a parquet table in the shared checkpoint folder.
+
+    It survives the loss of executors, and unlike an RDD checkpoint it is read column by column
+    and its size is known to the planner.
+    """
+    path = scratch(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

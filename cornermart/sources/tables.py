@@ -176,6 +176,13 @@ def upsert(
     fs.remove(spark, staging)
 
 
+def newest_partition(spark: SparkSession, path: str, partition: str) -> str | None:
+    """Largest partition value by folder name: no file is opened."""
+    folders = fs.glob(spark, f"{path}/{partition}=*")
+    values = [f.rsplit("=", 1)[1] for f in folders if not f.endswith(NO_VALUE)]
+    return max(values, default=None)
+
+
 # -- bronze ------------------------------------------------------------------------------
 
 

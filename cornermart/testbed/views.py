@@ -255,7 +255,7 @@ class Shop:
     def store(self, *names: str) -> "Shop":
         """Materialise the named tables in this order, as a lake would, so later ones read them."""
         for name in names:
-            self.__dict__[name] = materialise(getattr(self, name))
+            self.__dict__[name] = materialise(getattr(self, name), name)
         return self
 
     def tables(self, *names: str) -> dict[str, DataFrame]:

@@ -5,6 +5,8 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+import deliveries as d
+from cornermart import __main__ as main
 from cornermart.operators import gold, ranking, silver
 from cornermart.operators.lookups import Lookup, narrow
 from cornermart.settings import Settings
@@ -110,3 +112,66 @@ def test_settings_schema_names():
     s = Settings(root="/lake", default_schema="main")
     assert s.schema_for(None) == "main" and s.schema_for(" gold ") == "gold"
     assert s.path("gold", "t") == "/lake/gold/t"
+
+
+def test_hot_join_key_is_split_at_run_time(spark, tmp_path):
+    """A third of the refunds belong to one order: the join reads that order in several tasks."""
+    refund = F.struct(
+        F.concat(F.lit("R"), F.col("id")).alias("refund_id"), F.lit(1).cast("decimal(18,4)").alias("amount"),
+        F.lit("2026-08-09T00:00:00+00:00").alias("created_at"), F.sha2(F.col("id").cast("string"), 512).alias("reason"),
+    )
+    order = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
+    spark.range(0, 60_000, 1, 8).select(
+        order.alias("order_id"), F.sha2(F.col("id").cast("string"), 256).alias("customer_email"),
+        F.lit("USD").alias("currency"), F.lit("2026-08-01T00:00:00+00:00").alias("created_at"),
+        F.lit("2026-08-01").cast("date").alias("_run_date"), F.array(refund).alias("refunds"),
+    ).write.parquet(str(tmp_path / "web"))
+    spark.range(60_000).select(
+        order.alias("shopify_order_id"), F.lit("delivered").alias("status"),
+        F.lit("2026-08-05T00:00:00+00:00").alias("last_scan_at"),
+    ).dropDuplicates(["shopify_order_id"]).write.parquet(str(tmp_path / "ship"))
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "300k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        web, ship = (spark.read.parquet(str(tmp_path / n)) for n in ("web", "ship"))
+        got = silver.refunds_with_delivery(web, ship)
+        assert len(got.select("refund_id", "reason", "customer_key", "delivered_at").collect()) == 60_000
+        rows = got.collect()
+        assert len(rows) == 60_000 and all(r.delivered_at for r in rows)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan and "ReusedExchange" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_earliest_delivery_option(spark):
+    refund = d.refund("R", 1, "2026-08-09T00:00:00+00:00")
+    web = spark.createDataFrame(
+        [("#1", "a", "USD", "2026-08-01T00:00:00+00:00", [tuple(refund.values())])],
+        "order_id string, customer_email string, currency string, created_at string,"
+        " refunds array<struct<refund_id string, amount int, created_at string, reason string>>",
+    ).withColumn("_run_date", F.lit("2026-08-01").cast("date"))
+    ship = spark.createDataFrame(
+        [("#1", "delivered", "2026-08-05T00:00:00+00:00"), ("#1", "delivered", "2026-08-07T00:00:00+00:00")],
+        "shopify_order_id string, status string, last_scan_at string",
+    )
+    both = silver.refunds_with_delivery(web, ship)
+    assert sorted(r.days_since_delivery for r in both.collect()) == [2, 4]
+    one = silver.refunds_with_delivery(web, ship, earliest_only=True)
+    assert [r.days_since_delivery for r in one.collect()] == [4]
+
+
+def test_job_arguments():
+    a = main.arguments(["backfill", "--root", "/l", "--raw", "/r", "--date", "2026-08-30", "--until", "2026-09-02"])
+    assert len(main.days_of(a.date, a.until)) == 4 and not a.again
+    with pytest.raises(SystemExit):
+        main.arguments(["day", "--root", "/l", "--raw", "/r", "--date", "nonsense"])
