@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..contracts import PARTITION, silver_schema
+from ..contracts import PARTITION, bronze_schema, silver_schema
 from ..operators import silver
 from ..operators.lookups import Lookup, narrow
 from ..settings import Settings
@@ -52,9 +53,17 @@ def earlier_first_seen(target: DataFrame, batch: DataFrame) -> DataFrame:
     )
 
 
+FACTS = ("shopify_orders", "square_transactions", "shipstation_shipments")
+
+
 def _sources(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
-    names = ("shopify_orders", "square_transactions", "shipstation_shipments")
-    return tuple(tables.table(spark, s, "bronze", n) for n in names)
+    return tuple(tables.table(spark, s, "bronze", n) for n in FACTS)
+
+
+def _days(spark: SparkSession, s: Settings, name: str, keep: Callable[[str], bool]) -> DataFrame:
+    """Bronze days picked by ISO date."""
+    path = s.path("bronze", name)
+    return tables.partitions(spark, path, PARTITION, bronze_schema(name), keep)
 
 
 def _upsert_orders(batch: DataFrame, s: Settings, doomed: DataFrame | None = None) -> None:
@@ -100,23 +109,22 @@ def update(spark: SparkSession, s: Settings) -> None:
     """
     if not tables.has_table(spark, s, "silver", "stg_orders"):
         return rebuild(spark, s)
-    web, pos, ship = _sources(spark, s)
     zones, rates = lookups(spark, s)
     mark = tables.newest_partition(spark, s.path("silver", "stg_orders"), ORDER_DAY)
-    fresh = F.lit(True) if mark is None else F.col(PARTITION) > F.lit(mark).cast("date")
-    new_web, new_pos = web.filter(fresh), pos.filter(fresh)
+    new_web, new_pos, new_ship = (_days(spark, s, n, lambda d: not mark or d > mark) for n in FACTS)
 
     path = s.path("silver", "stg_customers")
     batch = silver.customers(new_web, new_pos)
     tables.replace_self(earlier_first_seen(stored(spark, s, "stg_customers"), batch), path)
 
     known = stored(spark, s, "stg_refunds")
-    delivered = silver.deliveries(ship.filter(fresh)).select("order_id").distinct()
+    delivered = silver.deliveries(new_ship).select("order_id").distinct()
     late = narrow(known, delivered, "order_id", s.broadcast_rows)
-    late_days = [r[0] for r in late.select(ORDER_DAY).distinct().collect()]
-    old_web = web.filter(F.col(PARTITION).isin(late_days) & ~fresh)
+    late_days = {r[0].isoformat() for r in late.select(ORDER_DAY).distinct().collect()}
+    old_web = _days(spark, s, FACTS[0], lambda d: mark and d <= mark and d in late_days)
     touched = new_web.unionByName(narrow(old_web, delivered, "order_id", s.broadcast_rows))
     touched = touched.filter(F.size("refunds") > 0)
+    ship = tables.table(spark, s, "bronze", "shipstation_shipments")
     relevant = narrow(ship, touched.withColumnRenamed("order_id", "shopify_order_id"),
                       "shopify_order_id", s.broadcast_rows)
     refunds = _dated_refunds(silver.refunds(touched, relevant, rates, s.refund_window_days))
@@ -134,9 +142,11 @@ def reprocess(spark: SparkSession, s: Settings, days: list[date]) -> None:
     """
     web, pos, _ = _sources(spark, s)
     zones, rates = lookups(spark, s)
-    again = F.col(PARTITION).isin(days)
-    gone = stored(spark, s, "stg_orders").filter(F.col(ORDER_DAY).isin(days))
-    _upsert_orders(silver.orders(web.filter(again), pos.filter(again), zones, rates), s, gone)
+    again = {day.isoformat() for day in days}.__contains__
+    path, schema = s.path("silver", "stg_orders"), silver_schema("stg_orders")
+    gone = tables.partitions(spark, path, ORDER_DAY, schema, again)
+    new_web, new_pos = (_days(spark, s, n, again) for n in FACTS[:2])
+    _upsert_orders(silver.orders(new_web, new_pos, zones, rates), s, gone)
     tables.replace_self(silver.customers(web, pos), s.path("silver", "stg_customers"))
     _replace_refunds(spark, s, rates)
     refresh_subscriptions(spark, s)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -36,6 +37,34 @@ def table(
     return spark.read.schema(schema).parquet(current(spark, path))
 
 
+def _partition_values(spark: SparkSession, path: str, partition: str) -> dict[str, str]:
+    """Partition value -> folder, from folder names alone."""
+    return {f.rsplit("=", 1)[1]: f for f in fs.glob(spark, f"{path}/{partition}=*")}
+
+
+def partitions(
+    spark: SparkSession,
+    path: str,
+    partition: str,
+    schema: StructType,
+    keep: Callable[[str], bool],
+) -> DataFrame:
+    """The partitions whose value passes ``keep``; the others are not even listed.
+
+    Daily jobs read a few days of a long history this way, so their cost does not grow with it.
+    """
+    folders = [f for v, f in _partition_values(spark, path, partition).items() if keep(v)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
+def newest_partition(spark: SparkSession, path: str, partition: str) -> str | None:
+    """Largest partition value by folder name: no file is opened."""
+    values = _partition_values(spark, path, partition).keys() - {NO_VALUE}
+    return max(values, default=None)
+
+
 def has_table(spark: SparkSession, s: Settings, layer: str, name: str) -> bool:
     return fs.exists(spark, s.path(layer, name))
 
@@ -169,20 +198,13 @@ def upsert(
     doomed_keys = doomed_keys.distinct()
     hit = narrow(target.select(key, partition), doomed_keys, key, s.broadcast_rows)
     touched = _sizes(hit, partition).keys() | _sizes(batch, partition).keys()
-    inside = target.filter(_folder(partition).isin(sorted(touched)))
+    inside = partitions(spark, path, partition, batch.schema, touched.__contains__)
     rows = inside.join(doomed_keys, key, "left_anti").unionByName(batch.select(target.columns))
     rows.write.parquet(merged_path)
     swap(spark.read.schema(batch.schema).parquet(merged_path), path, partition, set(touched), sort)
     fs.remove(spark, staging)
 
 
-def newest_partition(spark: SparkSession, path: str, partition: str) -> str | None:
-    """Largest partition value by folder name: no file is opened."""
-    folders = fs.glob(spark, f"{path}/{partition}=*")
-    values = [f.rsplit("=", 1)[1] for f in folders if not f.endswith(NO_VALUE)]
-    return max(values, default=None)
-
-
 # -- bronze ------------------------------------------------------------------------------
 
 
