@@ -28,7 +28,7 @@ def _refund(number: int, share: str) -> str:
     return f"""named_struct(
         'refund_id', concat('RF-', k, '-{number}'),
         'amount', cast(total * {share} as decimal(18,4)),
-        'created_at', concat(date_add(d, cast(k % 45 as int)), 'T', {_CLOCK}),
+        'created_at', concat(date_add(d, cast(k % 45 as int)), 'T', clock),
         'reason', case when k % 2 = 0 then 'damaged' else 'wrong_item' end)"""
 
 
@@ -44,18 +44,21 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shopify_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _orders(spark, sf_dir).selectExpr(
+    orders = _orders(spark, sf_dir).selectExpr(
+        "*", f"{_CLOCK} as clock", f"{_REFUND} as refunded"
+    )
+    return orders.selectExpr(
         "concat('#', k) as order_id",
         "concat('user', c, '@example.com') as customer_email",
-        f"concat(d, 'T', {_CLOCK}) as created_at",
+        "concat(d, 'T', clock) as created_at",
         "case when k % 13 = 0 then 'CAD' else 'USD' end as currency",
         "cast(total as decimal(18,4)) as total_price",
         "case when priority in ('1-URGENT', '2-HIGH') then 'recharge' else 'web' end as source_name",
-        f"case when {_REFUND} then 'partially_refunded' else 'paid' end as financial_status",
-        f"case when k % 37 = 0 then concat(d, 'T', {_CLOCK}) end as cancelled_at",
-        f"""case when k % 46 = 1 then array({_refund(1, "0.4")}, {_refund(2, "0.1")})
-                 when {_REFUND} then array({_refund(1, "0.4")})
-                 else array() end as refunds""",
+        "case when refunded then 'partially_refunded' else 'paid' end as financial_status",
+        "case when k % 37 = 0 then concat(d, 'T', clock) end as cancelled_at",
+        f"""case when refunded
+            then slice(array({_refund(1, "0.4")}, {_refund(2, "0.1")}), 1, if(k % 46 = 1, 2, 1))
+            else array() end as refunds""",
         """array(named_struct('sku', concat('SKU-', k % 50), 'name', 'coffee', 'qty', 1L,
             'price', cast(total as decimal(18,4)))) as line_items""",
         "d as _run_date",
