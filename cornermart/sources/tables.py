@@ -220,7 +220,8 @@ def check_drift(stored: DataFrame, name: str) -> None:
 
 def audit(spark: SparkSession, s: Settings, name: str) -> str:
     """Difference between a stored bronze table, merged over all its files, and its contract."""
-    stored = spark.read.option("mergeSchema", True).parquet(s.path("bronze", name))
+    path = current(spark, s.path("bronze", name))
+    stored = spark.read.option("mergeSchema", True).parquet(path)
     return schema_diff(stored.schema, bronze_schema(name))
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..contracts import source
+from ..contracts import PARTITION, SNAPSHOT, SOURCES, source
 from ..settings import Settings
-from ..sources import bronze
+from ..sources import bronze, tables
 
 # Fixed value: a delivery is <source>_<day>.<csv|json>, or a folder of that name with part files.
 _DELIVERY = r"([a-z_]+)_(\d{4}-\d{2}-\d{2})\.(?:csv|json)(?:/[^/]*)?$"
@@ -16,11 +18,17 @@ _FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content
 
 
 def deliveries(files: DataFrame) -> DataFrame:
-    """(source, day) of each new file; only paths are looked at, never contents."""
+    """(source, day) of each new file of a known source; contents are not looked at."""
     return files.select(
         F.regexp_extract("path", _DELIVERY, 1).alias("source"),
-        F.regexp_extract("path", _DELIVERY, 2).cast("date").alias("day"),
-    ).filter("source <> ''")
+        F.regexp_extract("path", _DELIVERY, 2).try_cast("date").alias("day"),
+    ).filter(F.col("source").isin([s.name for s in SOURCES]) & F.col("day").isNotNull())
+
+
+def _outdated(spark: SparkSession, s: Settings, name: str, day: date) -> bool:
+    """A snapshot older than the stored one arrived late."""
+    newest = tables.table(spark, s, "bronze", name).agg(F.max(PARTITION)).first()[0]
+    return newest is not None and day < newest
 
 
 def load_arrivals(spark: SparkSession, s: Settings):
@@ -33,7 +41,9 @@ def load_arrivals(spark: SparkSession, s: Settings):
     def load(batch: DataFrame, _: int) -> None:
         arrived = deliveries(batch).distinct().orderBy("day", "source").collect()
         for row in arrived:
-            bronze.load_day(spark, s, source(row.source), row.day)
+            spec = source(row.source)
+            if spec.load_strategy != SNAPSHOT or not _outdated(spark, s, spec.name, row.day):
+                bronze.load_day(spark, s, spec, row.day)
 
     return load
 

@@ -226,3 +226,19 @@ def test_stream_of_arriving_files_equals_daily_loads(spark, tmp_path):
     for name in ("shopify_orders", "square_transactions", "recharge_subscriptions", "zendesk_tickets"):
         a, b = (tables.table(spark, x, "bronze", name).drop("_ingested_at").collect() for x in (s, expected))
         assert sorted(a, key=str) == sorted(b, key=str)
+
+
+def test_other_files_are_ignored(spark):
+    paths = ["/r/readme.txt", "/r/unknown_2026-08-03.csv", "/r/zendesk_tickets_2026-08-03.csv",
+             "/r/shopify_orders_2026-08-03.json/part-0.json", "/r/shopify_orders_2026-99-03.json"]
+    got = arrivals.deliveries(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
+    assert [(r.source, r.day) for r in got] == [("zendesk_tickets", D3), ("shopify_orders", D3)]
+
+
+def test_late_older_snapshot_is_not_loaded(spark, raw, tmp_path):
+    s = Settings(root=str(tmp_path), raw=str(raw))
+    load = arrivals.load_arrivals(spark, s)
+    for day, rows in (("2026-08-05", 3), ("2026-08-03", 3)):
+        load(spark.createDataFrame([(f"{raw}/recharge_subscriptions_{day}.json",)], "path string"), 0)
+        assert tables.table(spark, s, "bronze", "recharge_subscriptions").count() == rows
+    assert tables.audit(spark, s, "recharge_subscriptions") == ""
