@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 SPACE = r"[\x20\x09-\x0D]+"  # what separates words
@@ -51,3 +55,28 @@ def label_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the package to the Python workers, which may not have it on their path.
+
+    Spark serves the archive to every executor, also to those that join later.
+    """
+    sc, package = spark.sparkContext, Path(__file__).resolve().parent.parent
+    if sc.applicationId in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """mapInArrow with the package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)

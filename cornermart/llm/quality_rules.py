@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DecisionLis
     )
     columns = text_stats.ratios(F.col("c"))
     got = c.select("doc_id", "label", F.array(*columns.values()).alias("x")).collect()
-    got.sort(key=lambda r: (hash((r.doc_id * 2654435761) & 0xFFFFFFFF), r.doc_id, r.x))
+    got.sort(key=lambda r: ((r.doc_id * 2654435761) & 0xFFFFFFFF, r.doc_id, r.x))
     if not got:
         return DecisionList()
     return learn(np.array([r.x for r in got], float), np.array([r.label for r in got]), text_stats.RATIOS)

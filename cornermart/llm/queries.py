@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules
+from . import pii, quality_classifier, quality_rules, simhash
 from .common import table
 
 
@@ -15,8 +15,25 @@ def _quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.assess(docs, quality_rules.fit(docs, labels))
 
 
+def _quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality_classifier.assess(docs, quality_classifier.fit(docs, labels))
+
+
+def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.digest(F.col("print")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_dedup": _simhash,
+    "op3_quality_classifier": _quality_classifier,
     "op7_quality_rules": _quality_rules,
+    "op10_pii": _pii,
 }
 
 ORACLE: dict[str, str] = {}
