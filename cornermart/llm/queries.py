@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import pii, quality_classifier, quality_rules, simhash
+from . import packing, pii, quality_classifier, quality_rules, simhash
 from .common import table
 
 
@@ -29,9 +29,14 @@ def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.digest(F.col("print")).alias("fingerprint"), "component_id")
 
 
+def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": _simhash,
     "op3_quality_classifier": _quality_classifier,
+    "op4_best_fit_packing": _packing,
     "op7_quality_rules": _quality_rules,
     "op10_pii": _pii,
 }
