@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, pii, quality_classifier, quality_rules, simhash
+from ..session import scratch
+from . import packing, pii, quality_classifier, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -33,11 +34,18 @@ def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "token-files")
+    token_files.write(table(spark, sf_dir, "documents"), path)
+    return token_files.read(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": _simhash,
     "op3_quality_classifier": _quality_classifier,
     "op4_best_fit_packing": _packing,
     "op7_quality_rules": _quality_rules,
+    "op9_token_files": _token_files,
     "op10_pii": _pii,
 }
 

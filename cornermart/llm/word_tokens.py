@@ -7,6 +7,8 @@ and then found in the cache; two generations keep the cache bounded however many
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,10 +16,10 @@ import numpy as np
 from tokenizers import Tokenizer
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE_WORDS = 300_000  # per generation
+CACHE_WORDS = 400_000  # per generation
 SEGMENT = 1 << 20  # characters of a long text handled at once
 TAILS = ",.;:!?|"
-PLAIN_BELOW = "ɐ"  # letters below have one lower case each and stay letters
+PLAIN = re.compile("[a-zß-öø-ɏ]+").fullmatch  # Latin letters: normalised, and one piece for the library
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -43,28 +45,32 @@ class WordEncoder:
         self.tokenizer.no_truncation()
         self.model = self.tokenizer.model
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.table = dict(enumerate(byte_characters()))
         self.recent: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
 
     def _plain(self, word: str) -> bytes | None:
-        """Ids of a word of Latin letters, which the library would treat as one piece."""
-        low = word.lower()
-        if not low.isalpha() or max(low) >= PLAIN_BELOW:
+        """Ids of a word of Latin letters, perhaps with a mark behind; None for any other.
+
+        The library lower-cases such a word, makes one piece of its letters and one of the mark.
+        """
+        stem, tail = word.lower(), b""
+        if stem[-1] in TAILS:
+            stem, tail = stem[:-1], self._tail(stem[-1])
+        if not PLAIN(stem):
             return None
-        spelled = low.encode().decode("latin-1").translate(self.table)
-        return np.array([t.id for t in self.model.tokenize(spelled)], self.dtype).tobytes()
+        ids = self.recent.get(stem) or self.older.get(stem)
+        if ids is None:
+            spelled = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.table)
+            ids = array(self.code, [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            self.recent[stem] = ids
+        return ids + tail
 
     def _learn(self, words: set[str]) -> None:
         hard = []
         for w in words:
-            ids = self.older.get(w)
-            if ids is None:
-                ids = self._plain(w)
-            if ids is None and w[-1] in TAILS and len(w) > 1:
-                ids = self._plain(w[:-1])
-                if ids is not None:
-                    ids += self._tail(w[-1])
+            ids = self.older.get(w) or self._plain(w)
             if ids is None:
                 hard.append(w)
             else:
