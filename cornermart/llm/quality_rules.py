@@ -23,7 +23,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 MAX_RULES = 12
 MAX_CONDITIONS = 3
-MIN_PRECISION = 0.9  # of a learned rule, on the part of the sample it wasn't grown on
+MIN_PRECISION = 0.9  # of a learned rule on the sample; half on the part it wasn't grown on
 
 
 @dataclass(frozen=True)
@@ -132,30 +132,31 @@ def learn(x: np.ndarray, label: np.ndarray, names: tuple[str, ...]) -> DecisionL
     if not bad.any() or bad.all():
         return DecisionList()
     check = np.arange(len(x)) % 3 == 2  # rows come in hash order
-    grow_x, grow_bad, prune_x, prune_bad = x[~check], bad[~check], x[check], bad[check]
+    left = np.ones(len(x), bool)
     rules = []
-    while len(rules) < MAX_RULES and grow_bad.any():
-        rule = _prune(_grow(grow_x, grow_bad), prune_x, prune_bad)
-        met, seen = _covered(grow_x, rule), _covered(prune_x, rule)
-        sure = prune_bad[seen].mean() if seen.any() else 0.0
-        if not rule or sure < MIN_PRECISION:
+    for _ in range(MAX_RULES):
+        grow, prune = left & ~check, left & check
+        if not bad[grow].any():
             break
-        rules.append(tuple(Condition(names[f], above, t) for f, above, t in rule))
-        grow_x, grow_bad = grow_x[~met], grow_bad[~met]
-        prune_x, prune_bad = prune_x[~seen], prune_bad[~seen]
+        rule = _prune(_grow(x[grow], bad[grow]), x[prune], bad[prune])
+        if not rule:
+            break
+        met = left & _covered(x, rule)
+        unseen = bad[met & check]
+        if bad[met].mean() >= MIN_PRECISION and unseen.size and unseen.mean() >= 0.5:
+            rules.append(tuple(Condition(names[f], above, t) for f, above, t in rule))
+        left &= ~met  # of a rule that isn't sure, too: the next one is grown on the rest
     return DecisionList(tuple(rules))
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DecisionList:
     """Learns the list from the statistics of at most ``rows`` labelled documents."""
     chosen = F.broadcast(label_sample(labels, "quality", rows))
-    c = (
-        docs.select("doc_id", "text")
-        .join(chosen, "doc_id")
-        .select("doc_id", "label", text_stats.counts(F.col("text")).alias("c"))
-    )
+    c = docs.select("doc_id", "text").join(chosen, "doc_id")
+    c = c.select("doc_id", "label", text_stats.counts(F.col("text")).alias("c"))
     columns = text_stats.ratios(F.col("c"))
-    got = c.select("doc_id", "label", F.array(*columns.values()).alias("x")).collect()
+    got = c.select("doc_id", "label", base_failed(F.col("c")).alias("failed"), F.array(*columns.values()).alias("x")).collect()
+    got = [r for r in got if not r["failed"]]  # the base rules judge those
     got.sort(key=lambda r: ((r.doc_id * 2654435761) & 0xFFFFFFFF, r.doc_id, r.x))
     if not got:
         return DecisionList()
