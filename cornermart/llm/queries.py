@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch
-from . import bpe, packing, pii, quality_classifier, quality_rules, simhash, token_files
+from . import bpe, fingerprints, packing, pii, quality_classifier, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -44,12 +44,17 @@ def _bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": _simhash,
     "op3_quality_classifier": _quality_classifier,
     "op4_best_fit_packing": _packing,
     "op5_bpe": _bpe,
     "op7_quality_rules": _quality_rules,
+    "op8_document_fingerprints": _fingerprints,
     "op9_token_files": _token_files,
     "op10_pii": _pii,
 }
