@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch
-from . import bpe, fingerprints, packing, pii, quality_classifier, quality_rules, simhash, token_files
+from . import bpe, fingerprints, language, packing, pii, quality_classifier, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -48,11 +48,17 @@ def _fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare(table(spark, sf_dir, "documents"))
 
 
+def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_dedup": _simhash,
     "op3_quality_classifier": _quality_classifier,
     "op4_best_fit_packing": _packing,
     "op5_bpe": _bpe,
+    "op6_language_id": _language,
     "op7_quality_rules": _quality_rules,
     "op8_document_fingerprints": _fingerprints,
     "op9_token_files": _token_files,
