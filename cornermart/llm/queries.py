@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch
-from . import bpe, fingerprints, language, packing, pii, quality_classifier, quality_rules, simhash, token_files
+from . import bpe, fingerprints, html_extract, language, packing, pii, quality_classifier, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -53,7 +53,13 @@ def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit(docs))
 
 
+def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_extract.extract(pages, html_extract.fit(pages))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extraction": _html,
     "op2_simhash_dedup": _simhash,
     "op3_quality_classifier": _quality_classifier,
     "op4_best_fit_packing": _packing,
