@@ -29,8 +29,8 @@ from .html_dom import Page, parse
 from .html_features import Nodes, features
 
 SAMPLE_PAGES = 300  # pages of the table that are learned from, at most
-INVENTED_PAGES = 500
-ROUNDS, DEPTH = 50, 4
+INVENTED_PAGES = 900
+ROUNDS, DEPTH = 80, 4
 HELD_PAGES, HELD_CHARS = 200, 4_000_000  # pages read together
 NOT_MAIN_TAGS = frozenset("nav aside footer form header menu button select dialog".split())
 NOT_MAIN_WORDS = frozenset(

@@ -73,7 +73,8 @@ class Writer:
             inner = f"<p>{self.sentences(1, 2)}</p><label>{self.words(1, 2)}</label><input type='text'><button>{self.words(1, 2)}</button>"
             return self.element(["form", "form", "div"], kind, inner)
         if kind == "share":
-            return self.element(["div", "ul", "p"], kind, self.links(2, 5))
+            links = " ".join(f'<a href="/{self.word()}">{self.words(1, 2)}</a>' for _ in range(r.randint(2, 5)))
+            return self.element(["div", "span", "p"], kind, links)
         if kind == "comments":
             who = "".join(
                 f"<{t}{self.name('comments')}><a href='#u'>{self.words(1, 2)}</a><p>{self.sentences(1, 4)}</p></{t}>"
