@@ -210,10 +210,11 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> D
     kept = materialise(kept.filter("names").select(F.col("doc_id").alias("_kept"), F.col("n").alias("_rows")), "kept")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     match = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept"))
-    once = docs.join(kept.filter("_rows = 1"), match, "left_semi").select(*columns)
+    # merged at every size: the kept ids grow with the documents, so they are never broadcast
+    once = docs.join(kept.filter("_rows = 1").hint("merge"), match, "left_semi").select(*columns)
     if kept.filter("_rows > 1").isEmpty():
         return once
-    again = docs.join(kept.filter("_rows > 1"), match, "left_semi")
+    again = docs.join(kept.filter("_rows > 1").hint("merge"), match, "left_semi")
     others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
     whole = F.struct(F.col("text").alias("text"), *[c for c, n in zip(others, [x for x in docs.columns if x != "doc_id"], strict=True) if n != "text"])
     first = again.groupBy("doc_id").agg(F.min(whole).alias("_row"))
