@@ -34,7 +34,6 @@ class SourceSpec:
     load_strategy: str
     required: bool = True
     json_lines: bool = False  # one object per line instead of one array per file: splittable
-    quoted_newlines: bool = False  # free text may hold line breaks: such files are not split
 
 
 def _text(*names: str) -> list[StructField]:
@@ -56,7 +55,7 @@ SOURCES = (
     SourceSpec("shopify_orders", "json", APPEND),
     SourceSpec("square_transactions", "csv", APPEND),
     SourceSpec("recharge_subscriptions", "json", SNAPSHOT),
-    SourceSpec("zendesk_tickets", "csv", APPEND, required=False, quoted_newlines=True),
+    SourceSpec("zendesk_tickets", "csv", APPEND, required=False),
     SourceSpec("shipstation_shipments", "csv", APPEND),
 )
 
@@ -169,24 +168,14 @@ def signature(dtype: DataType) -> object:
     return dtype.simpleString()
 
 
-def schema_diff(stored: StructType, declared: StructType) -> str:
-    """Readable two-sided difference; empty when the shapes agree."""
-
-    def describe(schema: StructType, other: StructType) -> list[str]:
-        known = signature(other)
-        return sorted(
-            f"    {f.name}: {f.dataType.simpleString()}"
-            for f in schema.fields
-            if (f.name, signature(f.dataType)) not in known
-        )
-
-    lines: list[str] = []
-    for title, found in (
-        ("  stored but not declared:", describe(stored, declared)),
-        ("  declared but not stored:", describe(declared, stored)),
-    ):
-        lines += [title, *found] if found else []
-    return "\n".join(lines)
+def schema_diff(stored: StructType, declared: StructType) -> list[tuple[str, str | None, str | None]]:
+    """(column, stored type, declared type) of each column whose shapes differ, None where absent."""
+    have, want = ({f.name: f.dataType for f in schema.fields} for schema in (stored, declared))
+    return [
+        (name, *(d.simpleString() if d is not None else None for d in (have.get(name), want.get(name))))
+        for name in sorted(have.keys() | want.keys())
+        if name not in have or name not in want or signature(have[name]) != signature(want[name])
+    ]
 
 
 def parse_run_date(text: str | None) -> date:

@@ -54,7 +54,7 @@ def subscriber_first(subscriptions: DataFrame, s: Settings) -> DataFrame:
         subscriptions.filter(F.col("customer_key").isNotNull())
         .groupBy("customer_key")
         .agg(
-            F.min(local).alias("first_ever_subscribed"),
+            F.min(local).alias("signed_up_at"),
             F.max(F.col("customer_status") == "is_active").alias("_any_active"),
         )
         .filter("_any_active")
@@ -69,8 +69,8 @@ def subscriber_tenure(subscriptions: DataFrame, reference: DataFrame, s: Setting
         .crossJoin(F.broadcast(reference))
         .select(
             "customer_key",
-            timefx.day_diff(F.col("first_ever_subscribed"), F.col("reference_date")).alias(
-                "join_days"
+            timefx.day_diff(F.col("signed_up_at"), F.col("reference_date")).alias(
+                "tenure_days"
             ),
         )
     )
@@ -85,13 +85,19 @@ def customer_last_order(orders: DataFrame, s: Settings) -> DataFrame:
 
 
 def customer_health(orders: DataFrame, customers: DataFrame, s: Settings) -> DataFrame:
-    """Walk-ins count for the reference day but get no label."""
+    """Walk-ins count for the reference day but get no label.
+
+    The reference is taken from the same sums per customer. The join key is never NULL, so the join
+    adds no filter of its own and both uses read one scan and one shuffle of the orders.
+    """
     last = customer_last_order(orders, s)
     reference = last.agg(F.max("last_order_date").alias("reference_date"))
     known = customers.filter(F.col("customer_type").isin(*rules.IDENTIFIED))
+    known = known.select(F.col("customer_key").alias("_known"), "customer_type")
     days = F.col("days_since_last_order")
+    nobody = F.lit("\0")  # a row without a key matches nothing
     return (
-        last.join(known.select("customer_key", "customer_type"), "customer_key")
+        last.join(known.filter("_known is not null"), F.coalesce("customer_key", nobody) == F.coalesce("_known", nobody))
         .crossJoin(F.broadcast(reference))
         .withColumn(
             "days_since_last_order",
@@ -113,29 +119,29 @@ def rfm_base(orders: DataFrame, customers: DataFrame, s: Settings) -> DataFrame:
     """Spend, last order and order count per identified customer, summed before the join."""
     local = timefx.utc_to_local(F.col("order_ts_raw"), s.reporting_timezone)
     totals = orders.groupBy("customer_key").agg(
-        F.round(F.sum("amount_usd"), 2).alias("total_spend"),
-        F.max(local).alias("recent_order"),
-        F.count("customer_key").alias("total_order"),
+        F.round(F.sum("amount_usd"), 2).alias("spend_usd"),
+        F.max(local).alias("newest_order_at"),
+        F.count("customer_key").alias("n_orders"),
     )
     known = customers.filter(F.col("customer_type").isin(*rules.IDENTIFIED))
     return totals.join(known.select("customer_key", "customer_type"), "customer_key").select(
-        "customer_key", "customer_type", "total_spend", "recent_order", "total_order"
+        "customer_key", "customer_type", "spend_usd", "newest_order_at", "n_orders"
     )
 
 
 def reference_day(base: DataFrame) -> DataFrame:
-    return base.agg(F.max("recent_order").alias("reference_date"))
+    return base.agg(F.max("newest_order_at").alias("reference_date"))
 
 
-def rfm_quintiles(base: DataFrame, s: Settings) -> DataFrame:
+def rfm_quintiles(base: DataFrame) -> DataFrame:
     """Scores 1-5 on spend, count and recency; ties are ranked by customer_key and type."""
     tie = ["customer_key", "customer_type"]
     orders = {
-        "monetary_score": [F.asc_nulls_last("total_spend"), *tie],
-        "frequency_score": ["total_order", *tie],
-        "recency_score": [F.asc_nulls_last("recent_order"), *tie],
+        "monetary_score": ["spend_usd", *tie],
+        "frequency_score": ["n_orders", *tie],
+        "recency_score": ["newest_order_at", *tie],
     }
-    return add_ntiles(base, 5, orders, s.one_task_rank_rows)
+    return add_ntiles(base, 5, orders)
 
 
 def customer_rfm(
@@ -144,10 +150,10 @@ def customer_rfm(
     base = materialise(rfm_base(orders, customers, s))
     tenure = subscriber_tenure(subscriptions, reference_day(base), s)
     parts = ["monetary_score", "frequency_score", "recency_score", "tenure_bonus"]
-    bonus = rules.tenure_bonus(F.col("join_days"), s.tenure_lower_days, s.tenure_upper_days)
+    bonus = rules.tenure_bonus(F.col("tenure_days"), s.tenure_lower_days, s.tenure_upper_days)
     total: Column = sum((F.col(p) for p in parts[1:]), F.col(parts[0]))
     return (
-        rfm_quintiles(base, s)
+        rfm_quintiles(base)
         .join(tenure, "customer_key", "left")
         .withColumn("tenure_bonus", bonus)
         .select("customer_key", *parts, total.alias("total_score"))

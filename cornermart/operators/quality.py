@@ -112,12 +112,6 @@ def duplicates(df: DataFrame, column: str) -> DataFrame:
     return counted.filter("n > 1")
 
 
-def unexpected_values(df: DataFrame, column: str, accepted: tuple) -> DataFrame:
-    return (
-        df.filter(~F.col(column).isin(*accepted)).groupBy(column).agg(F.count("*").alias("n"))
-    )
-
-
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Child keys without a parent. Counted per key first, so a hot key joins as one row."""
     keys = child.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
@@ -165,17 +159,19 @@ def not_null_report(tables: Tables) -> DataFrame:
 
 
 def accepted_report(tables: Tables) -> DataFrame:
-    """Every value outside its declared set, with its row count."""
-    return _union(
-        unexpected_values(tables[t], c, values).select(
-            *_finding("accepted_values", t, c),
-            F.col(c).cast("string").alias("bad_value"),
-            F.col("n").alias("violations"),
-        )
-        for t, r in RULES.items()
-        if t in tables
-        for c, values in r.accepted.items()
-    )
+    """Every value outside its declared set, with its row count: one pass and shuffle per table."""
+
+    def of(name: str, rules: TableRules) -> DataFrame:
+        bad = [
+            F.when(~F.col(c).isin(*v), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("bad_value")))
+            for c, v in rules.accepted.items()
+        ]
+        cells = tables[name].select(F.inline(F.filter(F.array(*bad), lambda cell: cell.isNotNull())))
+        counted = cells.groupBy("column_name", "bad_value").agg(F.count("*").alias("violations"))
+        head = [F.lit("accepted_values").alias("check_name"), F.lit(name).alias("table_name")]
+        return counted.select(*head, "column_name", "bad_value", "violations")
+
+    return _union(of(t, r) for t, r in RULES.items() if t in tables and r.accepted)
 
 
 def relationship_report(tables: Tables) -> DataFrame:
@@ -216,8 +212,8 @@ def unconverted_cad(df: DataFrame) -> DataFrame:
 
 def duplicate_active(subscriptions: DataFrame) -> DataFrame:
     active = subscriptions.filter(F.col("customer_status") == "is_active")
-    counted = active.groupBy("customer_key").agg(F.count("*").alias("active_count"))
-    return counted.filter("active_count > 1")
+    counted = active.groupBy("customer_key").agg(F.count("*").alias("n_active"))
+    return counted.filter("n_active > 1")
 
 
 def negative_recency(health: DataFrame) -> DataFrame:
@@ -247,16 +243,16 @@ def _compared(left: DataFrame, right: DataFrame, broken: Column) -> DataFrame:
 
 def refund_conservation(alerts: DataFrame, refunds: DataFrame) -> DataFrame:
     """The spine must hold every refund."""
-    spine = alerts.agg(F.sum("daily_refunds").alias("spine_total"))
-    truth = refunds.agg(F.count("*").alias("true_total"))
-    return _compared(spine, truth, F.col("spine_total") != F.col("true_total"))
+    spine = alerts.agg(F.sum("daily_refunds").alias("counted_refunds"))
+    truth = refunds.agg(F.count("*").alias("stored_refunds"))
+    return _compared(spine, truth, F.col("counted_refunds") != F.col("stored_refunds"))
 
 
 def revenue_reconciliation(weekly: DataFrame, orders: DataFrame) -> DataFrame:
     """Weekly revenue must add up to the orders within 0.10."""
-    facts = weekly.agg(F.sum("total_revenue").alias("gold_total"))
-    truth = orders.agg(F.sum("amount_usd").alias("silver_total"))
-    gap = F.abs(F.col("gold_total") - F.col("silver_total"))
+    facts = weekly.agg(F.sum("total_revenue").alias("weekly_usd"))
+    truth = orders.agg(F.sum("amount_usd").alias("orders_usd"))
+    gap = F.abs(F.col("weekly_usd") - F.col("orders_usd"))
     return _compared(facts, truth, gap > F.lit("0.10").cast("decimal(3,2)"))
 
 
@@ -275,14 +271,14 @@ def tenure_history_broken(
     history = (
         subscriptions.groupBy("customer_key")
         .agg(
-            F.min("subscription_created_at").alias("true_first_ever"),
+            F.min("subscription_created_at").alias("earliest_signup"),
             F.max(F.col("customer_status") == "is_active").alias("any_active"),
         )
         .filter("any_active")
     )
     local = timefx.utc_to_local(F.col("order_ts_raw"), s.reporting_timezone)
     reference = orders.agg(F.max(local).alias("reference_date"))
-    age = timefx.day_diff(F.col("true_first_ever"), F.col("reference_date"))
+    age = timefx.day_diff(F.col("earliest_signup"), F.col("reference_date"))
     return (
         rfm.filter(F.col("tenure_bonus") == 0)
         .join(history, "customer_key")

@@ -1,57 +1,69 @@
-"""Global NTILE without a one-task window."""
+"""Global NTILE without a one-task window and without a join."""
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DataType
 
 from ..session import materialise
 
 
-def ntile_window(df: DataFrame, tiles: int, order: list[str], name: str) -> DataFrame:
-    """Plain window; every row passes one task, so only for tables of checked size."""
-    return df.withColumn(name, F.ntile(tiles).over(Window.orderBy(*order)))
+def tile_ends(n_rows: int, tiles: int) -> list[int]:
+    """Last 1-based rank of each tile but the last; the first ``n_rows % tiles`` hold one row more."""
+    small, larger = divmod(n_rows, tiles)
+    return [k * small + min(k, larger) for k in range(1, tiles)]
+
 
+def _constant(value, dtype: DataType) -> Column:
+    """A literal of exactly this type; times as text, which no time zone moves."""
+    return F.lit(value.isoformat(" ") if isinstance(value, datetime) else value).cast(dtype)
 
-def tile_of_rank(rank: Column, total: Column, tiles: int) -> Column:
-    """Tile of a 1-based rank: the first ``total % tiles`` tiles hold one row more."""
-    small = F.floor(total / F.lit(tiles))
-    larger = total % F.lit(tiles)
-    split = larger * (small + 1)
-    early = F.ceil(rank / (small + 1))
-    late = larger + F.ceil((rank - split) / F.greatest(small, F.lit(1)))
-    return F.when(rank <= split, early).otherwise(late).cast("int")
 
+def _place(values: list[Column]) -> Column:
+    """A row's place in the order: NULLs come last."""
+    return F.struct(*[part for v in values for part in (v.isNull(), v)])
 
-def ntile_sorted(df: DataFrame, tiles: int, order: list[str], name: str) -> DataFrame:
-    """Range sort, materialise, then add each range's offset to the row's place in it.
 
-    ``order`` must end in a unique column: ties then split across ranges like any other rows.
-    ``monotonically_increasing_id`` is (partition << 33) + place, so the sorted partitions give
-    the local rank without a second shuffle. The sort is materialised because its range bounds
-    are sampled. Only one count per partition is broadcast.
+def cuts(df: DataFrame, tiles: int, order: list[str]) -> list[tuple]:
+    """The last row of each tile but the last, as values of the ``order`` columns.
+
+    Only the order columns are range-sorted and written: the sort's bounds are sampled, so the sorted
+    rows must be fixed before they are counted. ``monotonically_increasing_id`` is
+    (partition << 33) + place, which gives a row's rank from one count per partition.
     """
-    ranged = materialise(df.orderBy(*order).withColumn("_id", F.monotonically_increasing_id()))
+    by = [F.asc_nulls_last(c) for c in order]
+    ranged = materialise(df.select(*order).orderBy(*by).withColumn("_id", F.monotonically_increasing_id()))
     part = F.shiftright(F.col("_id"), 33)
     sizes = ranged.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    offsets = sizes.select(
-        "_part",
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(everything).alias("_total"),
-    )
-    place = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
-    ranked = ranged.withColumn("_part", part).join(F.broadcast(offsets), "_part")
-    tile = tile_of_rank(F.col("_offset") + place + 1, F.col("_total"), tiles)
-    return ranked.select(*df.columns, tile.alias(name))
-
-
-def add_ntiles(
-    df: DataFrame, tiles: int, orders: dict[str, list[str]], one_task_rows: int
-) -> DataFrame:
-    """Add one tile column per entry of ``orders``; ``df`` should be materialised."""
-    small = df.limit(one_task_rows + 1).count() <= one_task_rows
-    rank = ntile_window if small else ntile_sorted
+    offsets = sizes.select("_part", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    found = offsets.collect()  # one row per partition
+    ends = tile_ends(sum(r["_n"] for r in found), tiles)
+    ids = {
+        end: (r["_part"] << 33) + end - r["_offset"] - 1
+        for end in ends
+        for r in found
+        if r["_offset"] < end <= r["_offset"] + r["_n"]
+    }
+    if not ids:
+        return []
+    rows = {r["_id"]: tuple(r[c] for c in order) for r in ranged.filter(F.col("_id").isin(*ids.values())).collect()}
+    return [rows[ids[end]] for end in ends if end in ids]
+
+
+def add_ntiles(df: DataFrame, tiles: int, orders: dict[str, list[str]]) -> DataFrame:
+    """Add one tile column per entry of ``orders``, each ending in a unique set of columns.
+
+    A row's tile is one more than the number of tile ends before it, so once the few cut rows are
+    known the tiles are plain column expressions.
+    """
+    types = {f.name: f.dataType for f in df.schema.fields}
+    tiled = {}
     for name, order in orders.items():
-        df = rank(df, tiles, order, name)
-    return df
+        here = _place([F.col(c) for c in order])
+        ends = [_place([_constant(v, types[c]) for c, v in zip(order, cut, strict=True)]) for cut in cuts(df, tiles, order)]
+        tiled[name] = reduce(Column.__add__, [(here > end).cast("int") for end in ends], F.lit(1))
+    return df.withColumns(tiled)

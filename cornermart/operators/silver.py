@@ -1,6 +1,8 @@
 """Cleaned tables: one customer per known key, unified orders and refunds, subscriptions.
 
-Every function is DataFrame -> DataFrame over the bronze contract columns.
+Every function is DataFrame -> DataFrame over the bronze contract columns. Reference tables are joined
+plainly: Spark broadcasts one whose size it knows to be small, and splits a hot store or currency at
+run time otherwise.
 """
 
 from __future__ import annotations
@@ -8,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import rules, timefx
-from .lookups import Lookup
 
 ORDER_COLUMNS = [
     "order_id", "customer_key", "channel", "currency", "amount_original", "order_run_date", "order_ts_raw",
@@ -75,15 +76,15 @@ def store_orders(pos: DataFrame) -> DataFrame:
         F.col("transaction_id").alias("order_id"),
         "location_id",
         rules.store_customer_key().alias("customer_key"),
-        F.col("created_at_local").alias("order_ts_local"),
+        F.col("created_at_local").alias("ticket_clock"),
         "order_run_date",
         "amount_original",
     )
 
 
-def store_orders_utc(pos: DataFrame, zones: Lookup) -> DataFrame:
+def store_orders_utc(pos: DataFrame, zones: DataFrame) -> DataFrame:
     """Tickets in the common order shape; a store without a time zone drops its sales."""
-    located = zones.join(store_orders(pos), ["location_id"], "inner", spread="order_id")
+    located = store_orders(pos).join(zones, "location_id")
     return located.select(
         "order_id",
         "customer_key",
@@ -91,7 +92,7 @@ def store_orders_utc(pos: DataFrame, zones: Lookup) -> DataFrame:
         F.lit("USD").alias("currency"),
         "amount_original",
         "order_run_date",
-        timefx.naive_to_utc(F.col("order_ts_local"), F.col("timezone_name")).alias("order_ts_raw"),
+        timefx.naive_to_utc(F.col("ticket_clock"), F.col("timezone_name")).alias("order_ts_raw"),
     )
 
 
@@ -108,24 +109,24 @@ def online_orders(web: DataFrame) -> DataFrame:
     )
 
 
-def all_orders(web: DataFrame, pos: DataFrame, zones: Lookup) -> DataFrame:
+def all_orders(web: DataFrame, pos: DataFrame, zones: DataFrame) -> DataFrame:
     return store_orders_utc(pos, zones).unionByName(online_orders(web))
 
 
-def to_usd(facts: DataFrame, day, rates: Lookup, spread: str) -> DataFrame:
+def to_usd(facts: DataFrame, day, rates: DataFrame) -> DataFrame:
     """Add ``amount_usd`` at the rate of ``day``; a missing rate counts as 1 (checked later)."""
     dated = facts.withColumn("currency_date", day)
-    priced = rates.join(dated, ["currency", "currency_date"], "left", spread)
+    priced = dated.join(rates, ["currency", "currency_date"], "left")
     rate = F.coalesce(F.col("rate_to_usd"), F.lit(1).cast(rules.RATE))
     return priced.withColumn("amount_usd", F.col("amount_original") * rate)
 
 
-def convert_orders(combined: DataFrame, rates: Lookup) -> DataFrame:
-    priced = to_usd(combined, F.to_date("order_ts_raw"), rates, "order_id")
+def convert_orders(combined: DataFrame, rates: DataFrame) -> DataFrame:
+    priced = to_usd(combined, F.to_date("order_ts_raw"), rates)
     return priced.select(*ORDER_COLUMNS, "amount_usd")
 
 
-def orders(web: DataFrame, pos: DataFrame, zones: Lookup, rates: Lookup) -> DataFrame:
+def orders(web: DataFrame, pos: DataFrame, zones: DataFrame, rates: DataFrame) -> DataFrame:
     return convert_orders(all_orders(web, pos, zones), rates)
 
 
@@ -198,13 +199,13 @@ def flag_refunds(lagged: DataFrame, window_days: int) -> DataFrame:
     )
 
 
-def convert_refunds(refunds: DataFrame, rates: Lookup) -> DataFrame:
+def convert_refunds(refunds: DataFrame, rates: DataFrame) -> DataFrame:
     """The rate is that of the order's UTC day, not of the refund."""
-    return to_usd(refunds, timefx.utc_date(F.col("created_at")), rates, "refund_id")
+    return to_usd(refunds, timefx.utc_date(F.col("created_at")), rates)
 
 
 def refunds(
-    web: DataFrame, shipments: DataFrame, rates: Lookup, window_days: int = 30
+    web: DataFrame, shipments: DataFrame, rates: DataFrame, window_days: int = 30
 ) -> DataFrame:
     flagged = flag_refunds(refunds_with_delivery(web, shipments), window_days)
     return convert_refunds(flagged, rates).select(*REFUND_COLUMNS)

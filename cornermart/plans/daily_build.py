@@ -26,7 +26,7 @@ GOLD = (
 )
 RUN_LOG = (
     "run_id string, step string, table_name string, run_date date, rows bigint, status string,"
-    " finished_at timestamp, seconds double"
+    " short_rows bigint, finished_at timestamp, seconds double"
 )
 
 
@@ -37,26 +37,37 @@ class RunLog:
         self.spark, self.path, self.run_date = spark, s.path("ops", "run_log"), run_date
         self.run_id = uuid.uuid4().hex
 
-    def add(self, step: str, name: str, rows: int | None, status: str, began: float) -> None:
+    def add(self, step: str, name: str, rows: int | None, status: str, began: float, short: int | None = None) -> None:
         now = datetime.now(timezone.utc)
-        row = (self.run_id, step, name, self.run_date, rows, status, now, time.time() - began)
+        row = (self.run_id, step, name, self.run_date, rows, status, short, now, time.time() - began)
         self.spark.createDataFrame([row], RUN_LOG).coalesce(1).write.mode("append").parquet(self.path)
 
-    def step(self, step: str, name: str, work: Callable[[], bronze.Load | None]) -> None:
-        """Run one step; a failure is logged and stops the run."""
+    def step(self, step: str, name: str, work: Callable[[], bronze.Load | dict[str, int] | None]) -> None:
+        """Run one step; a failure is logged and stops the run. A step that gives rows per table is
+        logged once for each."""
         began = time.time()
         try:
-            load = work()
+            done = work()
         except Exception:
             self.add(step, name, None, "failed", began)
             raise
-        rows, status = (load.rows, load.status) if load else (None, "built")
-        self.add(step, name, rows, status, began)
+        if isinstance(done, bronze.Load):
+            self.add(step, name, done.rows, done.status, began, done.short_rows)
+        elif done:
+            for table_name, rows in done.items():
+                self.add(step, table_name, rows, "built", began)
+        else:
+            self.add(step, name, None, "built", began)
+
+
+def counted(spark: SparkSession, s: Settings, layer: str, names: Iterable[str]) -> dict[str, int]:
+    """Rows per stored table, from the files' footers."""
+    return {n: tables.table(spark, s, layer, n).count() for n in names}
 
 
 def load_seeds(spark: SparkSession, s: Settings, paths: dict[str, str]) -> None:
     for name, path in paths.items():
-        tables.replace(seeds.read_seed(spark, name, path).coalesce(1), s.path("silver", name))
+        tables.replace_self(seeds.read_seed(spark, name, path).coalesce(1), s.path("silver", name))
 
 
 def build_gold(spark: SparkSession, s: Settings) -> None:
@@ -73,7 +84,7 @@ def build_gold(spark: SparkSession, s: Settings) -> None:
         "fact_refund_alerts": gold.refund_alerts(orders, refunds, s).coalesce(1),
     }
     for name, df in built.items():
-        tables.replace(df, s.path("gold", name))
+        tables.replace_self(df, s.path("gold", name))
 
 
 def check(spark: SparkSession, s: Settings, run_date: date | None = None) -> DataFrame:
@@ -102,41 +113,49 @@ def freshness(named: dict[str, DataFrame]) -> DataFrame:
     return per_table.select("*", lag)
 
 
-def run_day(
-    spark: SparkSession,
-    s: Settings,
-    day: date,
-    seed_paths: dict[str, str],
-    again: bool = False,
-) -> DataFrame:
-    """One logical day end to end; ``again`` for a day that was delivered before."""
+def note_freshness(spark: SparkSession, s: Settings, run_date: date | None) -> None:
+    """Append the freshness of the bronze tables to its history."""
+    named = {spec.name: tables.table(spark, s, "bronze", spec.name) for spec in SOURCES}
+    rows = freshness(named).withColumns({"run_date": F.lit(run_date).cast("date"), "checked_at": F.current_timestamp()})
+    rows.coalesce(1).write.mode("append").parquet(s.path("ops", "freshness"))
+
+
+def build(spark: SparkSession, s: Settings, log: RunLog, silver_step: Callable[[SparkSession, Settings], None]) -> DataFrame:
+    """Silver, gold, freshness and checks over what bronze holds."""
+
+    def silver_tables() -> dict[str, int]:
+        silver_step(spark, s)
+        return counted(spark, s, "silver", SILVER)
+
+    def gold_tables() -> dict[str, int]:
+        build_gold(spark, s)
+        return counted(spark, s, "gold", GOLD)
+
+    log.step("silver", "silver", silver_tables)
+    log.step("gold", "gold", gold_tables)
+    log.step("freshness", "freshness", lambda: note_freshness(spark, s, log.run_date))
+    return check(spark, s, log.run_date)
+
+
+def run_days(spark: SparkSession, s: Settings, days: Iterable[date], seed_paths: dict[str, str]) -> DataFrame:
+    """Load logical days, new or delivered again, then build and check everything once."""
     pin(spark)
-    log = RunLog(spark, s, day)
+    days = sorted(days)
+    log = RunLog(spark, s, days[-1])
     log.step("seed", "seeds", lambda: load_seeds(spark, s, seed_paths))
-    for spec in SOURCES:
-        log.step("ingest", spec.name, lambda spec=spec: bronze.load_day(spark, s, spec, day))
-    rebuilt = again and tables.has_table(spark, s, "silver", "stg_orders")
-    silver_step = (
-        (lambda: incremental.reprocess(spark, s, [day]))
-        if rebuilt
-        else (lambda: incremental.update(spark, s))
-    )
-    log.step("silver", "silver", silver_step)
-    log.step("gold", "gold", lambda: build_gold(spark, s))
-    return check(spark, s, day)
+    for day in days:
+        for spec in SOURCES:
+            log.step("ingest", spec.name, lambda spec=spec, day=day: bronze.load_day(spark, s, spec, day))
+    return build(spark, s, log, incremental.update)
 
 
-def backfill(
-    spark: SparkSession,
-    s: Settings,
-    days: Iterable[date],
-    seed_paths: dict[str, str],
-    again: bool = False,
-) -> DataFrame:
-    results = None
-    for day in sorted(days):
-        results = run_day(spark, s, day, seed_paths, again)
-    return results
+def run_arrivals(spark: SparkSession, s: Settings, load: Callable[[], None], seed_paths: dict[str, str]) -> DataFrame:
+    """Load what has arrived, then build and check."""
+    pin(spark)
+    log = RunLog(spark, s, None)
+    log.step("seed", "seeds", lambda: load_seeds(spark, s, seed_paths))
+    log.step("ingest", "arrivals", load)
+    return build(spark, s, log, incremental.update)
 
 
 def run_history(spark: SparkSession, s: Settings, seed_paths: dict[str, str]) -> DataFrame:
@@ -146,6 +165,10 @@ def run_history(spark: SparkSession, s: Settings, seed_paths: dict[str, str]) ->
     log.step("seed", "seeds", lambda: load_seeds(spark, s, seed_paths))
     for spec in SOURCES:
         log.step("ingest", spec.name, lambda spec=spec: bronze.load_history(spark, s, spec))
-    log.step("silver", "silver", lambda: incremental.rebuild(spark, s))
-    log.step("gold", "gold", lambda: build_gold(spark, s))
-    return check(spark, s)
+    return build(spark, s, log, incremental.rebuild)
+
+
+def violated(results: DataFrame, allowed: Iterable[str] = ()) -> list:
+    """Findings of checks that aren't allowed to fail; one row per check and column, so few."""
+    found = results.filter((F.col("violations") > 0) & ~F.col("check_name").isin(list(allowed)))
+    return found.select("check_name", "table_name", "column_name", "violations").collect()

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Settings:
-    """Locations, business thresholds and size bounds.
+    """Locations, business and thresholds.
 
     ``root`` and ``raw`` are URIs every executor can reach (a shared folder or object store).
     """
@@ -25,10 +25,7 @@ class Settings:
     refund_window_days: int = 30
     rolling_days: int = 7
     alert_multiplier: int = 2
-
-    broadcast_rows: int = 200_000  # largest lookup that is broadcast; beyond it joins are salted
-    salts: int = 64
-    one_task_rank_rows: int = 200_000  # largest table ranked by a plain one-partition window
+    json_lines: bool = False  # JSON deliveries hold one object per line instead of one array per file
 
     def schema_for(self, custom: str | None) -> str:
         """Namespace of a table: the custom one verbatim, else the default."""

@@ -1,4 +1,4 @@
-"""Metadata calls on the file system behind a URI (listing, headers, removal)."""
+"""Metadata calls on the file system behind a URI (listing, markers, removal)."""
 
 from __future__ import annotations
 
@@ -30,14 +30,25 @@ def data_files(spark: SparkSession, uri: str) -> list[tuple[str, int]]:
     )
 
 
-def first_line(spark: SparkSession, uri: str) -> str | None:
+def write_text(spark: SparkSession, uri: str, text: str) -> None:
+    """A small metadata file, replaced as a whole."""
     fs, path = _resolve(spark, uri)
-    jvm = spark._jvm
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(path), "UTF-8"))
+    stream = fs.create(path, True)
     try:
-        return reader.readLine()
+        stream.write(text.encode("utf-8"))
     finally:
-        reader.close()
+        stream.close()
+
+
+def read_text(spark: SparkSession, uri: str) -> str | None:
+    fs, path = _resolve(spark, uri)
+    if not fs.exists(path):
+        return None
+    stream = fs.open(path)
+    try:
+        return spark._jvm.java.lang.String(stream.readAllBytes(), "UTF-8")
+    finally:
+        stream.close()
 
 
 def remove(spark: SparkSession, uri: str) -> None:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -15,7 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..contracts import CONTRACTS, ContractError, SourceSpec
 from . import fs
 
-OVERFLOW = "_overflow"  # a cell beyond the header's width
+ODD, WIDE = "_odd", "_wide"  # a record that doesn't have the header's width; whether it is wider
 VARIANT_BYTES = 100 * 1024 * 1024  # a VARIANT may hold at most 128 MiB
 
 # Cell texts that mean "no value" in the delivered CSV exports.
@@ -29,78 +30,69 @@ def _file() -> Column:
     return F.col("_metadata.file_path").alias("_file")
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    line = fs.first_line(spark, path)
-    if not line:
-        raise ContractError(f"{path}: empty file, no header")
-    return tuple(next(csv.reader([line.lstrip("﻿")])))
+def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files by their header line, read by a job: only one row per distinct header comes back
+    with its files. Empty files have no line and are left out."""
+    lines = spark.read.text(paths).select(
+        _file(), "value", F.monotonically_increasing_id().alias("_at"), F.col("_metadata.file_block_start").alias("_block")
+    )
+    first = lines.filter("_block = 0").groupBy("_file").agg(F.min_by("value", "_at").alias("header"))
+    found = first.groupBy("header").agg(F.sort_array(F.collect_list("_file")).alias("files")).collect()
+    return {tuple(next(csv.reader([r["header"].lstrip("\ufeff")]), ())): r["files"] for r in found}
 
 
 def check_columns(name: str, found: set[str]) -> None:
-    """Missing or undeclared columns are an error that names them."""
+    """The delivered columns must be the declared ones; the error names both kinds of difference."""
     declared = set(CONTRACTS[name].names)
-    if missing := sorted(declared - found):
-        raise ContractError(f"[{name}] missing expected columns: {missing}")
-    if extra := sorted(found - declared):
-        raise ContractError(f"[{name}] unexpected columns not in the contract: {extra}")
+    absent, foreign = sorted(declared - found), sorted(found - declared)
+    if absent or foreign:
+        raise ContractError(f"{name}: columns do not agree with the contract: not delivered {absent}, not declared {foreign}")
 
 
 def read_csv(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
     """All-text columns in contract order; cells meaning "no value" become NULL.
 
-    Only header lines pass the driver. Files that share a header are one scan. A short row is
-    padded with NULLs; a cell beyond the header lands in ``_overflow`` for the contract check.
+    Quoted cells may hold line breaks, so a file is read by one task; large deliveries come as part
+    files. Files that share a header are one scan. ``_odd`` holds the record where it is narrower
+    or wider than its header; a narrow one is filled up with NULLs.
     """
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        for part, _ in fs.data_files(spark, path):
-            by_header.setdefault(_header(spark, part), []).append(part)
+    by_header = headers(spark, paths)
     if not by_header:
-        raise ContractError(f"[{spec.name}] delivery holds no files: {paths}")
-
+        raise ContractError(f"{spec.name}: no header in the delivery: {paths}")
     names = CONTRACTS[spec.name].names
 
     def scan(header: tuple[str, ...], parts: list[str]) -> DataFrame:
         check_columns(spec.name, set(header))
         if len(set(header)) < len(header):
-            raise ContractError(f"[{spec.name}] repeated columns in header: {header}")
-        schema = StructType([StructField(n, StringType()) for n in (*header, OVERFLOW)])
-        raw = (
-            spark.read.schema(schema)
-            .options(header=True, escape='"', multiLine=spec.quoted_newlines)
-            .csv(parts)
-        )
+            raise ContractError(f"{spec.name}: a column appears twice in the header {header}")
+        schema = StructType([StructField(n, StringType()) for n in (*header, ODD)])
+        options = {"header": True, "escape": '"', "multiLine": True, "columnNameOfCorruptRecord": ODD}
+        raw = spark.read.schema(schema).options(**options).csv(parts)
         cells = [F.when(~F.col(n).isin(*NA_TOKENS), F.col(n)).alias(n) for n in names]
-        return raw.select(*cells, OVERFLOW, _file())
+        wider = F.size(F.split(F.regexp_replace(ODD, '"[^"]*"', ""), ",", -1)) > len(header)
+        return raw.select(*cells, ODD, F.coalesce(wider, F.lit(False)).alias(WIDE), _file())
 
     scans = [scan(header, parts) for header, parts in sorted(by_header.items())]
-    first, *rest = scans
-    for other in rest:
-        first = first.unionByName(other)
-    return first
+    return reduce(DataFrame.unionByName, scans)
 
 
 def read_json(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
     """One VARIANT ``v`` per record, keeping the delivered type of every value.
 
-    An array file is parsed by one task; deliveries in many part files or in JSON lines
-    (``json_lines``) spread over the cluster. Broken JSON is an error.
+    An array file is parsed by one task as one VARIANT, which has a fixed bound; a larger file is
+    refused before anything is read. Deliveries in part files or in JSON lines (``json_lines``)
+    have no bound and spread over the cluster. Broken JSON is an error.
     """
     reader = spark.read.option("mode", "FAILFAST")
     if spec.json_lines:
         return reader.option("singleVariantColumn", "v").json(paths).select("v", _file())
-    reader = reader.option("multiLine", True)
-    parts = [part for path in paths for part in fs.data_files(spark, path)]
-    if all(size <= VARIANT_BYTES for _, size in parts):
-        arrays = reader.option("singleVariantColumn", "v").json(paths).select("v", _file())
-        element = F.explode(F.variant_get("v", "$", "array<variant>"))
-        return arrays.select(element.alias("v"), "_file")
-    # A file too large for one VARIANT: find the keys first, then read each as a VARIANT column.
-    keys = reader.json(paths).columns
-    schema = ", ".join(f"`{k}` variant" for k in keys)
-    records = spark.read.schema(schema).options(multiLine=True, mode="FAILFAST").json(paths)
-    packed = F.to_variant_object(F.struct(*[F.col(f"`{k}`") for k in keys]))
-    return records.select(packed.alias("v"), _file())
+    large = [part for path in paths for part, size in fs.data_files(spark, path) if size > VARIANT_BYTES]
+    if large:
+        raise ContractError(
+            f"{spec.name}: an array file may have {VARIANT_BYTES} bytes; deliver part files or JSON lines instead of {large}"
+        )
+    arrays = reader.option("multiLine", True).option("singleVariantColumn", "v").json(paths).select("v", _file())
+    return arrays.select(F.explode(F.variant_get("v", "$", "array<variant>")).alias("v"), "_file")
 
 
 READERS: dict[str, Callable[[SparkSession, SourceSpec, list[str]], DataFrame]] = {

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -14,9 +16,7 @@ from ..contracts import (
     bronze_schema,
     declared_schema,
     schema_diff,
-    signature,
 )
-from ..operators.lookups import narrow
 from ..settings import Settings
 from . import fs
 
@@ -76,14 +76,11 @@ def staging_path(s: Settings, name: str) -> str:
 # -- full refresh ------------------------------------------------------------------------
 
 
-def replace(df: DataFrame, path: str, partition: str | None = None, sort: list[str] = ()) -> None:
-    """Overwrite a table that ``df`` does not read. ``sort`` clusters the files for min/max skipping."""
-    shaped = _rebalanced(df, partition) if partition else df
-    if sort:
-        keys = ([partition] if partition else []) + list(sort)
-        shaped = shaped.sortWithinPartitions(*keys)
-    writer = shaped.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+def replace(df: DataFrame, path: str, partition: str, sort: list[str] = ()) -> None:
+    """Replace a partitioned table that ``df`` does not read, day by day: a reader sees each day old
+    or new, and a failure before the commit changes nothing. ``sort`` clusters the files."""
+    doomed = set(_partition_values(df.sparkSession, path, partition))
+    swap(df, path, partition, doomed, sort)
 
 
 def _versions(spark: SparkSession, path: str) -> list[str]:
@@ -97,7 +94,7 @@ def current(spark: SparkSession, path: str) -> str:
 
 
 def replace_self(df: DataFrame, path: str) -> None:
-    """Replace a table that ``df`` may read: write a new version beside it.
+    """Replace a table, which ``df`` may read: write a new version beside it.
 
     Readers see the new version once its job committed; one older version is kept for them.
     """
@@ -112,56 +109,68 @@ def replace_self(df: DataFrame, path: str) -> None:
 # -- partition writes --------------------------------------------------------------------
 
 
-SMALL_WRITE = 2_000_000  # rows; below it a write is bound by its number of files, not by bytes
-
+SPREAD = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
 
-def _rebalanced(df: DataFrame, partition: str, rows: int | None = None) -> DataFrame:
-    """Group rows by partition value for few files.
 
-    The run-time rebalance splits a huge day over several tasks, but packs a small write into
-    one task however many days it holds; a write known to be small is spread evenly instead.
-    """
-    if rows is not None and rows <= SMALL_WRITE:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return df.repartition(tasks, partition)
+def _rebalanced(df: DataFrame, partition: str) -> DataFrame:
+    """Group rows by partition value for few files; a huge day is split over several tasks."""
     return df.hint("rebalance", F.col(partition))
 
 
+@contextmanager
+def _spread(spark: SparkSession) -> Iterator[None]:
+    """While a table of many days is written, the run-time rebalance may make small tasks: such a
+    write is bound by its number of files, not by bytes."""
+    before = spark.conf.get(SPREAD)
+    spark.conf.set(SPREAD, "16k")
+    try:
+        yield
+    finally:
+        spark.conf.set(SPREAD, before)
+
+
 def _folder(partition: str) -> Column:
     return F.coalesce(F.col(partition).cast("string"), F.lit(NO_VALUE))
 
 
-def _sizes(df: DataFrame, partition: str) -> dict[str, int]:
-    """Rows per partition value, as folder names spell it (one entry per calendar day)."""
-    counted = df.groupBy(_folder(partition).alias("p")).agg(F.count("*").alias("n"))
-    return {row.p: row.n for row in counted.collect()}
+def values_of(df: DataFrame, partition: str) -> set[str]:
+    """The partition values present, as folder names spell them (one per calendar day)."""
+    return {r[0] for r in df.select(_folder(partition)).distinct().collect()}
 
 
-def swap(staged: DataFrame, path: str, partition: str, doomed: set[str], sort: list[str] = ()) -> None:
+def swap(
+    staged: DataFrame, path: str, partition: str, doomed: set[str], sort: list[str] = (), present: set[str] | None = None
+) -> None:
     """Make ``doomed`` and every partition present in ``staged`` hold exactly the staged rows.
 
     ``staged`` must not read ``path``. Other partitions are untouched. Repeating the call gives
-    the same table, so a failed run is simply run again.
-    """
+    the same table, so a failed run is simply run again. ``present``, where the caller knows them,
+    are the staged partitions; they are looked up otherwise.
+    """
     spark = staged.sparkSession
-    kept = _sizes(staged, partition)
-    shaped = _rebalanced(staged, partition, sum(kept.values()))
+    if doomed and present is None:
+        present = values_of(staged, partition)
+    shaped = _rebalanced(staged, partition)
     if sort:
         shaped = shaped.sortWithinPartitions(partition, *sort)
-    (
-        shaped.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(partition)
-        .parquet(path)
-    )
-    for value in sorted(doomed - kept.keys()):
+    with _spread(spark):
+        (
+            shaped.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(partition)
+            .parquet(path)
+        )
+    for value in sorted(doomed - (present or set())):
         fs.remove(spark, f"{path}/{partition}={value}")
 
 
-def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Upsert: rows of ``batch`` replace those of ``target`` with the same key."""
-    keys = batch.select(key).distinct()
-    return target.join(keys, key, "left_anti").unionByName(batch)
+def _finish(spark: SparkSession, path: str, staging: str, partition: str, schema: StructType, sort: list[str]) -> None:
+    """Complete a merge whose staged rows are whole; the swap can be repeated."""
+    touched = fs.read_text(spark, f"{staging}/_touched")
+    if touched is not None:
+        merged = spark.read.schema(schema).parquet(f"{staging}/merged")
+        swap(merged, path, partition, {v for v in touched.split("\n") if v}, sort)
+    fs.remove(spark, staging)
 
 
 def upsert(
@@ -171,58 +180,100 @@ def upsert(
     name: str,
     key: str,
     partition: str,
-    doomed_rows: DataFrame | None = None,
+    doomed: DataFrame | None = None,
+    stale: Column | None = None,
     sort: list[str] = (),
 ) -> None:
     """Merge ``batch`` into a partitioned table, rewriting only the partitions it touches.
 
-    Touched are the partitions of the batch and those of the rows it replaces (a key may move to
-    another day). ``doomed_rows`` are existing rows to remove even without a replacement.
-    The batch is staged first, so nothing is overwritten while it is read.
+    Removed are the stored rows whose key is in the batch or in ``doomed`` (one key column) and
+    those that ``stale`` holds for; then the batch is added. The merged partitions are staged, then
+    marked as whole, then swapped in. A run that was cut off is finished by the next call: before
+    the mark nothing has changed, after it the swap is repeated from the staged rows.
     """
     spark = batch.sparkSession
-    path = s.path(layer, name)
-    staging = staging_path(s, name)
-    batch_path, merged_path = f"{staging}/batch", f"{staging}/merged"
-    batch.write.parquet(batch_path)
-    batch = spark.read.schema(batch.schema).parquet(batch_path)
+    path, staging = s.path(layer, name), s.path("_staging", f"{layer}-{name}")
+    schema = batch.schema
+    _finish(spark, path, staging, partition, schema, sort)
+    fs.remove(spark, f"{staging}-batch")
+    batch.write.parquet(f"{staging}-batch")
+    batch = spark.read.schema(schema).parquet(f"{staging}-batch")
     if not fs.exists(spark, path):
         swap(batch, path, partition, set(), sort)
-        fs.remove(spark, staging)
+        fs.remove(spark, f"{staging}-batch")
         return
-
-    target = spark.read.schema(batch.schema).parquet(path)
-    doomed_keys = batch.select(key)
-    if doomed_rows is not None:
-        doomed_keys = doomed_keys.unionByName(doomed_rows.select(key))
-    doomed_keys = doomed_keys.distinct()
-    hit = narrow(target.select(key, partition), doomed_keys, key, s.broadcast_rows)
-    touched = _sizes(hit, partition).keys() | _sizes(batch, partition).keys()
-    inside = partitions(spark, path, partition, batch.schema, touched.__contains__)
-    rows = inside.join(doomed_keys, key, "left_anti").unionByName(batch.select(target.columns))
-    rows.write.parquet(merged_path)
-    swap(spark.read.schema(batch.schema).parquet(merged_path), path, partition, set(touched), sort)
-    fs.remove(spark, staging)
+    keys = batch.select(key)
+    if doomed is not None:
+        keys = keys.unionByName(doomed.select(key))
+    keys = keys.filter(F.col(key).isNotNull()).distinct()
+    target = spark.read.schema(schema).parquet(path)
+    touched = values_of(target.join(keys, key, "left_semi"), partition) | values_of(batch, partition)
+    if stale is not None:
+        touched |= values_of(target.filter(stale), partition)
+    kept = partitions(spark, path, partition, schema, touched.__contains__)
+    if stale is not None:
+        kept = kept.filter(~F.coalesce(stale, F.lit(False)))
+    merged = kept.join(keys, key, "left_anti").select(*schema.names).unionByName(batch)
+    merged.write.parquet(f"{staging}/merged")
+    fs.write_text(spark, f"{staging}/_touched", "\n".join(sorted(touched)))
+    _finish(spark, path, staging, partition, schema, sort)
+    fs.remove(spark, f"{staging}-batch")
 
 
 # -- bronze ------------------------------------------------------------------------------
 
 
-def check_drift(stored: DataFrame, name: str) -> None:
-    """A stored table whose shape left the contract must be migrated, not silently mixed."""
-    declared = bronze_schema(name)
-    if signature(stored.schema) != signature(declared):
-        raise ContractError(
-            f"stored table {name} no longer matches its contract; migrate or rebuild it:\n"
-            + schema_diff(stored.schema, declared)
-        )
+def _contract_file(path: str) -> str:
+    return f"{path}/_contract"  # readers skip names that begin so
+
+
+def _contract_text(name: str) -> str:
+    return bronze_schema(name).json()
+
 
+def note_contract(spark: SparkSession, path: str, name: str) -> None:
+    """Keep the schema the table was last written with beside it."""
+    fs.write_text(spark, _contract_file(path), _contract_text(name))
+
+
+def check_drift(spark: SparkSession, path: str, name: str, partition: str) -> None:
+    """A table written under another contract must be migrated, not mixed with new rows.
+
+    The kept schema tells, whatever the table's size; without one, the newest partition does.
+    """
+    kept = fs.read_text(spark, _contract_file(path))
+    if kept is not None:
+        stored = StructType.fromJson(json.loads(kept))
+    else:
+        newest = newest_partition(spark, path, partition)
+        folder = f"{path}/{partition}={newest}" if newest else current(spark, path)
+        stored = _schema(spark, folder, path)
+    differences = schema_diff(stored, bronze_schema(name))
+    if differences:
+        raise ContractError(f"{name}: the stored table has another shape, migrate or rebuild it (column, stored, declared): {differences}")
 
-def audit(spark: SparkSession, s: Settings, name: str) -> str:
-    """Difference between a stored bronze table, merged over all its files, and its contract."""
-    path = current(spark, s.path("bronze", name))
-    stored = spark.read.option("mergeSchema", True).parquet(path)
-    return schema_diff(stored.schema, bronze_schema(name))
+
+def _schema(spark: SparkSession, folder: str, path: str) -> StructType:
+    return spark.read.option("basePath", path).parquet(folder).schema
+
+
+AUDIT = "table_name string, partition string, column_name string, stored string, declared string"
+
+
+def audit(spark: SparkSession, s: Settings, name: str) -> DataFrame:
+    """Columns of a stored bronze table that differ from the contract, per partition.
+
+    Partitions are looked at one by one, by a file's footer each, so that shapes which can't be
+    merged with each other are reported like any others.
+    """
+    path = s.path("bronze", name)
+    folders = _partition_values(spark, path, PARTITION) or {"": current(spark, path)}
+    rows = [
+        (name, value, *difference)
+        for value, folder in sorted(folders.items())
+        for difference in schema_diff(_schema(spark, folder, path), bronze_schema(name))
+    ]
+    return spark.createDataFrame(rows, AUDIT)
 
 
 def write_hive_layout(df: DataFrame, zone: str) -> None:

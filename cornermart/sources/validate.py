@@ -20,6 +20,7 @@ from pyspark.sql.types import (
 from ..contracts import CONTRACTS
 
 SAMPLE = 5  # offenders quoted per column
+EVERY_RECORD = "\0"  # not a key of any delivery
 
 
 def kind(value: Column) -> Column:
@@ -105,24 +106,29 @@ def undeclared(source_name: str) -> Column:
 
 
 def column_report(raw: DataFrame, source_name: str) -> DataFrame:
-    """Columns missing from every record and columns nobody declared: (issue, column_name, n_rows)."""
-    names = CONTRACTS[source_name].names
-    seen = opened(raw, source_name).agg(
-        F.count("*").alias("n_rows"), *[F.count(member(n)).alias(f"has_{n}") for n in names]
-    )
-    absent = F.filter(
-        F.array(*[F.when(F.col(f"has_{n}") == 0, F.lit(n)) for n in names]), lambda n: n.isNotNull()
+    """Columns missing from every record and columns nobody declared: (issue, column_name, n_rows).
+
+    One pass: each record gives its keys and, for the number of records, an empty key. After the
+    count there is one row per distinct key.
+    """
+    names = F.array(*[F.lit(n) for n in CONTRACTS[source_name].names])
+    keys = F.map_keys(F.try_variant_get("v", "$", "map<string,variant>"))
+    every = F.array_append(F.coalesce(keys, F.array().cast("array<string>")), F.lit(EVERY_RECORD))
+    counted = raw.select(F.explode(every).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    seen = counted.agg(
+        F.collect_set("key").alias("keys"),
+        F.max(F.when(F.col("key") == EVERY_RECORD, F.col("n"))).alias("n_rows"),
+        F.collect_list(F.when(~F.array_contains(names, F.col("key")) & (F.col("key") != EVERY_RECORD), F.struct("key", "n"))).alias("extra"),
     )
-    missing = seen.select(
-        F.lit("missing").alias("issue"), F.explode(absent).alias("column_name"), "n_rows"
+    missing = F.transform(
+        F.array_except(names, F.col("keys")),
+        lambda n: F.struct(F.lit("missing").alias("issue"), n.alias("column_name"), F.col("n_rows").alias("n_rows")),
     )
-    extra = (
-        raw.select(F.explode(undeclared(source_name)).alias("column_name"))
-        .groupBy("column_name")
-        .agg(F.count("*").alias("n_rows"))
-        .select(F.lit("unexpected").alias("issue"), "column_name", "n_rows")
+    extra = F.transform(
+        "extra",
+        lambda e: F.struct(F.lit("unexpected").alias("issue"), e["key"].alias("column_name"), e["n"].alias("n_rows")),
     )
-    return missing.unionByName(extra)
+    return seen.filter("n_rows > 0").select(F.inline(F.concat(missing, extra)))
 
 
 def violations(raw: DataFrame, source_name: str) -> DataFrame:

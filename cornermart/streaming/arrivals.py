@@ -7,9 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..contracts import PARTITION, SNAPSHOT, SOURCES, source
+from ..contracts import SOURCES, source
 from ..settings import Settings
-from ..sources import bronze, tables
+from ..sources import bronze
 
 # Fixed value: a delivery is <source>_<day>.<csv|json>, or a folder of that name with part files.
 _DELIVERY = r"([a-z_]+)_(\d{4}-\d{2}-\d{2})\.(?:csv|json)(?:/[^/]*)?$"
@@ -25,12 +25,6 @@ def deliveries(files: DataFrame) -> DataFrame:
     ).filter(F.col("source").isin([s.name for s in SOURCES]) & F.col("day").isNotNull())
 
 
-def _outdated(spark: SparkSession, s: Settings, name: str, day: date) -> bool:
-    """A snapshot older than the stored one arrived late."""
-    newest = tables.table(spark, s, "bronze", name).agg(F.max(PARTITION)).first()[0]
-    return newest is not None and day < newest
-
-
 def load_arrivals(spark: SparkSession, s: Settings):
     """foreachBatch body: load each (source, day) that got a file through the day swap.
 
@@ -41,9 +35,7 @@ def load_arrivals(spark: SparkSession, s: Settings):
     def load(batch: DataFrame, _: int) -> None:
         arrived = deliveries(batch).distinct().orderBy("day", "source").collect()
         for row in arrived:
-            spec = source(row.source)
-            if spec.load_strategy != SNAPSHOT or not _outdated(spark, s, spec.name, row.day):
-                bronze.load_day(spark, s, spec, row.day)
+            bronze.load_day(spark, s, source(row.source), row.day)
 
     return load
 

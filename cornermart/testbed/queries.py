@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DecimalType, IntegerType
@@ -12,7 +13,8 @@ from ..functions import timefx
 from ..operators import gold, quality, silver
 from ..plans import daily_build, incremental
 from ..session import materialise, scratch
-from ..sources import bronze, tables, validate
+from ..settings import Settings
+from ..sources import bronze, fs, tables, validate
 from . import views
 from .views import Shop
 
@@ -32,8 +34,17 @@ def present(df: DataFrame) -> DataFrame:
     return df.select(*[plain(f.name, f.dataType) for f in df.schema.fields])
 
 
+def _lake(w: Shop, name: str) -> Settings:
+    return replace(w.s, root=scratch(w.spark, name))
+
+
 def _snapshot_latest(w: Shop) -> DataFrame:
-    return bronze.latest_snapshot(w.subs)
+    """Store all older records as a snapshot, then the newest day's; the stored table is the newest."""
+    s, newest = _lake(w, "snapshots"), w.subs.agg(F.max(PARTITION)).first()[0]
+    path = s.path("bronze", "recharge_subscriptions")
+    for day in (F.col(PARTITION) < F.lit(newest), F.col(PARTITION) == F.lit(newest)):
+        tables.replace_self(w.subs.filter(day), path)
+    return w.spark.read.schema(w.subs.schema).parquet(tables.current(w.spark, path))
 
 
 def _partition_swap(w: Shop) -> DataFrame:
@@ -45,24 +56,54 @@ def _partition_swap(w: Shop) -> DataFrame:
         "total_price", (F.col("total_price") * F.lit("0.9").cast("decimal(2,1)")).cast("decimal(18,4)")
     )
     tables.swap(again, path, PARTITION, set())
-    stored = w.spark.read.parquet(path)
+    stored = w.spark.read.schema(orders.schema).parquet(path)
     return stored.select("order_id", "total_price", "financial_status", PARTITION)
 
 
 def _incremental_new_rows(w: Shop) -> DataFrame:
-    target = silver.online_orders(w.web).filter(F.col("order_run_date") < CUTOFF)
-    fresh = incremental.new_rows(w.web, target, "order_run_date")
+    """Silver holds the orders before the cutoff; the job's watermark picks the bronze days after it."""
+    s = _lake(w, "increment")
+    tables.swap(w.web.drop("line_items"), s.path("bronze", incremental.WEB), PARTITION, set())
+    orders = silver.online_orders(w.web).filter(F.col("order_run_date") < CUTOFF).select("order_id", "order_run_date")
+    tables.swap(orders, s.path("silver", "stg_orders"), "order_run_date", set())
+    fresh = incremental.new_days(w.spark, s, incremental.WEB)
     return fresh.select("order_id", "customer_email", "total_price", PARTITION)
 
 
 def _upsert_merge(w: Shop) -> DataFrame:
     """Stored orders before the cutoff; the batch brings later ones and restates the last month."""
-    orders = silver.online_orders(w.web)
-    target = orders.filter(F.col("order_run_date") < CUTOFF)
+    s, orders = _lake(w, "upsert"), silver.online_orders(w.web)
+    tables.swap(orders.filter(F.col("order_run_date") < CUTOFF), s.path("silver", "orders"), "order_run_date", set())
     batch = orders.filter(F.col("order_run_date") >= "1999-12-01").withColumn(
         "currency", F.concat(F.lit("re-"), "currency")
     )
-    return tables.merged(target, batch, "order_id")
+    tables.upsert(batch, s, "silver", "orders", "order_id", "order_run_date")
+    stored = w.spark.read.schema(orders.schema).parquet(s.path("silver", "orders"))
+    return stored.select(*orders.columns)
+
+
+def _two_part_load(w: Shop) -> DataFrame:
+    """Bronze and silver loaded in two parts, with tickets, deliveries and refunds across the cut:
+    the second part is brought in by the daily job. The refunds must be those of a full build."""
+    s = _lake(w, "parts")
+    year = F.trunc(PARTITION, "year").alias(PARTITION)  # one folder per year keeps the trial's files few
+    sources = {incremental.WEB: w.web, incremental.POS: w.pos, incremental.SHIP: w.ship}
+    seeds = {"store_timezones": w.zones, "exchange_rates": w.rates}
+    for name, df in seeds.items():
+        tables.replace_self(df, s.path("silver", name))
+    tables.replace_self(w.subs, s.path("bronze", "recharge_subscriptions"))
+    yearly = {n: df.select(*[c for c in df.columns if c != PARTITION], year) for n, df in sources.items()}
+    late = F.col(PARTITION) >= "1997-01-01"
+    for part in (~late, late):
+        for name, df in yearly.items():
+            rows = df.filter(part)
+            path = s.path("bronze", name)
+            tables.swap(rows, path, PARTITION, set())
+            for day in tables.values_of(rows, PARTITION):
+                fs.write_text(w.spark, bronze.pending_marker(s, name, day), "")
+        incremental.update(w.spark, s)
+    stored = incremental.stored(w.spark, s, "stg_refunds")
+    return stored.select("refund_id", "order_id", "amount_usd", "delivered_at", "refund_ts", "within_policy_window")
 
 
 def _freshness(w: Shop) -> DataFrame:
@@ -78,12 +119,12 @@ def _freshness(w: Shop) -> DataFrame:
 
 
 def _tenure(w: Shop) -> DataFrame:
-    base = materialise(gold.rfm_base(w.stg_orders, w.stg_customers, w.s))
+    base = gold.rfm_base(w.stg_orders, w.stg_customers, w.s)
     return gold.subscriber_tenure(w.stg_subscriptions, gold.reference_day(base), w.s)
 
 
 def _quintiles(w: Shop) -> DataFrame:
-    return gold.rfm_quintiles(materialise(gold.rfm_base(w.stg_orders, w.stg_customers, w.s)), w.s)
+    return gold.rfm_quintiles(materialise(gold.rfm_base(w.stg_orders, w.stg_customers, w.s)))
 
 
 def _local(w: Shop, ts: str = "order_ts_raw") -> Column:
@@ -102,22 +143,21 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "partition_swap": _partition_swap,
     "incremental_new_rows": _incremental_new_rows,
     "upsert_merge": _upsert_merge,
+    "two_part_load": _two_part_load,
     "freshness": _freshness,
     # time functions
     "ts_parse_utc": lambda w: w.web.select(
         "order_id", timefx.parse_utc(F.col("created_at")).alias("created_utc")
     ),
-    "ts_naive_to_utc": lambda w: w.zones.join(
-        w.pos.groupBy("transaction_id", "location_id", "created_at_local").count(),
-        ["location_id"],
-        "inner",
-        "transaction_id",
-    ).select(
+    "ts_naive_to_utc": lambda w: w.pos.groupBy("transaction_id", "location_id", "created_at_local")
+    .count()
+    .join(w.zones, "location_id")
+    .select(
         "transaction_id",
         timefx.naive_to_utc(F.col("created_at_local"), F.col("timezone_name")).alias("created_utc"),
     ),
     "ts_utc_to_local": lambda w: silver.online_orders(w.web).select(
-        "order_id", _local(w).alias("order_ts_local")
+        "order_id", _local(w).alias("ticket_clock")
     ),
     "week_start": lambda w: silver.online_orders(w.web).select(
         "order_id", timefx.week_start(_local(w)).alias("week_start_date")

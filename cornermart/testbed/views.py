@@ -13,12 +13,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import gold, silver
-from ..operators.lookups import Lookup
 from ..session import materialise, pin
 from ..settings import Settings
 
-_LOOKUPS: dict[tuple[str, str], Lookup] = {}
-
 _CLOCK = """concat(lpad(cast(6 + k % 17 as string), 2, '0'), ':', lpad(cast(k % 60 as string), 2, '0'), ':00',
     case k % 4 when 0 then '-04:00' when 1 then '-05:00' else '-07:00' end)"""
 _REFUND = "k % 23 = 1 or (k % 37 = 0 and k % 2 = 0) or (month(d) = 6 and day(d) < 8 and k % 4 = 1)"
@@ -133,10 +130,10 @@ def shipstation_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def zendesk_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The opening message of each conversation."""
-    opening = spark.read.parquet(f"{sf_dir}/conversations.parquet").filter("turn = 0")
-    return opening.selectExpr(
-        "concat('ZD-', conv_id) as ticket_id",
+    """One ticket per message of a conversation."""
+    messages = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return messages.selectExpr(
+        "concat('ZD-', conv_id, '-', turn) as ticket_id",
         "case when conv_id % 3 <> 0 then concat('user', conv_id, '@example.com') end as requester_email",
         "text as subject",
         "concat(date_add(date'2001-01-01', cast(conv_id % 365 as int)), 'T09:00:00-04:00') as created_at",
@@ -192,21 +189,13 @@ def _exchange_rates(spark: SparkSession) -> DataFrame:
     return usd.unionByName(cad)
 
 
-def _lookup(spark: SparkSession, name: str, s: Settings) -> Lookup:
-    key = (spark.sparkContext.applicationId, name)
-    if key not in _LOOKUPS:
-        build = {"zones": _store_timezones, "rates": _exchange_rates}[name]
-        _LOOKUPS[key] = Lookup.of(build(spark), s.broadcast_rows, s.salts)
-    return _LOOKUPS[key]
-
-
 class Shop:
     """Bronze views, cleaned tables and business tables over one test-data folder, built lazily."""
 
     def __init__(self, spark: SparkSession, sf_dir: str, settings: Settings | None = None):
         self.spark, self.sf_dir, self.s = pin(spark), sf_dir, settings or Settings()
-        self.zones = _lookup(spark, "zones", self.s)
-        self.rates = _lookup(spark, "rates", self.s)
+        self.zones = _store_timezones(spark)
+        self.rates = _exchange_rates(spark)
 
     def _view(self, build) -> DataFrame:
         return build(self.spark, self.sf_dir)

@@ -1,12 +1,14 @@
 """End-to-end: any split of days, late deliveries, replays and re-deliveries agree with a full refresh."""
 
 from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
 
 import deliveries as d
-from cornermart.operators import silver
+from cornermart import __main__ as main
+from cornermart.contracts import SOURCES
 from cornermart.plans import daily_build, incremental
 from cornermart.settings import Settings
 from cornermart.sources import bronze, tables
@@ -103,20 +105,23 @@ def test_full_refresh_contents(spark, full):
 
 def test_daily_runs_equal_full_refresh(spark, raw, seeds, full, tmp_path):
     s = Settings(root=str(tmp_path), raw=str(raw))
-    daily_build.backfill(spark, s, [D3, D4, D5], seeds)
+    for day in (D3, D4, D5):
+        daily_build.run_days(spark, s, [day], seeds)
     expected = contents(spark, full[0])
     assert contents(spark, s) == expected
-    # replaying the newest day and a past day changes nothing
-    daily_build.run_day(spark, s, D5, seeds)
-    daily_build.run_day(spark, s, D3, seeds, again=True)
-    # the snapshot source now holds day 3 again, so only tables without subscriptions compare
-    names = ("stg_customers", "stg_orders", "stg_refunds", "fact_weekly_revenue", "fact_refund_alerts")
-    assert contents(spark, s, names) == {n: expected[n] for n in names}
+    # replaying the newest day and a past day changes nothing; the older snapshot stays out
+    daily_build.run_days(spark, s, [D5, D3], seeds)
+    assert contents(spark, s) == expected
     log = spark.read.parquet(s.path("ops", "run_log"))
     assert log.filter("status = 'skipped' and table_name = 'zendesk_tickets'").count() == 1
+    assert log.filter("status = 'outdated'").count() == 1
     assert log.filter("step = 'ingest' and table_name = 'shopify_orders'").count() == 5
+    built = log.filter("step in ('silver', 'gold') and rows is not null")
+    assert built.select("table_name").distinct().count() == 9 and built.count() == 4 * 9
     history = spark.read.parquet(s.path("ops", "check_history"))
-    assert history.select("checked_at").distinct().count() == 5
+    assert history.select("checked_at").distinct().count() == 4
+    fresh = spark.read.parquet(s.path("ops", "freshness"))
+    assert fresh.count() == 4 * 5 and bronze.pending(spark, s) == {}
 
 
 def test_silver_any_split_and_first_days_without_refunds(spark, raw, seeds, full, tmp_path):
@@ -129,10 +134,7 @@ def test_silver_any_split_and_first_days_without_refunds(spark, raw, seeds, full
         incremental.update(spark, s)
     assert incremental.stored(spark, s, "stg_refunds").count() == 2
     bronze.ingest_day(spark, s, D3)  # an older day arrives last: the watermark alone would skip it
-    before = incremental.stored(spark, s, "stg_orders").count()
     incremental.update(spark, s)
-    assert incremental.stored(spark, s, "stg_orders").count() == before
-    incremental.reprocess(spark, s, [D3])
     names = ("stg_customers", "stg_orders", "stg_refunds")
     expected = contents(spark, full[0], names)
     assert contents(spark, s, names) == expected
@@ -149,7 +151,7 @@ def test_redelivered_day_with_fewer_orders(spark, seeds, tmp_path):
     incremental.update(spark, s)
     d.write_json(raw, "shopify_orders", "2026-08-03", [d.web("#2", customer_email="b@x.com", total_price=1)])
     bronze.ingest_day(spark, s, D3)
-    incremental.reprocess(spark, s, [D3])
+    incremental.update(spark, s)
     fresh = Settings(root=str(tmp_path / "b"), raw=str(raw))
     daily_build.load_seeds(spark, fresh, seeds)
     for day in (D3, D4):
@@ -168,29 +170,131 @@ def test_first_seen_never_moves_forward(spark):
     assert got == {"a": D3, "b": D3, "c": D5}
 
 
-def test_watermark_of_an_empty_target_keeps_everything(spark):
-    source = spark.createDataFrame([(1, D3), (2, D4)], "v int, _run_date date")
-    target = spark.createDataFrame([], "order_run_date date")
-    assert incremental.new_rows(source, target, "order_run_date").count() == 2
-    target = spark.createDataFrame([(D3,)], "order_run_date date")
-    assert [r.v for r in incremental.new_rows(source, target, "order_run_date").collect()] == [2]
+def test_watermark_picks_the_days_after_it(spark, tmp_path):
+    s = Settings(root=str(tmp_path))
+    rows = spark.createDataFrame([("#1", D3), ("#2", D4)], "order_id string, _run_date date")
+    tables.swap(rows, s.path("bronze", "shopify_orders"), "_run_date", set())
+    ids = lambda: sorted(r.order_id for r in incremental.new_days(spark, s, "shopify_orders").collect())
+    assert ids() == ["#1", "#2"]
+    tables.swap(rows.filter("order_id = '#1'").withColumnRenamed("_run_date", "order_run_date"), s.path("silver", "stg_orders"), "order_run_date", set())
+    assert ids() == ["#2"]
 
 
-def test_update_reads_only_new_days(spark, full):
-    """The watermark is a literal that prunes bronze partitions."""
-    s, _ = full
-    web = tables.table(spark, s, "bronze", "shopify_orders")
-    fresh = incremental.new_rows(web, incremental.stored(spark, s, "stg_orders"), "order_run_date")
-    plan = silver.online_orders(fresh)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(_run_date" in plan and "> 2026-08-05" in plan
-    columns = plan.split("ReadSchema: struct<")[1]
-    assert "line_items" not in columns and "refunds" not in columns
+# -- any order of arrival equals a full rebuild ------------------------------------------
+
+
+def days_apart(spark, tmp_path, seeds, first, second):
+    """Tables after ``first`` and ``second`` were delivered and run one after the other, and after one rebuild."""
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    lakes = [Settings(root=str(tmp_path / n), raw=str(raw)) for n in ("daily", "full")]
+    for deliver, days in (first, second):
+        deliver(raw)
+        daily_build.run_days(spark, lakes[0], days, seeds)
+    daily_build.run_history(spark, lakes[1], seeds)
+    return [contents(spark, s) for s in lakes]
+
+
+def quiet(raw, day, web=(), pos=(), subs=None, ship=()):
+    d.write_day(raw, day, list(web) or [d.web(f"#q{day}")], list(pos) or [d.pos(f"q{day}")], [d.sub("RC-1")] if subs is None else subs,
+                list(ship) or [d.ship(f"Sq{day}", f"#q{day}")], [])
+
+
+def test_ticket_with_lines_on_two_days(spark, tmp_path, seeds):
+    first = (lambda raw: quiet(raw, "2026-08-03", pos=[d.pos("T1", unit_price="5.00"), d.pos("T9")]), [D3])
+    second = (lambda raw: quiet(raw, "2026-08-04", pos=[d.pos("T1", unit_price="7.00")]), [D4])
+    daily, whole = days_apart(spark, tmp_path, seeds, first, second)
+    assert daily == whole
+    (ticket,) = [r for r in daily["stg_orders"] if "T1" in r]
+    assert Decimal("12.00") in [x for x in ticket if isinstance(x, Decimal)]
+
+
+def test_shipment_file_that_arrives_after_its_day(spark, tmp_path, seeds):
+    refunds = [d.refund("R1", 2.5, "2026-08-06T10:00:00-04:00")]
+
+    def first(raw):
+        quiet(raw, "2026-08-03", web=[d.web("#1", refunds=refunds)])
+        quiet(raw, "2026-08-04")
+
+    def second(raw):
+        quiet(raw, "2026-08-03", web=[d.web("#1", refunds=refunds)], ship=[d.ship("S1", "#1", last_scan_at="2026-08-04T12:00:00-04:00")])
+
+    daily, whole = days_apart(spark, tmp_path, seeds, (first, [D3, D4]), (second, [D3]))
+    assert daily == whole
+    assert datetime(2026, 8, 4, 16) in [x for r in daily["stg_refunds"] for x in r]
+
+
+def test_order_exported_again_later(spark, tmp_path, seeds):
+    refunds = [d.refund("R1", 2.5, "2026-08-04T10:00:00-04:00"), d.refund("R2", 1, "2026-08-04T11:00:00-04:00")]
+    first = (lambda raw: quiet(raw, "2026-08-03", web=[d.web("#1", refunds=refunds), d.web("#2"), d.web("#3")]), [D3])
+    again = [d.web("#1", total_price=9, refunds=refunds[:1]), d.web("#3", cancelled_at="2026-08-04T12:00:00-04:00")]
+    second = (lambda raw: quiet(raw, "2026-08-04", web=again), [D4])
+    daily, whole = days_apart(spark, tmp_path, seeds, first, second)
+    assert daily == whole
+    assert sum("#1" in r for r in daily["stg_orders"]) == 1 and not any("#3" in r for r in daily["stg_orders"])
+    assert len(daily["stg_refunds"]) == 1
+
+
+def test_past_day_delivered_again_with_an_older_snapshot(spark, tmp_path, seeds):
+    def first(raw):
+        quiet(raw, "2026-08-03", web=[d.web("#1"), d.web("#2")], subs=[d.sub("RC-1")])
+        quiet(raw, "2026-08-04", web=[d.web("#1", total_price=3)], subs=[d.sub("RC-1", status="cancelled", cancellation_reason="customer_cancelled")])
+
+    def second(raw):
+        quiet(raw, "2026-08-03", web=[d.web("#1", total_price=99), d.web("#5")], subs=[d.sub("RC-1")])
+
+    daily, whole = days_apart(spark, tmp_path, seeds, (first, [D3, D4]), (second, [D3]))
+    assert daily == whole
+    assert not any("#2" in r for r in daily["stg_orders"])
+    assert any("voluntarily_churned" in r for r in daily["fact_subscription_churn"])
+
+
+def test_a_new_day_opens_only_its_own_bronze_files(spark, full, monkeypatch, raw, seeds, tmp_path):
+    """Orders and tickets of earlier days aren't listed when nothing of them is touched."""
+    s = Settings(root=str(tmp_path), raw=str(raw))
+    daily_build.run_days(spark, s, [D3, D4], seeds)
+    for spec in SOURCES:
+        bronze.load_day(spark, s, spec, D5)
+    web, _ = incremental._online_batch(spark, s, {"2026-08-05"}, "2026-08-04")
+    pos, _ = incremental._store_batch(spark, s, {"2026-08-05"}, "2026-08-04")
+    for frame in (web, pos):
+        assert {f.split("_run_date=")[1][:10] for f in frame.inputFiles()} == {"2026-08-05"}
+
+
+# -- jobs --------------------------------------------------------------------------------
+
+
+def job(root, raw, seeds, *argv):
+    folder = str(Path(next(iter(seeds.values()))).parent)
+    return main.arguments([*argv, "--root", str(root), "--raw", str(raw), "--seeds", folder])
+
+
+def test_a_failing_check_fails_the_job(spark, raw, seeds, tmp_path, capsys):
+    assert main.run(spark, job(tmp_path, raw, seeds, "history")) == 1
+    assert "accepted_values\tstg_subscriptions\tcustomer_status\t1" in capsys.readouterr().out
+    assert main.run(spark, job(tmp_path, raw, seeds, "check", "--allow", "accepted_values")) == 0
+    assert main.run(spark, job(tmp_path, raw, seeds, "audit")) == 0
+
+
+def test_settings_from_the_command_line(raw, seeds, tmp_path):
+    a = job(tmp_path, raw, seeds, "day", "--set", "churned_after_days=90", "--set", "json_lines=true", "--set", "reporting_timezone=UTC")
+    s = main.settings(a)
+    assert (s.churned_after_days, s.json_lines, s.reporting_timezone) == (90, True, "UTC")
+    with pytest.raises(SystemExit):
+        job(tmp_path, raw, seeds, "day", "--set", "unknown=1")
+
+
+def test_arrivals_are_built_too(spark, raw, seeds, full, tmp_path):
+    a = job(tmp_path / "lake", raw, seeds, "arrivals", "--progress", str(tmp_path / "progress"))
+    assert main.run(spark, a) == 1
+    s = main.settings(a)
+    assert contents(spark, s) == contents(spark, full[0])
 
 
 def test_failed_step_is_logged_and_stops(spark, raw, seeds, tmp_path):
     s = Settings(root=str(tmp_path), raw=str(raw))
     with pytest.raises(FileNotFoundError):
-        daily_build.run_day(spark, s, date(2026, 8, 20), seeds)
+        daily_build.run_days(spark, s, [date(2026, 8, 20)], seeds)
     log = spark.read.parquet(s.path("ops", "run_log")).orderBy("finished_at").collect()
     assert [(r.step, r.status) for r in log] == [("seed", "built"), ("ingest", "failed")]
 
@@ -241,4 +345,4 @@ def test_late_older_snapshot_is_not_loaded(spark, raw, tmp_path):
     for day, rows in (("2026-08-05", 3), ("2026-08-03", 3)):
         load(spark.createDataFrame([(f"{raw}/recharge_subscriptions_{day}.json",)], "path string"), 0)
         assert tables.table(spark, s, "bronze", "recharge_subscriptions").count() == rows
-    assert tables.audit(spark, s, "recharge_subscriptions") == ""
+    assert tables.audit(spark, s, "recharge_subscriptions").count() == 0

@@ -75,7 +75,7 @@ def test_reactivated_within_two_days_is_not_churned(spark):
 def test_duplicate_active(spark):
     t = datetime(2026, 8, 1)
     df = subs(spark, ("a", t, "is_active"), ("a", t, "is_active"), ("b", t, "is_active"), ("b", t, "is_paused"))
-    assert rows(quality.duplicate_active(df), "customer_key", "active_count") == [("a", 2)]
+    assert rows(quality.duplicate_active(df), "customer_key", "n_active") == [("a", 2)]
 
 
 def test_tenure_uses_the_first_signup(spark):
@@ -87,7 +87,7 @@ def test_tenure_uses_the_first_signup(spark):
     )
     reference = spark.createDataFrame([(datetime(2026, 8, 1),)], "reference_date timestamp_ntz")
     got = gold.subscriber_tenure(df, reference, S)
-    assert rows(got, "customer_key", "join_days") == [("a", 213)]  # local first day is Dec 31
+    assert rows(got, "customer_key", "tenure_days") == [("a", 213)]  # local first day is Dec 31
 
 
 def test_tenure_check_reports_the_lower_bound(spark):
@@ -138,7 +138,7 @@ def test_refund_without_time_is_reported_lost(spark):
     alerts = gold.refund_alerts(orders, refunds, S)
     assert alerts.first().baseline_rate == 100.0  # both refunds count for the baseline
     check = quality.refund_conservation(alerts, refunds).first()
-    assert (check.spine_total, check.true_total, check.mismatch) == (1, 2, 1)
+    assert (check.counted_refunds, check.stored_refunds, check.mismatch) == (1, 2, 1)
 
 
 def test_health_reference_includes_walk_ins(spark):

@@ -1,60 +1,53 @@
 import random
-from datetime import datetime
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 import deliveries as d
 from cornermart import __main__ as main
 from cornermart.operators import gold, ranking, silver
-from cornermart.operators.lookups import Lookup, narrow
 from cornermart.settings import Settings
 
 
 @pytest.mark.parametrize("n", [0, 1, 3, 5, 7, 1003])
-def test_sorted_ntile_equals_window_ntile(spark, n):
+def test_tiles_equal_ntile(spark, n):
     rng = random.Random(n)
-    rows = [(f"c{i:05d}", rng.choice([1, 1, 1, 2, 9]), rng.random()) for i in range(n)]
-    df = spark.createDataFrame(rows, "k string, few int, many double").repartition(5)
-    for order in (["few", "k"], ["many", "k"], [F.desc("few"), "k"]):
-        plain = ranking.ntile_window(df, 5, order, "t").collect()
-        spread = ranking.ntile_sorted(df, 5, order, "t").collect()
-        assert sorted(spread) == sorted(plain)
-
-
-def test_large_tables_are_ranked_without_a_one_task_window(spark):
+    rows = [
+        (f"c{i:05d}", rng.choice([1, 1, 1, 2, None]), rng.random(), datetime(2026, 1, 1) + timedelta(microseconds=rng.randrange(10**12)))
+        for i in range(n)
+    ]
+    df = spark.createDataFrame(rows, "k string, few int, many double, at timestamp_ntz").repartition(5)
+    orders = {"a": ["few", "k"], "b": ["many", "k"], "c": ["at", "k"]}
+    got = ranking.add_ntiles(df, 5, orders)
+    want = df
+    for name, order in orders.items():
+        want = want.withColumn(name, F.ntile(5).over(Window.orderBy(*[F.asc_nulls_last(c) for c in order])))
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_tiles_need_no_one_task_window(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("v"))
-    ranked = ranking.add_ntiles(df, 5, {"t": ["v", "k"]}, one_task_rows=10)
-    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
-    assert "ntile" not in plan.lower()
-    small = ranking.add_ntiles(df, 5, {"t": ["v", "k"]}, one_task_rows=5000)
-    assert sorted(ranked.collect()) == sorted(small.collect())
-
-
-def _facts(spark, n=3000):
-    """A third of all rows share one key; another part has no partner."""
-    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 50))
-    return spark.range(n).select(F.col("id").cast("string").alias("fact"), key.alias("key"))
+    plan = ranking.add_ntiles(df, 5, {"t": ["v", "k"]})._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange" not in plan and "Join" not in plan
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_lookup_equals_broadcast_lookup(spark, how):
-    names = [("hot", 1)] + [(f"k{i}", i) for i in range(40)]
-    small = spark.createDataFrame(names, "key string, v int")
-    fits, spread = Lookup.of(small, 100), Lookup.of(small, 10, salts=7)
-    assert fits.fits and not spread.fits
-    a = fits.join(_facts(spark), ["key"], how, "fact").select("fact", "key", "v")
-    b = spread.join(_facts(spark), ["key"], how, "fact").select("fact", "key", "v")
-    assert sorted(a.collect(), key=str) == sorted(b.collect(), key=str)
-    assert "_salt" not in spread.join(_facts(spark), ["key"], how, "fact").columns
-
-
-def test_narrow_keeps_matching_rows_at_any_size(spark):
-    keys = spark.createDataFrame([("hot",), ("hot",), ("k1",)], "key string")
-    expected = _facts(spark).filter(F.col("key").isin("hot", "k1")).count()
-    assert narrow(_facts(spark), keys, "key", 100).count() == expected
-    assert narrow(_facts(spark), keys, "key", 1).count() == expected
+def test_health_reads_orders_once(spark, tmp_path):
+    rows = [("a", datetime(2026, 8, 1)), ("b", datetime(2026, 6, 20)), (None, datetime(2026, 8, 20)), ("w", datetime(2026, 8, 5))]
+    spark.createDataFrame(rows, "customer_key string, order_ts_raw timestamp_ntz").write.parquet(str(tmp_path / "o"))
+    orders = spark.read.parquet(str(tmp_path / "o"))
+    customers = spark.createDataFrame([("a", "online"), ("b", "loyalty"), ("w", "walk_in")], "customer_key string, customer_type string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        health = gold.customer_health(orders, customers, Settings())
+        got = {r.customer_key: r.days_since_last_order for r in health.collect()}
+        plan = health._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == {"a": 19, "b": 61}  # the reference is 2026-08-19 local, from the order without a customer
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
 
 
 def test_hot_order_keeps_every_refund_and_delivery(spark):
@@ -172,6 +165,6 @@ def test_earliest_delivery_option(spark):
 
 def test_job_arguments():
     a = main.arguments(["backfill", "--root", "/l", "--raw", "/r", "--date", "2026-08-30", "--until", "2026-09-02"])
-    assert len(main.days_of(a.date, a.until)) == 4 and not a.again
+    assert len(main.days_of(a.date, a.until)) == 4
     with pytest.raises(SystemExit):
         main.arguments(["day", "--root", "/l", "--raw", "/r", "--date", "nonsense"])
