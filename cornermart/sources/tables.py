@@ -254,7 +254,9 @@ def check_drift(spark: SparkSession, path: str, name: str, partition: str) -> No
 
 
 def _schema(spark: SparkSession, folder: str, path: str) -> StructType:
-    return spark.read.option("basePath", path).parquet(folder).schema
+    """Schema of a partition with its partition column, or of a version as it is."""
+    versioned = folder == current(spark, path)
+    return spark.read.option("basePath", folder if versioned else path).parquet(folder).schema
 
 
 AUDIT = "table_name string, partition string, column_name string, stored string, declared string"
