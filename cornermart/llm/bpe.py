@@ -37,10 +37,10 @@ from .common import map_arrow
 from .word_tokens import byte_characters, vocabulary_path
 
 VOCABULARY = "byte_bpe_50k.json"
-LEXICON = 60_000  # words in the transducer, at most
+LEXICON = 120_000  # words in the transducer, at most
 HELD_WORDS = 1_000_000  # distinct words a counting task holds before it hands them on
 SEEN = 4  # times a word must occur in what is handed on at once to be counted
-BATCH_CHARS = 4_000_000  # characters encoded together; longer texts are cut between words
+BATCH_CHARS = 8_000_000  # characters encoded together; longer texts are cut between words
 LONGEST = 32  # bytes of words merged in numpy; longer ones use a heap
 
 WHITE = r"\t-\r \x85\xa0  -     　"
@@ -305,10 +305,11 @@ def frequent_words(docs: DataFrame, n: int = LEXICON) -> list[bytes]:
 
         def hand_on() -> pa.RecordBatch:
             total: Counter[str] = Counter()
-            runs = list(held)
-            for run, words in zip(runs, pieces_of(runs), strict=True):
+            runs = [run for run, n in held.items() if n >= SEEN and run and not run.isspace()]
+            spaced = [f" {run}" for run in runs if len(run.split()) == 1]
+            for run, words in zip(spaced, pieces_of(spaced), strict=True):
                 for w in words:
-                    total[w] += held[run]
+                    total[w] += held[run[1:]]
             often = [(w, c) for w, c in total.items() if c >= SEEN and len(w) <= LONGEST]
             held.clear()
             return pa.RecordBatch.from_arrays(
@@ -318,7 +319,7 @@ def frequent_words(docs: DataFrame, n: int = LEXICON) -> list[bytes]:
         for batch in batches:
             for text in batch["text"]:
                 for part in cut_text(text.as_py() or ""):
-                    held.update(RUNS.findall(part))
+                    held.update(part.split(" "))  # spares the exact cut; words behind a line break are missed
                 if len(held) > HELD_WORDS:
                     yield hand_on()
         if held:
