@@ -305,8 +305,8 @@ def frequent_words(docs: DataFrame, n: int = LEXICON) -> list[bytes]:
 
         def hand_on() -> pa.RecordBatch:
             total: Counter[str] = Counter()
-            runs = [run for run, n in held.items() if n >= SEEN and run and not run.isspace()]
-            spaced = [f" {run}" for run in runs if len(run.split()) == 1]
+            spaced = [f" {run}" for run, n in held.items() if n >= SEEN and run and not run.isspace()]
+            spaced = [run for run in spaced if RUNS.fullmatch(run)]  # no white space inside
             for run, words in zip(spaced, pieces_of(spaced), strict=True):
                 for w in words:
                     total[w] += held[run[1:]]
