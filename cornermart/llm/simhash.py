@@ -28,10 +28,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import LongType
 
 from ..session import materialise
 from . import bktree
-from .common import map_arrow
+from .common import map_arrow, ship
 
 SHINGLE = 3
 RADIUS = 3
@@ -57,13 +58,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
+def prints_of(texts: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+    """The texts' fingerprints with their 64 bits as signed integers."""
+    return np.array([fingerprint(t.as_py(), shingle) for t in texts], np.uint64).view(np.int64)
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, print) with the 64 bits as a signed integer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t.as_py(), shingle) for t in batch["text"]], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(prints.view(np.int64))], ["doc_id", "print"])
+            prints = pa.array(prints_of(batch["text"], shingle))
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], prints], ["doc_id", "print"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_arrow(rows, run, "doc_id bigint, print bigint")
@@ -179,8 +185,8 @@ def contract(edges: DataFrame) -> DataFrame:
     return edges
 
 
-def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """(doc_id, print, component_id) of every document."""
+def parts(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, print, part, component_id) of every document; ``part`` is a print of its component."""
     printed = materialise(fingerprints(docs, shingle), "prints")
     distinct = materialise(printed.groupBy("print").agg(F.min("doc_id").alias("first")), "distinct-prints")
     stars = contract(links(distinct.select("print"), radius))
@@ -189,34 +195,55 @@ def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) ->
     )
     parted = distinct.join(inner, "print", "left").withColumn("part", F.coalesce("part", "print"))
     named = parted.groupBy("part").agg(F.min("first").alias("component_id"))
-    return printed.join(parted.select("print", "part").join(named, "part").select("print", "component_id"), "print").select(
-        "doc_id", "print", "component_id"
+    return printed.join(parted.select("print", "part").join(named, "part"), "print").select(
+        "doc_id", "print", "part", "component_id"
     )
 
 
+def components(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """(doc_id, print, component_id) of every document."""
+    return parts(docs, shingle, radius).select("doc_id", "print", "component_id")
+
+
 def digest(number: Column) -> Column:
     return F.lower(F.lpad(F.hex(number), 16, "0"))
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
-    """The document whose id names its component, of every component, with all columns.
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, distinct_ids: bool = True) -> DataFrame:
+    """One document of every component, with all columns: the one whose id names it.
 
-    Where an id is repeated, the first of its rows in order of text is kept.
+    Where that id is repeated or missing within the component, the first of its rows in order of
+    text is kept. With ``distinct_ids`` an id that names several components is kept once, with the
+    first text, and the others go; without, each component keeps its row.
     """
-    found = materialise(components(docs, shingle, radius), "components")
-    kept = found.groupBy("doc_id").agg(
-        F.bool_or(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("names"), F.count("*").alias("n")
-    )
+    found = materialise(parts(docs, shingle, radius), "components")
+    names = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    kept = found.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_or(names).alias("names"), F.count("*").alias("n"))
     kept = materialise(kept.filter("names").select(F.col("doc_id").alias("_kept"), F.col("n").alias("_rows")), "kept")
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    match = F.col("doc_id").cast("bigint").eqNullSafe(F.col("_kept"))
+    doc_id = F.col("doc_id").cast("bigint")
+    match = doc_id == F.col("_kept")
     # merged at every size: the kept ids grow with the documents, so they are never broadcast
     once = docs.join(kept.filter("_rows = 1").hint("merge"), match, "left_semi").select(*columns)
-    if kept.filter("_rows > 1").isEmpty():
+    unsure = []  # rows whose id doesn't tell which of them is kept
+    if not kept.filter("_rows > 1").isEmpty():
+        unsure.append(docs.join(kept.filter("_rows > 1").hint("merge"), match, "left_semi"))
+    if not found.filter("component_id is null").isEmpty():
+        unsure.append(docs.filter(doc_id.isNull()))
+    if not unsure:
         return once
-    again = docs.join(kept.filter("_rows > 1").hint("merge"), match, "left_semi")
-    others = [F.col(f"`{c}`") for c in docs.columns if c != "doc_id"]
-    whole = F.struct(F.col("text").alias("text"), *[c for c, n in zip(others, [x for x in docs.columns if x != "doc_id"], strict=True) if n != "text"])
-    first = again.groupBy("doc_id").agg(F.min(whole).alias("_row"))
-    back = [F.col("doc_id") if c == "doc_id" else F.col("_row").getField(c).alias(c) for c in docs.columns]
-    return reduce(DataFrame.unionByName, [once, first.select(*back)])
+    ship(docs.sparkSession)
+    own_print = F.arrow_udf(lambda texts: pa.array(prints_of(texts, shingle)), LongType())
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    whole = F.struct("text", *[F.col(f"`{c}`") for c in others], F.col("doc_id"))
+    again = reduce(DataFrame.unionByName, unsure).select(
+        doc_id.alias("_id"), own_print(F.col("text").cast("string")).alias("_print"), whole.alias("_row")
+    )
+    # combined before the shuffles: copies, however many, meet as one row per task
+    again = again.groupBy("_id", "_print").agg(F.min("_row").alias("_row"))
+    told = found.filter(names).select(F.col("doc_id").alias("_told"), F.col("print").alias("_of"), "part").distinct()
+    first = again.join(told.hint("merge"), F.col("_id").eqNullSafe(F.col("_told")) & (F.col("_print") == F.col("_of")))
+    first = first.groupBy("_id", "part").agg(F.min("_row").alias("_row"))
+    if distinct_ids:
+        first = first.groupBy("_id", F.when(F.col("_id").isNull(), F.col("part")).alias("part")).agg(F.min("_row").alias("_row"))
+    return once.unionByName(first.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns]))

@@ -26,8 +26,11 @@ def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Groups named by one repeated id each keep a document.
+    """
+    return simhash.keep_one(docs, distinct_ids=False)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import re
 import numpy as np
 import xxhash
 
+import corpus_pipeline
 from cornermart.llm import bktree, simhash
 from tests.llm.conftest import invented
 
@@ -98,3 +99,14 @@ def test_keep_one_keeps_columns_and_one_row_of_each_group(frame, edge_rows):
     twice = frame([(1, "b b b b"), (1, "a a a a"), (1, "a a a a")])
     assert [(r.doc_id, r.text) for r in simhash.keep_one(twice).collect()] == [(1, "a a a a")]
     assert simhash.keep_one(frame([])).count() == 0
+
+
+def test_every_group_keeps_a_row_whatever_its_ids(spark, frame):
+    """Groups without ids and groups named by one repeated id; a duplicate never stays for a unique text."""
+    a, b, c, d, e = (invented(80, k) for k in range(50, 55))
+    docs = frame([(None, a), (None, a), (None, b), (None, c), (3, c), (1, d), (1, e), (1, e), (2, e), (0, a + " "), (4, None)])
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.dedup_stage(spark, docs, "").collect()]
+    assert sorted(kept, key=str) == sorted([(None, b), (3, c), (1, d), (1, e), (0, a + " "), (4, None)], key=str)
+    lone = frame([(None, a), (None, b), (None, b), (0, min(d, e)), (1, min(d, e)), (1, max(d, e))])
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one(lone).collect()]
+    assert sorted(kept, key=str) == sorted([(None, a), (None, b), (0, min(d, e)), (1, max(d, e))], key=str)
