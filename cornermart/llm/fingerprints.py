@@ -115,7 +115,7 @@ def compare(docs: DataFrame) -> DataFrame:
             ):
                 text = text.as_py()
                 if before is not None and before[0] != place:
-                    before = None
+                    raise RuntimeError(f"document {before[1]} met no successor in range {before[0]}")
                 if guest and before is None:
                     continue  # a range's second guest, or a range without rows of its own
                 of_this = digests(text)
@@ -126,5 +126,7 @@ def compare(docs: DataFrame) -> DataFrame:
                         yield rows(held, of_this)
                         held, size = [], 0
                 before = None if guest else (place, doc_id, text, of_this)
+        if before is not None:
+            raise RuntimeError(f"document {before[1]} met no successor in range {before[0]}")
 
     return map_arrow(dealt_in_order(docs), run, SCHEMA)

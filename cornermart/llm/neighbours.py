@@ -8,7 +8,7 @@ document of all meets the first. Texts are shuffled once.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import IntegerType
 
@@ -31,23 +31,23 @@ def dealt_in_order(docs: DataFrame) -> DataFrame:
     )
     n = tasks * RANGES_PER_TASK
     cuts = rows.select("doc_id").approxQuantile("doc_id", [k / n for k in range(1, n)], 1 / (4 * n))
-    borders = np.unique(np.array(cuts, np.int64))
+    borders = np.unique(np.array([min(int(cut), 2**63 - 1) for cut in cuts], np.int64))
 
-    def place(ids: pd.Series) -> np.ndarray:
-        known = ids.to_numpy(np.float64, na_value=-np.inf)
-        whole = ids.fillna(0).to_numpy(np.int64)
-        return np.where(np.isneginf(known), 0, np.searchsorted(borders, whole, "right")).astype(np.int32)
+    def place(ids: pa.Array) -> pa.Array:
+        # Arrow's own 64-bit integers: through pandas a missing id would make all of them floats
+        at = np.searchsorted(borders, ids.fill_null(0).to_numpy(), "right")
+        return pa.array(np.where(ids.is_null().to_numpy(zero_copy_only=False), 0, at).astype(np.int32))
 
-    own = F.pandas_udf(lambda ids: pd.Series(place(ids)), IntegerType())
+    own = F.arrow_udf(place, IntegerType())
     # one row per range: its highest id, null if it holds rows without id only
     heads = rows.select("doc_id").withColumn("range", own("doc_id")).groupBy("range").agg(F.max("doc_id").alias("head"))
     found = sorted((r["range"], r["head"]) for r in heads.collect())
     above = {head: found[(k + 1) % len(found)][0] for k, (_, head) in enumerate(found)}  # the head of all visits the lowest
 
-    def guest_of(ids: pd.Series) -> pd.Series:
-        return pd.Series([above.get(None if pd.isna(x) else int(x), -1) for x in ids], dtype="int32")
+    def guest_of(ids: pa.Array) -> pa.Array:
+        return pa.array([above.get(x, -1) for x in ids.to_pylist()], pa.int32())
 
-    visits = F.pandas_udf(guest_of, IntegerType())
+    visits = F.arrow_udf(guest_of, IntegerType())
     placed = rows.select("doc_id", "text", own("doc_id").alias("own"), visits("doc_id").alias("visit"))
     targets = F.when(F.col("visit") >= 0, F.array("own", "visit")).otherwise(F.array("own"))
     dealt = placed.select("doc_id", "text", F.posexplode(targets).alias("guest", "range"))

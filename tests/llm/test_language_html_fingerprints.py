@@ -165,3 +165,16 @@ def test_one_document_follows_itself(frame):
     (row,) = fingerprints.compare(frame([(4, "abc def")])).collect()
     assert row.near_next == 1.0 and row.edited_sha256 == hashlib.sha256(b"abc abc").hexdigest()
     assert fingerprints.compare(frame([])).count() == 0
+
+
+def test_large_ids_beside_missing_ones_keep_every_document(spark, frame):
+    """64-bit ids above 2**53 meet their neighbours exactly, though rows without id share their batches."""
+    big = 2**62 + 1
+    rows = [(big + 3 * k, invented(9, k)) for k in range(60)] + [(None, invented(9, 99)), (-big, "last one")]
+    got = {r.doc_id: r.edited_sha256 for r in fingerprints.compare(frame(rows).coalesce(1)).collect()}
+    texts = dict(rows)
+    ordered = [*sorted((k for k in texts if k is not None), reverse=True), None]
+    assert got.keys() == texts.keys()
+    for k, doc_id in enumerate(ordered):
+        changed = fingerprints.edited(texts[doc_id], texts[ordered[(k + 1) % len(ordered)]])
+        assert got[doc_id] == hashlib.sha256(changed.encode()).hexdigest()
