@@ -24,6 +24,7 @@ from .common import held_out, map_arrow
 
 DOCS_PER_LANGUAGE = 500  # labelled documents of each language the network is trained on, about
 WINDOWS_PER_DOC = 4
+PLACES = 1 << 52  # that hashes choose from
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 HELD = 2048  # windows answered together
@@ -50,16 +51,17 @@ def windows_of(text: str) -> tuple[np.ndarray, np.ndarray]:
 def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """Trains on about ``per_language`` documents of each language, WINDOWS_PER_DOC from each.
 
-    Documents are chosen by a hash of their id, outside the held-out fold; the windows lie at equal
-    distances over the text.
+    Documents are chosen by a hash of their id and text, outside the held-out fold, and repeated
+    rows count once; the windows lie at equal distances over the text.
     """
-    known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).filter(
+    known = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")).filter(
         F.col("lang").isNotNull() & ~held_out(F.col("doc_id")) & F.col("text").rlike(r"\p{L}")
     )
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    known = known.withColumn("key", F.xxhash64("doc_id", "text"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()}
     if not counts:
         return Model((), None)
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
+    place = F.pmod("key", F.lit(PLACES))
     chance = F.lit(0.0)
     for lang, n in counts.items():
         chance = F.when(F.col("lang") == lang, F.lit(min(1.0, 1.1 * per_language / n))).otherwise(chance)
@@ -68,10 +70,9 @@ def fit(docs: DataFrame, per_language: int = DOCS_PER_LANGUAGE) -> Model:
         F.substring("text", F.floor((size * k) / WINDOWS_PER_DOC).cast("int") + 1, F.lit(byte_cnn.WINDOW))
         for k in range(WINDOWS_PER_DOC)
     ]
-    chosen = known.filter(place < chance * (1 << 20)).select(
-        place.alias("place"), "doc_id", "lang", F.array(*parts).alias("parts")
-    )
-    got = chosen.orderBy("place", "doc_id", "parts").limit(2 * per_language * len(counts)).collect()
+    chosen = known.filter(place < chance * PLACES).select("lang", "key", F.array(*parts).alias("parts"))
+    got = chosen.groupBy("lang", "key").agg(F.min("parts").alias("parts")).collect()
+    got.sort(key=lambda r: (r["key"] % PLACES, r["key"], r["lang"]))
     languages = tuple(sorted({r["lang"] for r in got}))
     number = {lang: k for k, lang in enumerate(languages)}
     windows, label = [], []

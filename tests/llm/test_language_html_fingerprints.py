@@ -38,6 +38,26 @@ def test_language_without_labels(frame):
     assert [(r.lang_pred, r.score) for r in language.identify(docs, model).collect()] == [("und", 0.0)] * 2
 
 
+def test_language_rows_without_id_and_copies_crowd_none_out(frame):
+    """Many labelled rows without id, and copies of one, leave every language its place."""
+    names = list(TONGUES)
+    rows = [{"doc_id": None, "text": "a" + invented(12, k, TONGUES["aa"]), "lang": "aa"} for k in range(150)]
+    rows += [{"doc_id": None, "text": "a copy of one text", "lang": "aa"}] * 300
+    rows += [{"doc_id": None, "text": "z" + invented(12, k, TONGUES[t]), "lang": t} for t in names[1:] for k in range(150)]
+    seen = {}
+
+    def train(windows, label, n):
+        seen["labels"], seen["texts"] = np.bincount(label, minlength=n), {bytes(w).rstrip(b"\0") for w in windows}
+        return None
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(byte_cnn, "train", train)
+        model = language.fit(frame(rows), per_language=20)
+    assert model.languages == tuple(names)
+    per_text = language.WINDOWS_PER_DOC
+    assert all(5 <= n <= 45 * per_text for n in seen["labels"]) and len(seen["texts"]) > 15
+
+
 def test_tables_equal_convolution():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 256, (5, byte_cnn.WINDOW))
