@@ -118,11 +118,15 @@ def learn(x: np.ndarray, y: np.ndarray) -> RuleEnsemble:
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> RuleEnsemble:
-    """Fits the ensemble on at most ``rows`` labelled documents outside the held-out fold."""
+    """Fits the ensemble on at most ``rows`` labelled documents outside the held-out fold.
+
+    A repeated id counts once, with the least statistics of its rows.
+    """
     chosen = F.broadcast(label_sample(labels, "quality", rows))
     c = docs.select("doc_id", "text").join(chosen, "doc_id")
     c = c.select("doc_id", "label", text_stats.counts(F.col("text")).alias("c"))
-    got = c.select("doc_id", "label", F.array(*text_stats.ratios(F.col("c")).values()).alias("x")).collect()
+    c = c.select("doc_id", "label", F.array(*text_stats.ratios(F.col("c")).values()).alias("x"))
+    got = c.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x")).collect()
     got.sort(key=lambda r: ((r.doc_id * 2654435761) & 0xFFFFFFFF, r.doc_id, r.x))
     return learn(
         np.array([r.x for r in got], float).reshape(len(got), len(text_stats.RATIOS)),

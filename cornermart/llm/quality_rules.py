@@ -150,13 +150,17 @@ def learn(x: np.ndarray, label: np.ndarray, names: tuple[str, ...]) -> DecisionL
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DecisionList:
-    """Learns the list from the statistics of at most ``rows`` labelled documents."""
+    """Learns the list from the statistics of at most ``rows`` labelled documents.
+
+    A repeated id counts once, with the least statistics of its rows that the base rules pass.
+    """
     chosen = F.broadcast(label_sample(labels, "quality", rows))
     c = docs.select("doc_id", "text").join(chosen, "doc_id")
     c = c.select("doc_id", "label", text_stats.counts(F.col("text")).alias("c"))
     columns = text_stats.ratios(F.col("c"))
-    got = c.select("doc_id", "label", base_failed(F.col("c")).alias("failed"), F.array(*columns.values()).alias("x")).collect()
-    got = [r for r in got if not r["failed"]]  # the base rules judge those
+    c = c.filter(~base_failed(F.col("c")))  # the base rules judge those
+    c = c.select("doc_id", "label", F.array(*columns.values()).alias("x"))
+    got = c.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x")).collect()
     got.sort(key=lambda r: ((r.doc_id * 2654435761) & 0xFFFFFFFF, r.doc_id, r.x))
     if not got:
         return DecisionList()

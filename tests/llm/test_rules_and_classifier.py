@@ -53,6 +53,10 @@ def junk(k):
     return " ".join(w + "###" for w in invented(60, k).split())
 
 
+def remainder_of(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4
+
+
 @pytest.fixture(scope="module")
 def labelled(spark, frame):
     rows = [(k, invented(80, k) if k % 3 else junk(k)) for k in range(240)]
@@ -129,6 +133,18 @@ def test_held_out_rows_teach_nothing(labelled):
     assert quality_classifier.fit(docs, labels) == quality_classifier.fit(docs, flipped)
 
 
+def test_a_repeated_id_counts_once_in_the_fit(spark, frame, monkeypatch):
+    """However many rows a labelled id has, one row of statistics reaches the driver for it."""
+    ids = [k for k in range(40) if remainder_of(k) != 2]
+    rows = [(k, invented(80, k)) for k in ids] + [(ids[0], invented(80, 1000 + k)) for k in range(200)]
+    labels = spark.createDataFrame([(k, k % 2) for k in ids], "doc_id bigint, quality int")
+    for module in (quality_classifier, quality_rules):
+        sizes = []
+        monkeypatch.setattr(module, "learn", lambda x, y, *names, into=sizes: into.append((len(x), len(y))))
+        module.fit(frame(rows), labels)
+        assert sizes == [(len(ids), len(ids))]
+
+
 def test_lasso_drops_noise_and_trees_find_a_threshold():
     rng = np.random.default_rng(3)
     r = (rng.random((600, 12)) < 0.5).astype(float)
