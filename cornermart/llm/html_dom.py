@@ -6,13 +6,18 @@ import html
 import re
 from dataclasses import dataclass, field
 
-MARKUP = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)(?:>|\Z)", re.DOTALL)
+# Quotes delimit a value only directly after "="; elsewhere they are plain characters, and ">" ends the tag.
+MARKUP = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*)?)*?)(/?)(?:>|\Z)",
+    re.DOTALL,
+)
 ATTRIBUTE = re.compile(r"([^\s=\"'/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"']+))")
 WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 # Fixed sets of element names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style template noscript iframe object svg math textarea title head".split()) - {"head"}
+RAW = frozenset("script style template iframe textarea title".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot "

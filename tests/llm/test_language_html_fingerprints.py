@@ -131,6 +131,20 @@ def test_reader_copes_with_broken_pages():
     assert deep.text([True] * len(deep.tags)) == "x"
 
 
+def test_reader_ends_tags_and_keeps_foreign_elements_as_browsers_do(extractor):
+    cases = {
+        '<p title="5" tall">One.</p><p>Two <a href="x">it</a>': "One.\n\nTwo it", '<img alt="a"b"><p>t</p><i class="c">u</i>': "t\n\nu",
+        "<p title=it's>One</p><p>isn't": "One\n\nisn't", '<a href=/a?b="c>d</a>"e': 'd"e', '<i class = "a>b">c</i>': "c",
+        "<div><svg><path d='M0'></div><p>text</p>": "text", "<p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> so": "If x=1 so",
+        "<p><object data='a'>instead</object> of it": "instead of it", "<p>a<noscript>b</noscript>c": "abc",
+    }
+    for source, want in cases.items():
+        page = parse(source)
+        assert page.text([True] * len(page.tags)) == want, source
+    icon = PAGE.replace('<a href="/">Site</a>', '<svg class="logo"><path d="M0"><a href="/">Site</a>')
+    assert extractor.texts([icon]) == extractor.texts([PAGE])
+
+
 def test_pages_table(spark, extractor):
     rows = [(1, "u", PAGE, 5), (2, "u", None, 5), (3, None, "", 5), (1, "u", PAGE, 5), (None, "v", "<article><p>Some text of it.</p></article>" * 2, 5)]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text int")
