@@ -26,9 +26,12 @@ def test_duplicates_ignore_nulls(spark):
     assert rows(quality.duplicates(df, "k"), "k", "n") == [("a", 2)]
 
 
-def test_unexpected_values_ignore_nulls(spark):
-    df = spark.createDataFrame([("a",), ("x",), ("x",), (None,)], "k string")
-    assert rows(quality.unexpected_values(df, "k", ("a",)), "k", "n") == [("x", 2)]
+def test_values_outside_their_set_ignore_nulls(spark):
+    df = spark.createDataFrame([("retail",), ("x",), ("x",), ("y",), (None,)], "channel string")
+    found = quality.accepted_report({"stg_orders": df})
+    assert rows(found, "table_name", "column_name", "bad_value", "violations") == [
+        ("stg_orders", "channel", "x", 2), ("stg_orders", "channel", "y", 1)
+    ]
 
 
 def test_orphans_of_a_hot_key_join_as_one_row(spark):
