@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch
-from . import bpe, fingerprints, html_extract, language, packing, pii, quality_classifier, quality_rules, simhash, token_files
+from . import bpe, fingerprints, html_extract, language, packing, periodic_runs, pii, quality_classifier, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -58,6 +59,21 @@ def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.fit(pages))
 
 
+def _repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth document, by crc32 of the id, ends with repeats of a part of itself."""
+    h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not words:
+        return words
+    n, g = len(words), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * (-(-(n - a) // p)))[: n - a]
+
+
+def _periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.report(periodic_runs.detect(table(spark, sf_dir, "documents"), _repeated_tail))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_extraction": _html,
     "op2_simhash_dedup": _simhash,
@@ -69,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": _fingerprints,
     "op9_token_files": _token_files,
     "op10_pii": _pii,
+    "op13_periodic_runs": _periodic_runs,
 }
 
 ORACLE: dict[str, str] = {}
