@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch
-from . import bpe, fingerprints, html_extract, language, packing, periodic_runs, pii, quality_classifier, quality_rules, simhash, token_files
+from . import bpe, fingerprints, html_extract, language, lm_score, packing, periodic_runs, pii, quality_classifier, quality_rules, simhash, token_files
 from .common import table
 
 
@@ -59,6 +59,10 @@ def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.fit(pages))
 
 
+def _lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.score(table(spark, sf_dir, "documents"))
+
+
 def _repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
     """Every tenth document, by crc32 of the id, ends with repeats of a part of itself."""
     h = zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": _fingerprints,
     "op9_token_files": _token_files,
     "op10_pii": _pii,
+    "op12_lm_score": _lm_score,
     "op13_periodic_runs": _periodic_runs,
 }
 
