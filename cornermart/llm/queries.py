@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import scratch
-from . import bpe, fingerprints, html_extract, language, lm_score, packing, periodic_runs, pii, quality_classifier, quality_rules, simhash, token_files
+from . import bpe, fingerprints, html_extract, language, lm_score, packing, periodic_runs, pii, quality_classifier, quality_rules, ranked_search, simhash, token_files
 from .common import table
 
 
@@ -59,6 +59,10 @@ def _html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(pages, html_extract.fit(pages))
 
 
+def _ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.score(table(spark, sf_dir, "documents"))
 
@@ -89,8 +93,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_document_fingerprints": _fingerprints,
     "op9_token_files": _token_files,
     "op10_pii": _pii,
+    "op11_ranked_search": _ranked_search,
     "op12_lm_score": _lm_score,
     "op13_periodic_runs": _periodic_runs,
 }
 
-ORACLE: dict[str, str] = {}
+_TERMS = (
+    r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+ORACLE: dict[str, str] = {
+    "op11_ranked_search": f"""
+        WITH term AS (SELECT r, doc_id, unnest({_TERMS}) AS t FROM (SELECT row_number() OVER () AS r, * FROM documents)),
+        tf AS (SELECT r, any_value(doc_id) AS doc_id, t, count(*) AS tf FROM term GROUP BY r, t),
+        size AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+        whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM size),
+        weight AS (SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+                   FROM tf, whole GROUP BY t, docs),
+        asked AS (SELECT item_id, t, count(*) AS c FROM (SELECT item_id, unnest({_TERMS}) AS t FROM benchmark) GROUP BY ALL),
+        scored AS (SELECT item_id, r, any_value(doc_id) AS doc_id,
+                          sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // terms))))::BIGINT AS score
+                   FROM asked JOIN weight USING (t) JOIN tf USING (t) JOIN size USING (r), whole GROUP BY item_id, r),
+        ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+                   FROM scored WHERE score > 0)
+        SELECT * FROM ranked WHERE rank <= 20""",
+}
