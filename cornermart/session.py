@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,25 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the package to the Python workers, which may not have it on their path.
+
+    Spark serves the archive to every executor, also to those that join later.
+    """
+    sc, package = spark.sparkContext, Path(__file__).resolve().parent
+    if sc.applicationId in _shipped or not package.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(package.rglob("*.py")):
+            z.write(path, path.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _shipped.add(sc.applicationId)
+
+
 def materialise(df: DataFrame, name: str = "cut") -> DataFrame:
     """Cut lineage into a parquet table in the shared checkpoint folder.
 

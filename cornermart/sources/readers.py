@@ -11,13 +11,10 @@ from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
-
 from ..contracts import CONTRACTS, ContractError, SourceSpec
-from . import fs
+from .records import CsvLines, JsonArray, records
 
 ODD, WIDE = "_odd", "_wide"  # a record that doesn't have the header's width; whether it is wider
-VARIANT_BYTES = 100 * 1024 * 1024  # a VARIANT may hold at most 128 MiB
 
 # Cell texts that mean "no value" in the delivered CSV exports.
 NA_TOKENS = (
@@ -52,9 +49,9 @@ def check_columns(name: str, found: set[str]) -> None:
 def read_csv(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
     """All-text columns in contract order; cells meaning "no value" become NULL.
 
-    Quoted cells may hold line breaks, so a file is read by one task; large deliveries come as part
-    files. Files that share a header are one scan. ``_odd`` holds the record where it is narrower
-    or wider than its header; a narrow one is filled up with NULLs.
+    Quoted cells may hold line breaks; a file is nevertheless read by as many tasks as it has ranges.
+    Files that share a header are one scan. ``_odd`` holds the record where it is narrower or wider
+    than its header; a narrow one is filled up with NULLs.
     """
     by_header = headers(spark, paths)
     if not by_header:
@@ -65,34 +62,49 @@ def read_csv(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFra
         check_columns(spec.name, set(header))
         if len(set(header)) < len(header):
             raise ContractError(f"{spec.name}: a column appears twice in the header {header}")
-        schema = StructType([StructField(n, StringType()) for n in (*header, ODD)])
-        options = {"header": True, "escape": '"', "multiLine": True, "columnNameOfCorruptRecord": ODD}
-        raw = spark.read.schema(schema).options(**options).csv(parts)
+        schema = ", ".join(f"`{n}` string" for n in (*header, ODD))
+        lines = records(spark, parts, CsvLines()).filter("not first")  # the first record is the header
+        lines = lines.withColumn("text", F.regexp_replace("text", "\r?\n?$", "")).filter("text <> ''")
+        cells = F.from_csv("text", schema, {"escape": '"', "columnNameOfCorruptRecord": ODD})
+        raw = lines.select(cells.alias("c"), "_file").select("c.*", "_file")
         cells = [F.when(~F.col(n).isin(*NA_TOKENS), F.col(n)).alias(n) for n in names]
         wider = F.size(F.split(F.regexp_replace(ODD, '"[^"]*"', ""), ",", -1)) > len(header)
-        return raw.select(*cells, ODD, F.coalesce(wider, F.lit(False)).alias(WIDE), _file())
+        return raw.select(*cells, ODD, F.coalesce(wider, F.lit(False)).alias(WIDE), "_file")
 
     scans = [scan(header, parts) for header, parts in sorted(by_header.items())]
     return reduce(DataFrame.unionByName, scans)
 
 
+def array_elements(cuts: DataFrame) -> DataFrame:
+    """One VARIANT ``v`` per element of arrays that are cut behind their objects.
+
+    The first cut begins with the array's bracket and every other one with the comma before it; the
+    last ends with the bracket. Elements that are no objects come in the cut of the object behind
+    them, or in the last.
+    """
+    opening = F.when(F.col("first"), r"^\ufeff?\s*\[").otherwise(r"^\s*,")
+    closing = F.when(F.col("last"), r"\]\s*$").otherwise("$")
+    nothing = r"^\s*\]\s*$"  # behind the last object
+    bare = F.col("last") & ~F.col("first") & F.col("text").rlike(nothing)
+    inner = F.regexp_replace(F.regexp_replace("text", opening, F.lit("")), closing, F.lit(""))
+    whole = F.regexp_like("text", opening) & F.regexp_like("text", closing)
+    filled = F.col("first") & F.col("last") | ~inner.rlike(r"^\s*$")  # a comma needs an element
+    checked = F.when(whole & filled, F.concat(F.lit("["), inner, F.lit("]")))
+    broken = F.raise_error(F.concat(F.lit("malformed JSON array in "), "_file", F.lit(": "), F.substring("text", 1, 80)))
+    element = F.variant_get(F.parse_json(F.coalesce(checked, broken.cast("string"))), "$", "array<variant>")
+    return cuts.filter(~bare).select(F.explode(element).alias("v"), "_file")
+
+
 def read_json(spark: SparkSession, spec: SourceSpec, paths: list[str]) -> DataFrame:
     """One VARIANT ``v`` per record, keeping the delivered type of every value.
 
-    An array file is parsed by one task as one VARIANT, which has a fixed bound; a larger file is
-    refused before anything is read. Deliveries in part files or in JSON lines (``json_lines``)
-    have no bound and spread over the cluster. Broken JSON is an error.
+    A file holds one array, or one object per line (``json_lines``); both are read by as many tasks
+    as a file has ranges. Broken JSON is an error.
     """
-    reader = spark.read.option("mode", "FAILFAST")
     if spec.json_lines:
+        reader = spark.read.option("mode", "FAILFAST")
         return reader.option("singleVariantColumn", "v").json(paths).select("v", _file())
-    large = [part for path in paths for part, size in fs.data_files(spark, path) if size > VARIANT_BYTES]
-    if large:
-        raise ContractError(
-            f"{spec.name}: an array file may have {VARIANT_BYTES} bytes; deliver part files or JSON lines instead of {large}"
-        )
-    arrays = reader.option("multiLine", True).option("singleVariantColumn", "v").json(paths).select("v", _file())
-    return arrays.select(F.explode(F.variant_get("v", "$", "array<variant>")).alias("v"), "_file")
+    return array_elements(records(spark, paths, JsonArray()))
 
 
 READERS: dict[str, Callable[[SparkSession, SourceSpec, list[str]], DataFrame]] = {

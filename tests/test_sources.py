@@ -1,6 +1,9 @@
 import json
+import random
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ import deliveries as d
 from cornermart import contracts
 from cornermart.contracts import CONTRACTS, SOURCES, ContractError, bronze_schema, source
 from cornermart.settings import Settings
-from cornermart.sources import bronze, files, readers, seeds, tables, validate
+from cornermart.sources import bronze, files, readers, records, seeds, tables, validate
 
 DAY = date(2026, 8, 3)
 
@@ -22,8 +25,6 @@ def lake(tmp_path):
 
 
 def raw(lake):
-    from pathlib import Path
-
     return Path(lake.raw)
 
 
@@ -137,12 +138,94 @@ def test_broken_json_is_an_error(spark, lake):
         readers.read_json(spark, source("shopify_orders"), [str(path)]).collect()
 
 
-def test_an_array_too_large_for_one_variant_is_refused(spark, lake, monkeypatch):
-    d.write_json(raw(lake), "shopify_orders", "2026-08-03", [d.web("#1")])
-    monkeypatch.setattr(readers, "VARIANT_BYTES", 10)
-    with pytest.raises(ContractError, match="part files or JSON lines"):
-        bronze.load_day(spark, lake, source("shopify_orders"), DAY)
-    assert not tables.has_table(spark, lake, "bronze", "shopify_orders")
+@pytest.fixture
+def small_ranges(spark):
+    """Files are split into ranges of some hundred bytes."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    for name in names:
+        spark.conf.set(name, "300")
+    yield
+    for name in names:
+        spark.conf.unset(name)
+
+
+ODD_TEXT = ('}, {"', "[", "\\", '\\"', "a\nb", "é漢", "},{", "]", '"}', "")
+
+
+def test_an_array_is_cut_by_many_tasks(spark, lake, small_ranges):
+    rows = [d.web(f"#{k}", customer_email=ODD_TEXT[k % len(ODD_TEXT)] * (k % 4)) for k in range(200)]
+    rows[50]["customer_email"] = "long" * 1000  # over several ranges
+    path = Path(d.write_json(raw(lake), "shopify_orders", "2026-08-03", rows))
+    other = path.with_name("shopify_orders_2026-08-04.json")
+    other.write_text("\ufeff\n" + json.dumps([d.web(f"+{k}") for k in range(30)], indent=2, ensure_ascii=False) + "\n")
+    got = readers.read_json(spark, source("shopify_orders"), [str(path), str(other)])
+    assert got.rdd.getNumPartitions() > 50
+    found = {(r.order_id, r.customer_email) for r in validate.typed(got, "shopify_orders").collect()}
+    assert found == {(r["order_id"], r["customer_email"]) for r in rows} | {(f"+{k}", "a@x.com") for k in range(30)}
+    assert got.count() == 230 and got.filter(F.col("_file").endswith("04.json")).count() == 30
+    lines = path.with_name("lines.json")
+    lines.write_text("\n".join(json.dumps(r) for r in rows))
+    twin = readers.read_json(spark, replace(source("shopify_orders"), json_lines=True), [str(lines)])
+    as_text = lambda df: sorted(r[0] for r in df.select(F.to_json("v")).collect())
+    assert as_text(got.filter(F.col("_file").endswith("03.json"))) == as_text(twin)
+    for report in (validate.column_report, validate.violation_counts):
+        assert report(got, "shopify_orders").collect() == report(twin.unionByName(got.limit(0)), "shopify_orders").collect()
+
+
+@pytest.mark.parametrize(
+    "text",
+    ['[{"a": 1} {"a": 2}]', '[{"a": 1},]', '[,{"a": 1}]', '[{"a": 1}', '{"a": 1}', '[{"a": 1}]]', '[{"a": 1}, {"a": "x]', '[{"a": 1},,{"b": 2}]'],
+)
+def test_broken_arrays_are_errors_wherever_they_are_cut(spark, lake, text, small_ranges):
+    path = raw(lake) / "shopify_orders_2026-08-03.json"
+    for wide in ("", " " * 400):
+        path.write_text(text.replace("}", "}" + wide))
+        with pytest.raises(Exception, match="(?i)malformed|parse|corrupt"):
+            readers.read_json(spark, source("shopify_orders"), [str(path)]).collect()
+
+
+def test_array_elements_that_are_no_objects(spark, lake):
+    path = raw(lake) / "shopify_orders_2026-08-03.json"
+    path.write_text('[1, {"a": [{"b": 2}]}, null, "x}", {"c": 3}, [4], true]')
+    got = readers.read_json(spark, source("shopify_orders"), [str(path)])
+    assert sorted(r[0] for r in got.select(F.to_json("v")).collect()) == sorted(
+        ["1", '{"a":[{"b":2}]}', "null", '"x}"', '{"c":3}', "[4]", "true"]
+    )
+
+
+def test_a_csv_file_is_cut_by_many_tasks(spark, lake, small_ranges):
+    texts = ("plain", "a\nb", 'say "x"\n\n"y"', ",\n,", '"', 'in "the" middle', "crlf\r\nend", " ")
+    rows = [d.ticket(f"Z{k}", subject=texts[k % len(texts)] * (1 + k % 3)) for k in range(300)]
+    rows[70]["subject"] = "wide\n" * 400  # over several ranges
+    path = d.write_csv(raw(lake), "zendesk_tickets", "2026-08-03", rows)
+    got = readers.read_csv(spark, source("zendesk_tickets"), [str(path)])
+    assert got.rdd.getNumPartitions() > 50
+    assert {(r.ticket_id, r.subject) for r in got.collect()} == {(r["ticket_id"], r["subject"]) for r in rows}
+    assert got.count() == 300 and got.filter("_odd is not null").count() == 0
+
+
+def test_quotes_inside_a_cell_open_nothing(spark, lake):
+    path = raw(lake) / "zendesk_tickets_2026-08-03.csv"
+    head = "ticket_id,requester_email,subject,created_at,tags,related_order_id"
+    path.write_text(f'{head}\r\nZ1,a@x,5" pipe,,,\r\n\r\nZ2,a@x,"6"" pipe\n",,,\r\nZ3,,,,,')
+    got = {r.ticket_id: r.subject for r in readers.read_csv(spark, source("zendesk_tickets"), [str(path)]).collect()}
+    assert got == {"Z1": '5" pipe', "Z2": '6" pipe\n', "Z3": None}
+
+
+def test_tables_of_ranges_compose_in_any_grouping():
+    r = random.Random(2)
+    for syntax, letters in ((records.JsonArray(), '{}[]"a\\"'), (records.CsvLines(), '",\na ')):
+        for _ in range(300):
+            parts = ["".join(r.choice(letters) for _ in range(r.randint(0, 9))).rstrip("\\") + syntax.separator for _ in range(6)]
+            tables = [syntax.table(p.encode()) for p in parts]
+            left = tables[0]
+            for t in tables[1:]:
+                left = records.chained(left, t)
+            right = tables[-1]
+            for t in tables[-2::-1]:
+                right = records.chained(t, right)
+            assert left == right == syntax.table("".join(parts).encode())
+            assert records.follow((1, 2), left) == (left[2], left[3] + 2)
 
 
 @pytest.mark.parametrize("lines", [False, True])
