@@ -10,7 +10,9 @@ from __future__ import annotations
 import numpy as np
 
 PART = 1 << 18  # numbers packed at a time
-STEPS = (32, 16, 8, 4, 2, 1)
+U1, BYTES, TOPS = np.uint64(1), np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: For each byte and n, the place of its bit number n.
+BIT_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64).ravel()
 
 
 def _packed(values: np.ndarray, bits: int) -> np.ndarray:
@@ -24,14 +26,14 @@ def _packed(values: np.ndarray, bits: int) -> np.ndarray:
 
 def _select(words: np.ndarray, k: np.ndarray, inside: np.ndarray) -> np.ndarray:
     """Place, in the whole, of the bit with number ``inside`` in word ``k``."""
-    x, r, at = words[k], inside.copy(), k << 6
-    for step in STEPS:
-        count = np.bitwise_count(x & np.uint64((1 << step) - 1)).astype(np.int64)
-        right = r >= count
-        r -= np.where(right, count, 0)
-        x = np.where(right, x >> np.uint64(step), x)
-        at += np.where(right, step, 0)
-    return at
+    x, r = words[k], inside.astype(np.uint64)
+    sums = x - ((x >> U1) & np.uint64(0x5555555555555555))
+    sums = (sums & np.uint64(0x3333333333333333)) + ((sums >> np.uint64(2)) & np.uint64(0x3333333333333333))
+    sums = ((sums + (sums >> np.uint64(4))) & np.uint64(0x0F0F0F0F0F0F0F0F)) * BYTES  # ones up to each byte
+    shift = np.bitwise_count((((r * BYTES) | TOPS) - sums) & TOPS).astype(np.uint64) << np.uint64(3)
+    r -= ((sums << np.uint64(8)) >> shift) & np.uint64(255)
+    byte = (x >> shift) & np.uint64(255)
+    return (k << 6) + shift.astype(np.int64) + BIT_IN_BYTE[(byte << np.uint64(3) | r).astype(np.int64)]
 
 
 class EliasFano:
@@ -82,35 +84,55 @@ class EliasFano:
     def __getitem__(self, k: np.ndarray) -> np.ndarray:
         return ((self._ones(k) - k) << self.bits) | self._low(k)
 
-    def _search(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of the first number at or above each of the values, and whether it is that value."""
-        values = np.asarray(values, np.int64)
-        found, hit = np.full(len(values), self.size, np.int64), np.zeros(len(values), bool)
+    def _cluster(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which values have a high part that occurs at all, from and to where it does, and their low bits."""
         steps = int((len(self.high) << 6) - self.before[-1]) if self.size else 0  # zeros there are
         high = values >> self.bits
         near = np.flatnonzero(high < steps)
         high, low = high[near], values[near] & ((1 << self.bits) - 1)
-        end = self._zeros(high) - high
-        first = np.zeros(len(near), np.int64)
+        at = np.zeros(len(near), np.int64)  # of the first bit for this high part
         later = high > 0
-        first[later] = self._zeros(high[later] - 1) - (high[later] - 1)
-        last, live = end.copy(), np.flatnonzero(first < end)
-        while len(live):  # all with this high part lie between, sorted by their low bits
+        at[later] = self._zeros(high[later] - 1) + 1
+        word, off = at >> 6, (at & 63).astype(np.uint64)
+        following = self.high[np.minimum(word + 1, len(self.high) - 1)] << U1 << (np.uint64(63) - off)
+        ahead = (self.high[word] >> off) | following
+        first = at - high
+        end = first + np.bitwise_count(ahead & ~(ahead + U1))  # ones that follow
+        many = np.flatnonzero(end - first == 64)
+        end[many] = self._zeros(high[many]) - high[many]
+        return near, first, end, low
+
+    def successor(self, values: np.ndarray) -> np.ndarray:
+        """Place of the first number at or above each of the values; the size if there is none."""
+        values = np.asarray(values, np.int64)
+        found = np.full(len(values), self.size, np.int64)
+        near, first, end, low = self._cluster(values)
+        live = np.flatnonzero(first < end)
+        while len(live):  # a cluster is sorted by its low bits
             middle = (first[live] + end[live]) >> 1
             less = self._low(middle) < low[live]
             first[live[less]] = middle[less] + 1
             end[live[~less]] = middle[~less]
             live = live[first[live] < end[live]]
         found[near] = np.minimum(first, self.size)
-        same = np.flatnonzero(first < last)
-        hit[near[same]] = self._low(first[same]) == low[same]
-        return found, hit
-
-    def successor(self, values: np.ndarray) -> np.ndarray:
-        """Place of the first number at or above each of the values; the size if there is none."""
-        return self._search(values)[0]
+        return found
 
     def find(self, values: np.ndarray) -> np.ndarray:
-        """Place of each value, the first of equal ones; -1 for those that aren't there."""
-        found, hit = self._search(values)
-        return np.where(hit, found, -1)
+        """Place of each value, -1 for those that aren't there; of equal numbers any one."""
+        values = np.asarray(values, np.int64)
+        out = np.full(len(values), -1, np.int64)
+        near, first, end, low = self._cluster(values)
+        some = np.flatnonzero(first < end)
+        near, first, end, low = near[some], first[some], end[some], low[some]
+        live = np.flatnonzero(end - first > 1)
+        a, b, wanted = first[live], end[live], low[live]
+        while len(live):
+            middle = (a + b) >> 1
+            up = self._low(middle) <= wanted
+            a, b = np.where(up, middle, a), np.where(up, b, middle)
+            done = b - a == 1
+            first[live[done]] = a[done]
+            live, a, b, wanted = live[~done], a[~done], b[~done], wanted[~done]
+        hit = self._low(first) == low
+        out[near[hit]] = first[hit]
+        return out

@@ -6,7 +6,9 @@
    met in the batch by then.
 2. A shard adds up what the batches counted, builds the trie of its n-grams, maps it into memory and
    answers every batch with counts, codes and weights of the n-grams it asked for, in their order.
-3. Each batch meets its answers and adds up the logarithms of its documents.
+3. The documents are read and dealt again; each batch meets its answers and adds up the logarithms
+   of its documents. A table's rows come in the same order each time; a batch that finds no answers,
+   because they didn't, is an error.
 
 Nothing is gathered on the driver and no task sees more than one batch or one shard; shards grow in
 number with the text. All n-grams of all documents to learn from are in the tries, however rare.
@@ -25,7 +27,6 @@ are counted by 63 bits.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,13 +38,20 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import map_arrow
-from .ngram_trie import Trie, decoded, summed
+from .ngram_trie import FINENESS, FINER, Trie, decoded, distinct, summed
 
 BATCH_BYTES = 12_000_000  # text in a batch, about
 SHARD_BYTES = 32_000_000  # text for each shard, about
 SHORT = 23  # bits of a hash that pairs and triples do without
 START, END = b"\n<", b"\n>"  # no word holds a line break
-NUMBERS = {START: 0, END: 1}
+
+
+class Numbers(dict):
+    """Numbers words in the order they are asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = len(self)
+        return len(self) - 1
 
 
 def held_out(doc_id: Column) -> Column:
@@ -60,6 +68,18 @@ def _grouped(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return distinct, place.astype(np.int32), np.bincount(place, weight, len(distinct)).astype(np.int64)
 
 
+def _triples(u: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct contexts u * m + t and the place of each token's, then the same of triples and their weights."""
+    if m < 1 << 21:  # three numbers fit into one: a single sort
+        triples, triple_of, count = _grouped((u * m + t) * m + w, weight)
+        whole, third = np.divmod(triples, m)
+        new = np.diff(whole, prepend=-1) > 0
+        number = np.cumsum(new, dtype=np.int64) - 1
+        return whole[new], number[triple_of].astype(np.int32), number * m + third, triple_of, count
+    contexts, context_of = np.unique(u * m + t, return_inverse=True)
+    return contexts, context_of.astype(np.int32), *_grouped(context_of * m + w, weight)
+
+
 def packed(arrays: list[np.ndarray]) -> bytes:
     """Arrays of numbers from 0 up, in as many bytes as the largest needs, byte by byte apart."""
     out = []
@@ -109,12 +129,12 @@ class Batch:
 
     @classmethod
     def of(cls, texts: list[bytes], learn: np.ndarray, shards: int) -> Batch:
-        number = dict(NUMBERS)
+        number = Numbers({START: 0, END: 1})
         flat, sizes = [], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
             words = text.lower().split()  # of bytes, so only A-Z, and at U+0020 and U+0009 to U+000D only
             sizes[k] = len(words) + 1
-            flat.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+            flat.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             flat.append(np.array([1], np.int32))
         token = np.concatenate([np.empty(0, np.int32), *flat])
         hashes = _hashed(list(number))
@@ -128,12 +148,11 @@ class Batch:
         t[first] = place[0]
         weight = np.repeat(learn.astype(float), sizes)
         pairs, pair_of, pair_count = _grouped(u * m + w, weight)
-        contexts, context_of = np.unique(u * m + t, return_inverse=True)
-        triples, triple_of, triple_count = _grouped(context_of * m + w, weight)
+        contexts, context_of, triples, triple_of, triple_count = _triples(u, t, w, m, weight)
         learnt = np.bincount(token, weight, len(number)).astype(np.int64)
         return cls(
             shards, hashes, learnt, short, token, u.astype(np.int32), pairs, pair_of, pair_count, contexts,
-            context_of.astype(np.int32), triples, triple_of, triple_count, sizes,
+            context_of, triples, triple_of, triple_count, sizes,
         )
 
     def __post_init__(self):
@@ -193,11 +212,11 @@ class Batch:
             total, counts, pair_code, firsts, context_left, triple_code = unpacked(blob)
             learnt, distinct = learnt + int(total[0]), distinct + int(total[1])
             count[of_words] = counts
-            pair[of_pairs] = decoded(pair_code)
+            pair[of_pairs] = decoded(pair_code, FINENESS)
             u = self.pairs[of_pairs] // len(self.short)
-            left[u[_gaps(u + 1) > 0]] = _weights(firsts)
-            context[of_contexts] = _weights(context_left)
-            triple[of_triples] = decoded(triple_code)
+            left[u[_gaps(u + 1) > 0]] = decoded(firsts, FINER)
+            context[of_contexts] = decoded(context_left, FINER)
+            triple[of_triples] = decoded(triple_code, FINENESS)
         own = (count + 0.5) / (learnt + 0.5 * (distinct + 1))
         p = pair[self.pair_of] + left[self.last] * own[self.token]
         p = triple[self.triple_of] + context[self.context_of] * p
@@ -207,14 +226,6 @@ class Batch:
         return [self.sizes, known, np.full(len(self.sizes), learnt), base, np.add.reduceat(np.log10(p), first)]
 
 
-def _bits(weights: np.ndarray) -> np.ndarray:
-    return weights.astype("<f4").view("<u4").astype(np.int64)
-
-
-def _weights(bits: np.ndarray) -> np.ndarray:
-    return bits.astype("<u4").view("<f4").astype(float)
-
-
 class Shard:
     """Sums and the trie of what one shard owns."""
 
@@ -225,12 +236,12 @@ class Shard:
             own, count, gaps, *_ = unpacked(q)
             hashes.append(own), learnt.append(count), words.append(np.cumsum(gaps))
         self.hashes, self.learnt = summed(hashes, learnt)
-        names = np.unique(np.concatenate([np.empty(0, np.int64), *words]))
+        names = distinct(np.concatenate([np.empty(0, np.int64), *words]))
         m = max(len(names), 1)
         pair_keys, pair_counts, contexts, third, triple_counts = [], [], [], [], []
         for q, own in zip(questions, words, strict=True):
             at = np.searchsorted(names, own)
-            u, w, n, last, before, successors, x, k = self._read(q, at)
+            u, w, n, last, before, successors, x, k = self._read(unpacked(q), at)
             pair_keys.append((u * m + w)[n > 0]), pair_counts.append(n[n > 0])
             context = np.repeat(last * m + before, successors)
             contexts.append(context[k > 0]), third.append(x[k > 0]), triple_counts.append(k[k > 0])
@@ -240,25 +251,24 @@ class Shard:
         self.trie = Trie.build(names, pairs, (known[key // m], key % m, count)).mapped()
 
     @staticmethod
-    def _read(q: bytes, at: np.ndarray) -> list[np.ndarray]:
-        _, _, _, du, w, n, dlast, before, successors, third, k = unpacked(q)
+    def _read(asked: list[np.ndarray], at: np.ndarray) -> list[np.ndarray]:
+        du, w, n, dlast, before, successors, third, k = asked[3:]
         return [at[np.cumsum(du)], at[w], n, at[np.cumsum(dlast)], at[before], successors, at[third], k]
 
     def answer(self, q: bytes) -> bytes:
-        own, _, gaps, *_ = unpacked(q)
+        asked = unpacked(q)
+        own, gaps = asked[0], asked[2]
         place = np.searchsorted(self.hashes, own)
         inside = np.minimum(place, max(len(self.hashes) - 1, 0))
         counts = np.zeros(len(own), np.int64)
         if len(self.hashes):
             counts = np.where(self.hashes[inside] == own, self.learnt[inside], 0)
         trie = self.trie
-        u, w, _, last, before, successors, third, _ = self._read(q, trie.words.find(np.cumsum(gaps)))
+        u, w, _, last, before, successors, third, _ = self._read(asked, trie.words.find(np.cumsum(gaps)))
         first = u[_gaps(u + 1) > 0]
-        context = trie.context(last, before)
-        triple = trie.triple(np.repeat(context, successors), np.repeat(last, successors), third)
+        left, triple = trie.triples_of(last, before, successors, third)
         return packed([
-            np.array([self.learnt.sum(), len(self.hashes)]), counts, trie.pair(u, w), _bits(trie.pair_left(first)),
-            _bits(trie.context_left(context)), triple,
+            np.array([self.learnt.sum(), len(self.hashes)]), counts, trie.pairs_of(u, w), trie.pair_left(first), left, triple,
         ])
 
 
@@ -316,25 +326,26 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES, shard_bytes: int = SH
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = size // shard_bytes + 1
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        for k, batch in enumerate(_dealt(batches, batch_bytes)):
+    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, pa.RecordBatch]]:
+        for batch in _dealt(batches, batch_bytes):
             body = _stored(batch)
-            # the content is part of the name, so that answers can't meet other rows of a task run again
-            name = f"{task}-{k}-{zlib.crc32(body):08x}"
+            # named by content, so that answers can't meet other rows; equal batches share their answers
+            yield xxhash.xxh3_128_hexdigest(body), body, batch
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, _, batch in stored(batches):
             content = _content(batch, shards)
-            yield _rows([(name, shards + zlib.crc32(name.encode()) % shards, body)])
             for s in range(shards):
                 yield _rows([(name, s, content.question(s))])
 
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, body, _ in stored(batches):
+            yield _rows([(name, shards, body)])
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked: list[tuple[str, int, bytes]] = []  # a partition is one shard, or only passes batches on
+        asked: list[tuple[str, int, bytes]] = []  # a partition is one shard
         for batch in batches:
-            for name, place, body in zip(*(batch[c].to_pylist() for c in ("batch", "place", "body")), strict=True):
-                if place < shards:
-                    asked.append((name, place, body))
-                else:
-                    yield _rows([(name, place, body)])
+            asked += zip(*(batch[c].to_pylist() for c in ("batch", "place", "body")), strict=True)
         if asked:
             asked.sort()
             shard = Shard([body for _, _, body in asked])
@@ -342,23 +353,24 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES, shard_bytes: int = SH
                 yield _rows([(name, place, shard.answer(body))])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers: list[bytes] = []
+        answers: dict[int, bytes] = {}
         current = None
         for batch in batches:
             for name, place, body in zip(*(batch[c].to_pylist() for c in ("batch", "place", "body")), strict=True):
                 if name != current:
-                    answers, current = [], name
+                    answers, current = {}, name
                 if place < shards:
-                    answers.append(body)
+                    answers[place] = body
                     continue
                 if len(answers) != shards:
-                    raise RuntimeError(f"batch {name} has {len(answers)} of {shards} answers")
+                    raise RuntimeError("the documents came in another order when they were read again; write them as a table first")
                 own = _restored(body)
-                columns = _content(own, shards).scores(answers)
+                columns = _content(own, shards).scores([answers[s] for s in range(shards)])
                 names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
                 yield pa.RecordBatch.from_arrays([own["doc_id"], own["held_out"], *map(pa.array, columns)], names)
 
-    asked = map_arrow(rows, ask, ROWS).repartitionById(2 * shards, "place")
-    answered = map_arrow(asked, answer, ROWS).repartition(2 * shards, "batch").sortWithinPartitions("batch", "place")
+    asked = map_arrow(rows, ask, ROWS).repartitionById(shards, "place")
+    met = map_arrow(asked, answer, ROWS).unionByName(map_arrow(rows, keep, ROWS))
+    met = met.repartition(2 * shards, "batch").sortWithinPartitions("batch", "place")
     schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
-    return map_arrow(answered, finish, schema)
+    return map_arrow(met, finish, schema)

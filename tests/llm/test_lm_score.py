@@ -20,7 +20,11 @@ def fold(doc_id):
 
 
 def rounded(share):
-    return 2 ** (-min(math.ceil(-math.log2(share) * 2048), 65534) / 2048)
+    return 2 ** (-math.ceil(-math.log2(share) * 16 - 1e-9) / 16)
+
+
+def left_of(shares):
+    return 2 ** (-math.ceil(-math.log2(1 - sum(shares)) * 2048 - 1e-9) / 2048)
 
 
 class PlainModel:
@@ -46,7 +50,7 @@ class PlainModel:
         if not counts:
             return shorter
         shares = {x: rounded((c - 0.75) / sum(counts.values())) for x, c in counts.items()}
-        return shares.get(w, 0.0) + (1 - sum(shares.values())) * shorter
+        return shares.get(w, 0.0) + left_of(shares.values()) * shorter
 
     def p(self, t, u, w):
         return self.mixed(self.triple.get((t, u)), w, self.mixed(self.pair.get(u), w, self.own(w)))
@@ -72,11 +76,13 @@ def by_id(df):
 
 
 @pytest.mark.parametrize(("batch", "shard"), [(12_000_000, 32_000_000), (2_000, 9_000)])
-def test_scores_equal_plain_counts(frame, edge_rows, batch, shard):
+def test_scores_equal_plain_counts(spark, frame, edge_rows, tmp_path, batch, shard):
     rows = documents() + [r for r in edge_rows if len(r[1] or "") < 20_000]
     model = PlainModel(rows)
     expected = sorted((model.row(*r) for r in rows), key=str)
-    got = by_id(lm_score.score(frame(rows).repartition(3), batch, shard))
+    path = f"{tmp_path}/documents"
+    frame(rows).repartition(3).write.parquet(path)
+    got = by_id(lm_score.score(spark.read.parquet(path), batch, shard))
     assert [g[0] for g in got] == [e[0] for e in expected]
     for (_, g), (_, e) in zip(got, expected, strict=True):
         assert g == pytest.approx(e, rel=1e-6, abs=1e-6)
@@ -88,7 +94,7 @@ def test_probabilities_add_up_to_one():
     contexts = r.sample(sorted(model.triple, key=str), 5) + [("start", "start"), ("no such", "word")]
     for t, u in contexts:
         known = sum(model.p(t, u, w) for w in model.c)
-        assert known + model.p(t, u, "no such word either") == pytest.approx(1)
+        assert 0.999 < known + model.p(t, u, "no such word either") <= 1 + 1e-9
 
 
 def test_held_out_texts_are_likelier_than_by_single_words(spark, testdata):
@@ -109,6 +115,14 @@ def test_long_missing_and_untaught_texts(frame):
     assert found[1].score == found[2].score
 
 
+def test_equal_batches_are_each_counted(spark, tmp_path):
+    path = f"{tmp_path}/documents"
+    copies = spark.range(0, 8, 1, 4).selectExpr("0L as doc_id", "'a b c' as text")
+    copies.write.parquet(path)
+    rows = lm_score.score(spark.read.parquet(path)).collect()
+    assert [(r.n_tokens, r.train_tokens) for r in rows] == [(4, 32)] * 8
+
+
 def test_sequences_equal_plain_search():
     r = np.random.default_rng(1)
     for _ in range(150):
@@ -128,5 +142,7 @@ def test_sequences_are_compact():
 
 def test_shares_are_rounded_down_in_order():
     share = np.geomspace(1e-8, 1, 999)
-    back = ngram_trie.decoded(ngram_trie.coded(share))
-    assert (back <= share * (1 + 1e-12)).all() and (back > share * 0.999).all()
+    for fineness in (ngram_trie.FINENESS, ngram_trie.FINER):
+        back = ngram_trie.decoded(ngram_trie.coded(share, fineness), fineness)
+        assert (back <= share * (1 + 1e-6)).all() and (back >= share * 2 ** (-1 / fineness)).all()
+    assert ngram_trie.decoded(ngram_trie.coded(np.zeros(1), 16), 16) == 0
