@@ -17,8 +17,9 @@ from ..contracts import (
     declared_schema,
     schema_diff,
 )
+from ..session import ship
 from ..settings import Settings
-from . import fs
+from . import footers, fs
 
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: folder of rows without a partition value
@@ -265,17 +266,17 @@ AUDIT = "table_name string, partition string, column_name string, stored string,
 def audit(spark: SparkSession, s: Settings, name: str) -> DataFrame:
     """Columns of a stored bronze table that differ from the contract, per partition.
 
-    Partitions are looked at one by one, by a file's footer each, so that shapes which can't be
-    merged with each other are reported like any others.
+    A job reads the footer of every data file, so that files of different shapes are reported even
+    within a partition, and shapes that can't be merged with each other like any others.
     """
     path = s.path("bronze", name)
-    folders = _partition_values(spark, path, PARTITION) or {"": current(spark, path)}
-    rows = [
-        (name, value, *difference)
-        for value, folder in sorted(folders.items())
-        for difference in schema_diff(_schema(spark, folder, path), bronze_schema(name))
-    ]
-    return spark.createDataFrame(rows, AUDIT)
+    root = current(spark, path)
+    ship(spark)
+    found = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").load(root)
+    # where Python can't open the file system, Spark hands over the files
+    found = found.select("path") if footers.can_open(root) else found.select("path", "content")
+    found = found.repartition(spark.sparkContext.defaultParallelism * 4)
+    return footers.differences(found, name, PARTITION, AUDIT).distinct()
 
 
 def write_hive_layout(df: DataFrame, zone: str) -> None:

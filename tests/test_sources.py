@@ -452,6 +452,25 @@ def test_drift_of_a_stored_table_stops_the_load(spark, lake):
         bronze.load_day(spark, drifted, spec, DAY)
 
 
+def test_audit_reads_every_file(spark, lake, monkeypatch):
+    """Two files of other shapes in one partition, one of them not the first, are both reported."""
+    spec = source("shipstation_shipments")
+    d.write_csv(raw(lake), spec.name, "2026-08-03", [d.ship(f"S{k}", f"#{k}") for k in range(5)])
+    bronze.load_day(spark, lake, spec, DAY)
+    folder = Path(lake.path("bronze", spec.name)) / "_run_date=2026-08-03"
+    good = spark.read.parquet(str(folder))
+    for k, df in enumerate((good.drop("carrier"), good.withColumn("status", F.lit(1)), good.withColumn("extra", F.lit("x")))):
+        df.coalesce(1).write.parquet(f"{lake.root}/odd{k}")
+        (part,) = Path(f"{lake.root}/odd{k}").glob("*.parquet")
+        part.rename(folder / f"zz{k}-{part.name}")
+    expected = {("carrier", None, "string"), ("status", "int", "string"), ("extra", "string", None)}
+    for openable in (True, False):
+        monkeypatch.setattr("cornermart.sources.footers.can_open", lambda uri, o=openable: o)
+        rows = [tuple(r) for r in tables.audit(spark, lake, spec.name).collect()]
+        assert {r[2:] for r in rows} == expected and len(rows) == 3
+        assert {r[:2] for r in rows} == {(spec.name, "2026-08-03")}
+
+
 def test_audit_names_each_drifted_partition(spark, lake):
     spec = source("shopify_orders")
     path = lake.path("bronze", spec.name)
