@@ -34,17 +34,21 @@ def variable(text: str) -> tuple[str, object]:
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="cornermart")
-    parser.add_argument("job", choices=["history", "day", "backfill", "arrivals", "check", "audit"])
+    parser.add_argument("job", choices=["history", "day", "backfill", "arrivals", "check", "audit", "archive"])
     parser.add_argument("--root", required=True, help="URI of the lake")
     parser.add_argument("--raw", required=True, help="URI of the raw deliveries")
     parser.add_argument("--seeds", help="URI of the folder with the seed files")
     parser.add_argument("--hive-raw-layout", action="store_true")
     parser.add_argument("--date", type=parse_run_date, help="logical day, default today; it may have been loaded before")
     parser.add_argument("--until", type=parse_run_date, help="last day of a backfill")
+    parser.add_argument("--zone", help="URI of the archive, by source, year, month and day")
     parser.add_argument("--progress", help="URI for the progress of the arrivals stream")
     parser.add_argument("--set", type=variable, action="append", default=[], metavar="NAME=VALUE", help="a threshold, the zone, json_lines ...")
     parser.add_argument("--allow", action="append", default=[], metavar="CHECK", help="a check that may fail")
-    return parser.parse_args(argv)
+    a = parser.parse_args(argv)
+    if a.job == "archive" and not a.zone:
+        parser.error("archive needs --zone")
+    return a
 
 
 def settings(a: argparse.Namespace) -> Settings:
@@ -64,12 +68,22 @@ def audit(spark: SparkSession, s: Settings) -> int:
     return int(bool(rows))
 
 
+def archive(spark: SparkSession, s: Settings, zone: str) -> int:
+    """Copy the stored bronze tables into dated folders; the days written replace those there."""
+    for spec in SOURCES:
+        if tables.has_table(spark, s, "bronze", spec.name):
+            tables.write_hive_layout(tables.table(spark, s, "bronze", spec.name), f"{zone.rstrip('/')}")
+    return 0
+
+
 def run(spark: SparkSession, a: argparse.Namespace) -> int:
     s = settings(a)
     seeds = {name: f"{(a.seeds or a.raw).rstrip('/')}/{name}.csv" for name in SEEDS}
     day = a.date or date.today()
     if a.job == "audit":
         return audit(spark, s)
+    if a.job == "archive":
+        return archive(spark, s, a.zone)
 
     def arrived() -> None:
         ingest_arrivals(spark, s, a.progress or s.path("ops", "arrivals")).awaitTermination()
@@ -87,6 +101,9 @@ def run(spark: SparkSession, a: argparse.Namespace) -> int:
     found = daily_build.violated(results, a.allow)
     for row in found:
         print(*row, sep="\t")
+    outside = {row.table_name for row in found if row.check_name == "accepted_values"}
+    for row in daily_build.bad_values(spark, s, sorted(outside)).collect() if outside else []:
+        print(*row, sep="\t")
     print(f"{len(found)} findings; all results are in {s.path('ops', 'check_history')}")
     return int(bool(found))
 

@@ -174,18 +174,6 @@ def activity_dates(orders: DataFrame, refunds: DataFrame, s: Settings) -> DataFr
     return both.distinct()
 
 
-def calendar_spine(orders: DataFrame, refunds: DataFrame, s: Settings) -> DataFrame:
-    span = activity_dates(orders, refunds, s).agg(F.min("day").alias("a"), F.max("day").alias("b"))
-    return span.select(timefx.date_spine(F.col("a"), F.col("b")).alias("day"))
-
-
-def refund_baseline(orders: DataFrame, refunds: DataFrame) -> DataFrame:
-    refunded = refunds.agg(F.count("*").alias("refunds"))
-    ordered = orders.agg(F.count("*").alias("orders"))
-    rate = F.try_divide(F.col("refunds") * F.lit(100.0), F.col("orders"))
-    return refunded.crossJoin(F.broadcast(ordered)).select(rate.alias("baseline_rate"))
-
-
 def daily_counts(orders: DataFrame, refunds: DataFrame, s: Settings) -> DataFrame:
     """Orders and refunds per active local day; rows without a time stay under a NULL day."""
     events = (
@@ -225,6 +213,21 @@ def daily_order_refund(orders: DataFrame, refunds: DataFrame, s: Settings) -> Da
     return fill_calendar(daily_counts(orders, refunds, s))
 
 
+def calendar_spine(orders: DataFrame, refunds: DataFrame, s: Settings) -> DataFrame:
+    """Every day from the first to the last active one."""
+    return daily_order_refund(orders, refunds, s).select("day")
+
+
+def baseline_rate(refunds: Column, orders: Column) -> Column:
+    """Percent of all orders that were refunded; rows without a time count too."""
+    return F.try_divide(refunds * F.lit(100.0), orders)
+
+
+def refund_baseline(orders: DataFrame, refunds: DataFrame, s: Settings) -> DataFrame:
+    rate = baseline_rate(F.sum("daily_refunds"), F.sum("daily_orders"))
+    return daily_counts(orders, refunds, s).agg(rate.alias("baseline_rate"))
+
+
 def rolling(daily: DataFrame, s: Settings) -> DataFrame:
     """Trailing sums; rows equal calendar days because the days are gap-free."""
     trailing = Window.orderBy("day").rowsBetween(1 - s.rolling_days, 0)
@@ -249,9 +252,7 @@ def rolling_rate() -> Column:
 def refund_alerts(orders: DataFrame, refunds: DataFrame, s: Settings) -> DataFrame:
     """Orders and refunds are each read once; everything after that is one row per day."""
     total = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    baseline = F.try_divide(
-        F.sum("daily_refunds").over(total) * F.lit(100.0), F.sum("daily_orders").over(total)
-    )
+    baseline = baseline_rate(F.sum("daily_refunds").over(total), F.sum("daily_orders").over(total))
     daily = daily_counts(orders, refunds, s).withColumn("baseline_rate", baseline)
     alarming = F.col("refund_rate_pct") > F.col("baseline_rate") * s.alert_multiplier
     return (

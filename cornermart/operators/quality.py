@@ -163,8 +163,8 @@ def accepted_report(tables: Tables) -> DataFrame:
 
     def of(name: str, rules: TableRules) -> DataFrame:
         bad = [
-            F.when(~F.col(c).isin(*v), F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("bad_value")))
-            for c, v in rules.accepted.items()
+            F.when(broken, F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("bad_value")))
+            for (_, c), broken in _outside(rules).items()
         ]
         cells = tables[name].select(F.inline(F.filter(F.array(*bad), lambda cell: cell.isNotNull())))
         counted = cells.groupBy("column_name", "bad_value").agg(F.count("*").alias("violations"))

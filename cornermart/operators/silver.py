@@ -205,9 +205,9 @@ def convert_refunds(refunds: DataFrame, rates: DataFrame) -> DataFrame:
 
 
 def refunds(
-    web: DataFrame, shipments: DataFrame, rates: DataFrame, window_days: int = 30
+    web: DataFrame, shipments: DataFrame, rates: DataFrame, window_days: int = 30, earliest_only: bool = False
 ) -> DataFrame:
-    flagged = flag_refunds(refunds_with_delivery(web, shipments), window_days)
+    flagged = flag_refunds(refunds_with_delivery(web, shipments, earliest_only), window_days)
     return convert_refunds(flagged, rates).select(*REFUND_COLUMNS)
 
 

@@ -100,6 +100,12 @@ def check(spark: SparkSession, s: Settings, run_date: date | None = None) -> Dat
     return history.filter(F.col("checked_at") == F.lit(newest))
 
 
+def bad_values(spark: SparkSession, s: Settings, names: Iterable[str]) -> DataFrame:
+    """The values outside their declared sets in the named stored tables, with their rows."""
+    layers = {n: "silver" if n in SILVER else "gold" for n in names}
+    return quality.accepted_report({n: tables.table(spark, s, layer, n) for n, layer in layers.items()})
+
+
 def freshness(named: dict[str, DataFrame]) -> DataFrame:
     """Rows and newest logical day per table, and how far it lags the newest table."""
     per_table = None

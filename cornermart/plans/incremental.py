@@ -59,10 +59,9 @@ def newest_day(spark: SparkSession, s: Settings) -> str:
     return tables.newest_partition(spark, s.path("silver", "stg_orders"), ORDER_DAY) or ""
 
 
-def new_days(spark: SparkSession, s: Settings, name: str) -> DataFrame:
-    """Bronze rows of days after the watermark; all rows while there is none."""
-    mark = newest_day(spark, s)
-    return days_of(spark, s, name, lambda day: day > mark)
+def marked(spark: SparkSession, s: Settings, name: str, done: dict[str, set[str]]) -> DataFrame:
+    """Bronze rows of the days of a source that wait for silver."""
+    return days_of(spark, s, name, done.get(name, set()).__contains__)
 
 
 def _keys(df: DataFrame, column: str, name: str = "order_id") -> DataFrame:
@@ -81,7 +80,7 @@ def refresh_subscriptions(spark: SparkSession, s: Settings) -> None:
 
 def _rebuild_refunds(spark: SparkSession, s: Settings, rates: DataFrame) -> None:
     web, ship = (tables.table(spark, s, "bronze", n) for n in (WEB, SHIP))
-    refunds = silver.refunds(newest_exports(web), ship, rates, s.refund_window_days)
+    refunds = silver.refunds(newest_exports(web), ship, rates, s.refund_window_days, s.earliest_delivery)
     tables.replace(_shaped(_dated_refunds(refunds), "stg_refunds"), s.path("silver", "stg_refunds"), REFUND_DAY)
 
 
@@ -98,13 +97,13 @@ def rebuild(spark: SparkSession, s: Settings) -> None:
     bronze.settle(spark, s, done)
 
 
-def _online_batch(spark: SparkSession, s: Settings, days: set[str], mark: str) -> tuple[DataFrame, DataFrame]:
+def _online_batch(spark: SparkSession, s: Settings, done: dict[str, set[str]], mark: str) -> tuple[DataFrame, DataFrame]:
     """(newest exports, ids) of the orders that the days touch.
 
     An order of a day after the watermark has its newest export there. For a late or repeated day,
     the other exports of its orders, and of those it used to hold, are looked up in all days.
     """
-    new = days_of(spark, s, WEB, days.__contains__)
+    new, days = marked(spark, s, WEB, done), done.get(WEB, set())
     late = {d for d in days if d <= mark}
     if not late:
         return newest_exports(new), _keys(new, "order_id")
@@ -117,13 +116,13 @@ def _online_batch(spark: SparkSession, s: Settings, days: set[str], mark: str) -
     return newest_exports(everywhere).unionByName(nameless), ids
 
 
-def _store_batch(spark: SparkSession, s: Settings, days: set[str], mark: str) -> tuple[DataFrame, DataFrame]:
+def _store_batch(spark: SparkSession, s: Settings, done: dict[str, set[str]], mark: str) -> tuple[DataFrame, DataFrame]:
     """(all lines, ids) of the tickets that the days touch.
 
     A ticket may have lines on several days. Its stored order names the first of them, so for new
     days only those from the first stored one on are read; for a late day, all are.
     """
-    new = days_of(spark, s, POS, days.__contains__)
+    new, days = marked(spark, s, POS, done), done.get(POS, set())
     late = {d for d in days if d <= mark}
     orders = tables.table(spark, s, "silver", "stg_orders").filter(F.col("channel") == silver.rules.RETAIL)
     ids = _keys(new, "transaction_id")
@@ -156,13 +155,13 @@ def update(spark: SparkSession, s: Settings) -> None:
 
     path = s.path("silver", "stg_customers")
     if min(web_days | pos_days, default="9999") > mark:
-        batch = silver.customers(*(days_of(spark, s, n, d.__contains__) for n, d in ((WEB, web_days), (POS, pos_days))))
+        batch = silver.customers(*(marked(spark, s, n, done) for n in (WEB, POS)))
         tables.replace_self(earlier_first_seen(stored(spark, s, "stg_customers"), batch), path)
     else:  # a sighting may have gone
         tables.replace_self(silver.customers(*(tables.table(spark, s, "bronze", n) for n in (WEB, POS))), path)
 
-    web, web_ids = _online_batch(spark, s, web_days, mark)
-    pos, pos_ids = _store_batch(spark, s, pos_days, mark)
+    web, web_ids = _online_batch(spark, s, done, mark)
+    pos, pos_ids = _store_batch(spark, s, done, mark)
     _update_refunds(spark, s, web, web_ids, web_days, ship_days, mark, rates)
 
     # last, since it moves the watermark
@@ -196,6 +195,6 @@ def _update_refunds(
     ids = web_ids.unionByName(_keys(old, "order_id")).distinct()
     ship = tables.table(spark, s, "bronze", SHIP)
     relevant = ship.join(_keys(touched, "order_id", "shopify_order_id"), "shopify_order_id", "left_semi")
-    refunds = _dated_refunds(silver.refunds(touched, relevant, rates, s.refund_window_days))
+    refunds = _dated_refunds(silver.refunds(touched, relevant, rates, s.refund_window_days, s.earliest_delivery))
     shaped = _shaped(refunds, "stg_refunds")
     tables.upsert(shaped, s, "silver", "stg_refunds", "order_id", REFUND_DAY, ids, _among(ORDER_DAY, web_days))

@@ -25,6 +25,7 @@ class Settings:
     refund_window_days: int = 30
     rolling_days: int = 7
     alert_multiplier: int = 2
+    earliest_delivery: bool = False  # of an order's deliveries only the first counts: refunds are never repeated
     json_lines: bool = False  # JSON deliveries hold one object per line instead of one array per file
 
     def schema_for(self, custom: str | None) -> str:

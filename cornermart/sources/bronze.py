@@ -83,6 +83,8 @@ def _verify(raw: DataFrame, spec: SourceSpec, found: dict[str, int]) -> None:
     broken = [n for n in names if found[f"bad_{n}"]]
     if broken:
         details = [validate.describe_offenders(raw, spec.name, n) for n in broken]
+        counted = validate.violation_counts(raw, spec.name).orderBy("column_name", "found").collect()  # a row per column and kind
+        details += [f"{r.violations} values of '{r.column_name}' are {r.found}" for r in counted]
         raise ContractError(f"{spec.name}: " + " | ".join(details))
 
 

@@ -61,12 +61,13 @@ def _partition_swap(w: Shop) -> DataFrame:
 
 
 def _incremental_new_rows(w: Shop) -> DataFrame:
-    """Silver holds the orders before the cutoff; the job's watermark picks the bronze days after it."""
+    """Bronze holds all order days; those from the cutoff on wait for silver, and the job reads them."""
     s = _lake(w, "increment")
     tables.swap(w.web.drop("line_items"), s.path("bronze", incremental.WEB), PARTITION, set())
-    orders = silver.online_orders(w.web).filter(F.col("order_run_date") < CUTOFF).select("order_id", "order_run_date")
-    tables.swap(orders, s.path("silver", "stg_orders"), "order_run_date", set())
-    fresh = incremental.new_days(w.spark, s, incremental.WEB)
+    waiting = w.web.filter(F.col(PARTITION) >= CUTOFF)
+    for day in tables.values_of(waiting, PARTITION):
+        fs.write_text(w.spark, bronze.pending_marker(s, incremental.WEB, day), "")
+    fresh = incremental.marked(w.spark, s, incremental.WEB, bronze.pending(w.spark, s))
     return fresh.select("order_id", "customer_email", "total_price", PARTITION)
 
 
@@ -215,7 +216,7 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "fact_customer_rfm": lambda w: w.fact_customer_rfm,
     "activity_dates": lambda w: gold.activity_dates(w.stg_orders, w.stg_refunds, w.s),
     "calendar_spine": lambda w: gold.calendar_spine(w.stg_orders, w.stg_refunds, w.s),
-    "refund_baseline": lambda w: gold.refund_baseline(w.stg_orders, w.stg_refunds),
+    "refund_baseline": lambda w: gold.refund_baseline(w.stg_orders, w.stg_refunds, w.s),
     "daily_order_refund": lambda w: gold.daily_order_refund(w.stg_orders, w.stg_refunds, w.s),
     "refund_rolling": lambda w: gold.refund_rolling(w.stg_orders, w.stg_refunds, w.s),
     "fact_refund_alerts": lambda w: w.fact_refund_alerts,

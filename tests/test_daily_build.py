@@ -11,7 +11,7 @@ from cornermart import __main__ as main
 from cornermart.contracts import SOURCES
 from cornermart.plans import daily_build, incremental
 from cornermart.settings import Settings
-from cornermart.sources import bronze, tables
+from cornermart.sources import bronze, fs, tables
 from cornermart.streaming import arrivals
 
 D3, D4, D5 = (date(2026, 8, n) for n in (3, 4, 5))
@@ -170,13 +170,16 @@ def test_first_seen_never_moves_forward(spark):
     assert got == {"a": D3, "b": D3, "c": D5}
 
 
-def test_watermark_picks_the_days_after_it(spark, tmp_path):
+def test_a_run_reads_the_marked_days(spark, tmp_path):
     s = Settings(root=str(tmp_path))
     rows = spark.createDataFrame([("#1", D3), ("#2", D4)], "order_id string, _run_date date")
     tables.swap(rows, s.path("bronze", "shopify_orders"), "_run_date", set())
-    ids = lambda: sorted(r.order_id for r in incremental.new_days(spark, s, "shopify_orders").collect())
+    ids = lambda: sorted(r.order_id for r in incremental.marked(spark, s, "shopify_orders", bronze.pending(spark, s)).collect())
+    assert ids() == []
+    for day in ("2026-08-03", "2026-08-04"):
+        fs.write_text(spark, bronze.pending_marker(s, "shopify_orders", day), "")
     assert ids() == ["#1", "#2"]
-    tables.swap(rows.filter("order_id = '#1'").withColumnRenamed("_run_date", "order_run_date"), s.path("silver", "stg_orders"), "order_run_date", set())
+    bronze.settle(spark, s, {"shopify_orders": {"2026-08-03"}})
     assert ids() == ["#2"]
 
 
@@ -255,8 +258,8 @@ def test_a_new_day_opens_only_its_own_bronze_files(spark, full, monkeypatch, raw
     daily_build.run_days(spark, s, [D3, D4], seeds)
     for spec in SOURCES:
         bronze.load_day(spark, s, spec, D5)
-    web, _ = incremental._online_batch(spark, s, {"2026-08-05"}, "2026-08-04")
-    pos, _ = incremental._store_batch(spark, s, {"2026-08-05"}, "2026-08-04")
+    web, _ = incremental._online_batch(spark, s, bronze.pending(spark, s), "2026-08-04")
+    pos, _ = incremental._store_batch(spark, s, bronze.pending(spark, s), "2026-08-04")
     for frame in (web, pos):
         assert {f.split("_run_date=")[1][:10] for f in frame.inputFiles()} == {"2026-08-05"}
 
@@ -271,7 +274,15 @@ def job(root, raw, seeds, *argv):
 
 def test_a_failing_check_fails_the_job(spark, raw, seeds, tmp_path, capsys):
     assert main.run(spark, job(tmp_path, raw, seeds, "history")) == 1
-    assert "accepted_values\tstg_subscriptions\tcustomer_status\t1" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "accepted_values\tstg_subscriptions\tcustomer_status\t1" in printed
+    values = [line.split("\t") for line in printed.splitlines() if line.startswith("accepted_values\tstg_subscriptions")]
+    assert ["accepted_values", "stg_subscriptions", "customer_status", "unknown_status", "1"] in values
+    zone = tmp_path / "zone"
+    assert main.run(spark, job(tmp_path, raw, seeds, "archive", "--zone", str(zone))) == 0
+    stored = tables.table(spark, main.settings(job(tmp_path, raw, seeds, "check")), "bronze", "shopify_orders")
+    assert spark.read.parquet(f"{zone}/source_name=shopify_orders").count() == stored.count() > 0
+    assert len(list(zone.glob("source_name=*"))) == len(SOURCES)
     assert main.run(spark, job(tmp_path, raw, seeds, "check", "--allow", "accepted_values")) == 0
     assert main.run(spark, job(tmp_path, raw, seeds, "audit")) == 0
 
