@@ -27,7 +27,7 @@ are counted by 63 bits.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import map_arrow
 from .ngram_trie import FINENESS, FINER, Trie, decoded, distinct, summed
 
-BATCH_BYTES = 12_000_000  # text in a batch, about
+BATCH_BYTES = 10_000_000  # text in a batch, about
 SHARD_BYTES = 32_000_000  # text for each shard, about
 SHORT = 23  # bits of a hash that pairs and triples do without
 START, END = b"\n<", b"\n>"  # no word holds a line break
@@ -58,14 +58,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
 
-def _hashed(words: list[bytes]) -> np.ndarray:
+def _hashed(words: Collection[bytes]) -> np.ndarray:
     return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(1)).astype(np.int64)
 
 
 def _grouped(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys, the place of each key among them, and their weights."""
     distinct, place = np.unique(keys, return_inverse=True)
-    return distinct, place.astype(np.int32), np.bincount(place, weight, len(distinct)).astype(np.int64)
+    return distinct, place.astype(np.int32), np.bincount(place, weight, len(distinct)).astype(np.int32)
 
 
 def _triples(u: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, weight: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -107,6 +107,20 @@ def _gaps(sorted_: np.ndarray) -> np.ndarray:
     return np.diff(sorted_, prepend=0)
 
 
+def _gaps_within(groups: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Differences of values that rise within neighbouring equal groups; the first of a group stays."""
+    out = _gaps(values)
+    first = np.diff(groups, prepend=-1) != 0
+    out[first] = values[first]
+    return out
+
+
+def _from_gaps_within(groups: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+    total = np.cumsum(gaps)
+    first = np.flatnonzero(np.diff(groups, prepend=-1))
+    return total - np.repeat((total - gaps)[first], np.diff(first, append=len(groups)))
+
+
 @dataclass
 class Batch:
     """The n-grams of some documents, in the order in which shards are asked for them."""
@@ -137,7 +151,7 @@ class Batch:
             flat.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
             flat.append(np.array([1], np.int32))
         token = np.concatenate([np.empty(0, np.int32), *flat])
-        hashes = _hashed(list(number))
+        hashes = _hashed(number)
         short, place = np.unique(hashes >> SHORT, return_inverse=True)
         m = len(short)
         w = place[token].astype(np.int64)
@@ -150,6 +164,7 @@ class Batch:
         pairs, pair_of, pair_count = _grouped(u * m + w, weight)
         contexts, context_of, triples, triple_of, triple_count = _triples(u, t, w, m, weight)
         learnt = np.bincount(token, weight, len(number)).astype(np.int64)
+        del weight, w, t, flat, number
         return cls(
             shards, hashes, learnt, short, token, u.astype(np.int32), pairs, pair_of, pair_count, contexts,
             context_of, triples, triple_of, triple_count, sizes,
@@ -162,15 +177,15 @@ class Batch:
         own[0] = -1  # the start is no token
         self.words_by = np.lexsort((self.hashes, own))
         self.word_cut = np.searchsorted(own[self.words_by], np.arange(self.shards + 1))
-        pair_shard = self.short[self.pairs // m] % self.shards
-        self.pairs_by = np.argsort(pair_shard, kind="stable")
+        pair_shard = (self.short[self.pairs // m] % self.shards).astype(np.int32)
+        self.pairs_by = np.argsort(pair_shard, kind="stable").astype(np.int32)
         self.pair_cut = np.searchsorted(pair_shard[self.pairs_by], np.arange(self.shards + 1))
         mixed = self.short[self.contexts // m] * 0x9E3779B1 + self.short[self.contexts % m]
-        context_shard = (mixed >> 7) % self.shards
-        self.contexts_by = np.argsort(context_shard, kind="stable")
+        context_shard = ((mixed >> 7) % self.shards).astype(np.int32)
+        self.contexts_by = np.argsort(context_shard, kind="stable").astype(np.int32)
         self.context_cut = np.searchsorted(context_shard[self.contexts_by], np.arange(self.shards + 1))
         triple_shard = context_shard[self.triples // m]
-        self.triples_by = np.argsort(triple_shard, kind="stable")
+        self.triples_by = np.argsort(triple_shard, kind="stable").astype(np.int32)
         self.triple_cut = np.searchsorted(triple_shard[self.triples_by], np.arange(self.shards + 1))
 
     def _of_shard(self, s: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -195,10 +210,10 @@ class Batch:
         named = np.flatnonzero(used)
         at = np.cumsum(used) - 1
         successors = np.bincount(np.searchsorted(contexts, number), minlength=len(contexts))
-        return packed([
-            self.hashes[words], self.learnt[words], _gaps(self.short[named]),
-            _gaps(at[u]), at[w], self.pair_count[pairs],
-            _gaps(at[last]), at[before], successors, at[third], self.triple_count[triples],
+        head = packed([self.hashes[words], self.learnt[words], _gaps(self.short[named])])
+        return len(head).to_bytes(8, "little") + head + packed([
+            _gaps(at[u]), _gaps_within(u, at[w]), self.pair_count[pairs],
+            _gaps(at[last]), _gaps_within(last, at[before]), successors, at[third], self.triple_count[triples],
         ])
 
     def scores(self, answers: list[bytes]) -> list[np.ndarray]:
@@ -226,49 +241,57 @@ class Batch:
         return [self.sizes, known, np.full(len(self.sizes), learnt), base, np.add.reduceat(np.log10(p), first)]
 
 
+def _words_asked(q: bytes) -> list[np.ndarray]:
+    """Hashes of the words owned, their counts, and the short hashes that number the words named."""
+    own, count, gaps = unpacked(q[8 : 8 + int.from_bytes(q[:8], "little")])
+    return [own, count, np.cumsum(gaps)]
+
+
+def _ngrams_asked(q: bytes) -> list[np.ndarray]:
+    """First and second words of pairs, counts; last words and those before, successors; third words, counts."""
+    du, dw, n, dlast, dbefore, successors, third, k = unpacked(q[8 + int.from_bytes(q[:8], "little") :])
+    u, last = np.cumsum(du), np.cumsum(dlast)
+    return [u, _from_gaps_within(u, dw), n, last, _from_gaps_within(last, dbefore), successors, third, k]
+
+
 class Shard:
     """Sums and the trie of what one shard owns."""
 
     def __init__(self, questions: list[bytes]):
-        self.questions = questions
-        hashes, learnt, words = [], [], []
-        for q in questions:
-            own, count, gaps, *_ = unpacked(q)
-            hashes.append(own), learnt.append(count), words.append(np.cumsum(gaps))
+        hashes, learnt, words = zip(*map(_words_asked, questions), strict=True)
         self.hashes, self.learnt = summed(hashes, learnt)
-        names = distinct(np.concatenate([np.empty(0, np.int64), *words]))
+        names = distinct(np.concatenate(words))
         m = max(len(names), 1)
         pair_keys, pair_counts, contexts, third, triple_counts = [], [], [], [], []
         for q, own in zip(questions, words, strict=True):
             at = np.searchsorted(names, own)
-            u, w, n, last, before, successors, x, k = self._read(unpacked(q), at)
-            pair_keys.append((u * m + w)[n > 0]), pair_counts.append(n[n > 0])
-            context = np.repeat(last * m + before, successors)
-            contexts.append(context[k > 0]), third.append(x[k > 0]), triple_counts.append(k[k > 0])
+            u, w, n, last, before, successors, x, k = _ngrams_asked(q)
+            learnt = n > 0
+            pair_keys.append((at[u] * m + at[w])[learnt]), pair_counts.append(n[learnt].astype(np.int32))
+            context, learnt = np.repeat(at[last] * m + at[before], successors), k > 0
+            contexts.append(context[learnt]), third.append(at[x][learnt].astype(np.int32)), triple_counts.append(k[learnt].astype(np.int32))
         pairs = summed(pair_keys, pair_counts)
-        known, number = np.unique(np.concatenate([np.empty(0, np.int64), *contexts]), return_inverse=True)
-        key, count = summed([number * m + np.concatenate([np.empty(0, np.int64), *third])], triple_counts and [np.concatenate(triple_counts)])
+        del pair_keys, pair_counts
+        known, number = np.unique(np.concatenate(contexts), return_inverse=True)
+        del contexts
+        key, count = summed([number * m + np.concatenate(third)], [np.concatenate(triple_counts)])
+        del number, third, triple_counts
         self.trie = Trie.build(names, pairs, (known[key // m], key % m, count)).mapped()
 
-    @staticmethod
-    def _read(asked: list[np.ndarray], at: np.ndarray) -> list[np.ndarray]:
-        du, w, n, dlast, before, successors, third, k = asked[3:]
-        return [at[np.cumsum(du)], at[w], n, at[np.cumsum(dlast)], at[before], successors, at[third], k]
-
     def answer(self, q: bytes) -> bytes:
-        asked = unpacked(q)
-        own, gaps = asked[0], asked[2]
+        own, _, short = _words_asked(q)
         place = np.searchsorted(self.hashes, own)
         inside = np.minimum(place, max(len(self.hashes) - 1, 0))
         counts = np.zeros(len(own), np.int64)
         if len(self.hashes):
             counts = np.where(self.hashes[inside] == own, self.learnt[inside], 0)
         trie = self.trie
-        u, w, _, last, before, successors, third, _ = self._read(asked, trie.words.find(np.cumsum(gaps)))
-        first = u[_gaps(u + 1) > 0]
-        left, triple = trie.triples_of(last, before, successors, third)
+        at = trie.words.find(short)
+        u, w, _, last, before, successors, third, _ = _ngrams_asked(q)
+        first = at[u[_gaps(u + 1) > 0]]
+        left, triple = trie.triples_of(at[last], at[before], successors, at[third])
         return packed([
-            np.array([self.learnt.sum(), len(self.hashes)]), counts, trie.pairs_of(u, w), trie.pair_left(first), left, triple,
+            np.array([self.learnt.sum(), len(self.hashes)]), counts, trie.pairs_of(at[u], at[w]), trie.pair_left(first), left, triple,
         ])
 
 
@@ -281,11 +304,11 @@ def _rows(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["batch", "place", "body"])
 
 
-def _stored(batch: pa.RecordBatch) -> bytes:
+def _stored(batch: pa.RecordBatch, compression: str | None = None) -> pa.Buffer:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=compression)) as out:
         out.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+    return sink.getvalue()
 
 
 def _restored(body: bytes) -> pa.RecordBatch:
@@ -326,21 +349,20 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES, shard_bytes: int = SH
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = size // shard_bytes + 1
 
-    def stored(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, bytes, pa.RecordBatch]]:
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
         for batch in _dealt(batches, batch_bytes):
-            body = _stored(batch)
             # named by content, so that answers can't meet other rows; equal batches share their answers
-            yield xxhash.xxh3_128_hexdigest(body), body, batch
+            yield xxhash.xxh3_128_hexdigest(memoryview(_stored(batch))), batch
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, batch in stored(batches):
+        for name, batch in named(batches):
             content = _content(batch, shards)
             for s in range(shards):
                 yield _rows([(name, s, content.question(s))])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, body, _ in stored(batches):
-            yield _rows([(name, shards, body)])
+        for name, batch in named(batches):
+            yield _rows([(name, shards, _stored(batch, "zstd").to_pybytes())])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked: list[tuple[str, int, bytes]] = []  # a partition is one shard
