@@ -1,4 +1,4 @@
-"""Elias-Fano sequences: sorted numbers in about two bits each beside their low bits.
+"""Elias-Fano sequences: sorted numbers in about three bits each beside their low bits.
 
 The low bits lie packed; the high parts are a bit per number, and a zero for each step of the high
 part. Counts of ones before each 64-bit word of it answer access and successor search for many
@@ -9,19 +9,22 @@ from __future__ import annotations
 
 import numpy as np
 
-PART = 1 << 18  # numbers packed at a time
 U1, BYTES, TOPS = np.uint64(1), np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
 #: For each byte and n, the place of its bit number n.
 BIT_IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[:8] for b in range(256)], np.int64).ravel()
 
 
 def _packed(values: np.ndarray, bits: int) -> np.ndarray:
-    """Numbers of ``bits`` bits, one after the other; eight bytes of zeros follow."""
-    out = []
-    for k in range(0, len(values), PART):  # PART is a multiple of eight, so that parts end with a byte
-        some = values[k : k + PART, None] >> np.arange(bits) & 1
-        out.append(np.packbits(some.astype(np.uint8), bitorder="little"))
-    return np.concatenate([*out, np.zeros(8, np.uint8)])
+    """Numbers of ``bits`` bits, one after the other, as bytes; a word of zeros follows."""
+    at = np.arange(len(values)) * bits
+    word, shift = at >> 6, (at & 63).astype(np.uint64)
+    values = values.astype(np.uint64)
+    out = np.zeros((len(values) * bits >> 6) + 2, np.uint64)
+    first = np.flatnonzero(np.diff(word, prepend=-1))
+    out[word[first]] = np.bitwise_or.reduceat(values << shift, first)
+    over = np.flatnonzero(shift > 64 - bits)  # at most one number of a word reaches into the next
+    out[word[over] + 1] |= values[over] >> (np.uint64(64) - shift[over])
+    return out.view(np.uint8)
 
 
 def _select(words: np.ndarray, k: np.ndarray, inside: np.ndarray) -> np.ndarray:
@@ -50,7 +53,7 @@ class EliasFano:
         values = np.asarray(values, np.int64)
         n = len(values)
         top = int(values[-1]) if n else 0
-        bits = max((top // n).bit_length() - 1, 0) if n else 0
+        bits = max((top // n).bit_length() - 2, 0) if n else 0  # one less than the shortest: fewer numbers share a high part
         low = _packed(values & ((1 << bits) - 1), bits) if bits else np.zeros(0, np.uint8)
         place = (values >> bits) + np.arange(n)
         length = n + (top >> bits) + 2  # a zero follows the last

@@ -21,7 +21,7 @@ Defined cases: null and empty texts have only their end; a null id counts as the
 fold; repeated rows get the same scores and are learnt from each; if there is nothing to learn from,
 every token has probability 1; an empty table gives no rows; a text is never cut, the longest one
 bounds a batch; of n-grams with equal words there are no ties; columns other than id and text are
-not read. Words whose hashes agree in 40 bits count as one within pairs and triples; single words
+not read. Words whose hashes agree in 36 bits count as one within pairs and triples; single words
 are counted by 63 bits.
 """
 
@@ -42,7 +42,7 @@ from .ngram_trie import FINENESS, FINER, Trie, decoded, distinct, summed
 
 BATCH_BYTES = 10_000_000  # text in a batch, about
 SHARD_BYTES = 32_000_000  # text for each shard, about
-SHORT = 23  # bits of a hash that pairs and triples do without
+SHORT = 27  # bits of a hash that pairs and triples do without
 START, END = b"\n<", b"\n>"  # no word holds a line break
 
 
@@ -304,15 +304,15 @@ def _rows(rows: list[tuple[str, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["batch", "place", "body"])
 
 
-def _stored(batch: pa.RecordBatch, compression: str | None = None) -> pa.Buffer:
+def _stored(batch: pa.RecordBatch) -> memoryview:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression=compression)) as out:
+    with pa.ipc.new_stream(sink, batch.schema) as out:
         out.write_batch(batch)
-    return sink.getvalue()
+    return memoryview(sink.getvalue())
 
 
 def _restored(body: bytes) -> pa.RecordBatch:
-    return pa.ipc.open_stream(body).read_next_batch()
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_next_batch()
 
 
 def _content(batch: pa.RecordBatch, shards: int) -> Batch:
@@ -349,20 +349,21 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES, shard_bytes: int = SH
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = size // shard_bytes + 1
 
-    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+    def named(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, memoryview, pa.RecordBatch]]:
         for batch in _dealt(batches, batch_bytes):
+            body = _stored(batch)
             # named by content, so that answers can't meet other rows; equal batches share their answers
-            yield xxhash.xxh3_128_hexdigest(memoryview(_stored(batch))), batch
+            yield xxhash.xxh3_128_hexdigest(body), body, batch
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, batch in named(batches):
+        for name, _, batch in named(batches):
             content = _content(batch, shards)
             for s in range(shards):
                 yield _rows([(name, s, content.question(s))])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, batch in named(batches):
-            yield _rows([(name, shards, _stored(batch, "zstd").to_pybytes())])
+        for name, body, _ in named(batches):
+            yield _rows([(name, shards, zstandard.ZstdCompressor(level=5).compress(body))])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked: list[tuple[str, int, bytes]] = []  # a partition is one shard

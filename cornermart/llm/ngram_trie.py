@@ -1,6 +1,6 @@
 """A trie of word pairs and triples in Elias-Fano levels, with quantised smoothed probabilities.
 
-Words are known by the first 40 bits of their hash. Level by level the trie holds
+Words are known by the first 36 bits of their hash. Level by level the trie holds
 - the words themselves, whose places number them,
 - for each word its successors, as place of the word times the number of words plus the successor,
 - the contexts of two words, likewise, and
