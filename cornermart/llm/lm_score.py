@@ -62,13 +62,13 @@ def _hashed(words: Collection[bytes]) -> np.ndarray:
     return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(1)).astype(np.int64)
 
 
-def _grouped(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct keys, the place of each key among them, and their weights."""
+def _grouped(keys: np.ndarray, weight: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Distinct keys, the place of each key among them, and their weights if there are any."""
     distinct, place = np.unique(keys, return_inverse=True)
-    return distinct, place.astype(np.int32), np.bincount(place, weight, len(distinct)).astype(np.int32)
+    return distinct, place.astype(np.int32), None if weight is None else np.bincount(place, weight, len(distinct)).astype(np.int32)
 
 
-def _triples(u: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, weight: np.ndarray) -> tuple[np.ndarray, ...]:
+def _triples(u: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, weight: np.ndarray | None) -> tuple:
     """Distinct contexts u * m + t and the place of each token's, then the same of triples and their weights."""
     if m < 1 << 21:  # three numbers fit into one: a single sort
         triples, triple_of, count = _grouped((u * m + t) * m + w, weight)
@@ -84,9 +84,9 @@ def packed(arrays: list[np.ndarray]) -> bytes:
     """Arrays of numbers from 0 up, in as many bytes as the largest needs, byte by byte apart."""
     out = []
     for a in arrays:
-        a = np.ascontiguousarray(a, "<i8")
         width = (int(a.max(initial=0)).bit_length() + 7) // 8
-        planes = a.view(np.uint8).reshape(-1, 8)[:, :width].T
+        cell = 4 if width <= 4 else 8
+        planes = a.astype(f"<u{cell}").view(np.uint8).reshape(-1, cell)[:, :width].T
         out.append(len(a).to_bytes(8, "little") + bytes([width]) + planes.tobytes())
     return zstandard.ZstdCompressor(level=1).compress(b"".join(out))
 
@@ -96,9 +96,10 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
     while at < len(raw):
         n, width = int.from_bytes(raw[at : at + 8], "little"), raw[at + 8]
         at += 9
-        whole = np.zeros((n, 8), np.uint8)
+        cell = 4 if width <= 4 else 8
+        whole = np.zeros((n, cell), np.uint8)
         whole[:, :width] = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n).T
-        out.append(whole.view("<i8").ravel())
+        out.append(whole.view(f"<u{cell}").ravel().astype(np.int64))
         at += n * width
     return out
 
@@ -123,26 +124,29 @@ def _from_gaps_within(groups: np.ndarray, gaps: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Batch:
-    """The n-grams of some documents, in the order in which shards are asked for them."""
+    """The n-grams of some documents, in the order in which shards are asked for them.
+
+    Counts are only there for asking.
+    """
 
     shards: int
     hashes: np.ndarray  # of each word
-    learnt: np.ndarray  # occurrences of each word to learn from
+    learnt: np.ndarray | None  # occurrences of each word to learn from
     short: np.ndarray  # distinct short hashes, sorted
     token: np.ndarray  # word of each token
     last: np.ndarray  # short word before each token
     pairs: np.ndarray
     pair_of: np.ndarray
-    pair_count: np.ndarray
+    pair_count: np.ndarray | None
     contexts: np.ndarray
     context_of: np.ndarray
     triples: np.ndarray
     triple_of: np.ndarray
-    triple_count: np.ndarray
+    triple_count: np.ndarray | None
     sizes: np.ndarray  # tokens of each document
 
     @classmethod
-    def of(cls, texts: list[bytes], learn: np.ndarray, shards: int) -> Batch:
+    def of(cls, texts: list[bytes], learn: np.ndarray | None, shards: int) -> Batch:
         number = Numbers({START: 0, END: 1})
         flat, sizes = [], np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
@@ -160,10 +164,10 @@ class Batch:
         u[first] = place[0]
         t = np.roll(u, 1)
         t[first] = place[0]
-        weight = np.repeat(learn.astype(float), sizes)
+        weight = None if learn is None else np.repeat(learn.astype(float), sizes)
         pairs, pair_of, pair_count = _grouped(u * m + w, weight)
         contexts, context_of, triples, triple_of, triple_count = _triples(u, t, w, m, weight)
-        learnt = np.bincount(token, weight, len(number)).astype(np.int64)
+        learnt = None if learn is None else np.bincount(token, weight, len(number)).astype(np.int64)
         del weight, w, t, flat, number
         return cls(
             shards, hashes, learnt, short, token, u.astype(np.int32), pairs, pair_of, pair_count, contexts,
@@ -315,9 +319,9 @@ def _restored(body: bytes) -> pa.RecordBatch:
     return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_next_batch()
 
 
-def _content(batch: pa.RecordBatch, shards: int) -> Batch:
+def _content(batch: pa.RecordBatch, shards: int, asking: bool) -> Batch:
     texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch["text"]]
-    return Batch.of(texts, ~batch["held_out"].to_numpy(zero_copy_only=False), shards)
+    return Batch.of(texts, ~batch["held_out"].to_numpy(zero_copy_only=False) if asking else None, shards)
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:
@@ -357,7 +361,7 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES, shard_bytes: int = SH
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for name, _, batch in named(batches):
-            content = _content(batch, shards)
+            content = _content(batch, shards, True)
             for s in range(shards):
                 yield _rows([(name, s, content.question(s))])
 
@@ -388,7 +392,7 @@ def score(docs: DataFrame, batch_bytes: int = BATCH_BYTES, shard_bytes: int = SH
                 if len(answers) != shards:
                     raise RuntimeError("the documents came in another order when they were read again; write them as a table first")
                 own = _restored(body)
-                columns = _content(own, shards).scores([answers[s] for s in range(shards)])
+                columns = _content(own, shards, False).scores([answers[s] for s in range(shards)])
                 names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
                 yield pa.RecordBatch.from_arrays([own["doc_id"], own["held_out"], *map(pa.array, columns)], names)
 
