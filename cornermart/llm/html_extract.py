@@ -30,6 +30,7 @@ from .html_features import Nodes, features
 
 SAMPLE_PAGES = 300  # pages of the table that are learned from, at most
 INVENTED_PAGES = 900
+PLACES = 1 << 52  # that hashes choose from
 ROUNDS, DEPTH = 80, 4
 HELD_PAGES, HELD_CHARS = 200, 4_000_000  # pages read together
 NOT_MAIN_TAGS = frozenset("nav aside footer form header menu button select dialog".split())
@@ -78,14 +79,11 @@ def told(page: Page) -> list[int] | None:
     """1 or 0 per element by telling tags and names; None for a page without article or main."""
     if not {"article", "main"} & set(page.tags):
         return None
-    out = []
+    out, barred = [], []  # a comment may be an article, but never main
     for tag, words, parent in zip(page.tags, page.tokens, page.parents, strict=True):
-        above = out[parent] if parent >= 0 else 0
-        if tag in ("article", "main"):
-            above = 1
-        if tag in NOT_MAIN_TAGS or NOT_MAIN_WORDS.intersection(words):
-            above = 0
-        out.append(above)
+        barred.append((parent >= 0 and barred[parent]) or tag in NOT_MAIN_TAGS or bool(NOT_MAIN_WORDS.intersection(words)))
+        above = parent >= 0 and out[parent] == 1
+        out.append(int(not barred[-1] and (above or tag in ("article", "main"))))
     return out
 
 
@@ -120,9 +118,14 @@ def learn(samples: list[str]) -> Extractor:
 
 
 def fit(pages: DataFrame, n: int = SAMPLE_PAGES, longest: int = 20_000) -> Extractor:
-    """Learns, among others, from at most ``n`` pages of at most ``longest`` characters."""
-    chosen = pages.filter(F.length("html") <= longest).select("page_id", F.col("html").cast("string").alias("html"))
-    got = chosen.orderBy(F.xxhash64("page_id"), "page_id", "html").limit(n).collect()
+    """Learns, among others, from at most ``n`` pages of at most ``longest`` characters, by hash.
+
+    The hash is cut where somewhat more than ``n`` pages are left, so that tasks hand on few.
+    """
+    chosen = pages.filter(F.length("html") <= longest).select(F.col("page_id"), F.col("html").cast("string").alias("html"))
+    place = F.pmod(F.xxhash64("page_id", "html"), F.lit(PLACES))
+    chance = min(1.0, 2 * n / max(chosen.count(), 1))
+    got = chosen.filter(place < chance * PLACES).orderBy(place, "page_id", "html").limit(n).collect()
     return learn([r["html"] for r in got])
 
 

@@ -11,12 +11,12 @@ other columns are never read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, functions as F
 
 from . import byte_cnn
@@ -26,7 +26,7 @@ DOCS_PER_LANGUAGE = 500  # labelled documents of each language the network is tr
 WINDOWS_PER_DOC = 4
 PLACES = 1 << 52  # that hashes choose from
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+LETTER = regex.compile(r"\p{L}")
 HELD = 2048  # windows answered together
 
 

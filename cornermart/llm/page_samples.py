@@ -7,6 +7,7 @@ mark above a text counts). Layouts, names, languages of the chrome and lengths v
 from __future__ import annotations
 
 import random
+import re
 
 SYLLABLES = "an en er in on re ti al ra mi ko sa lu be do fa ne po sch ung ent que ción eau ment the and ing".split()
 NAMES = {
@@ -28,6 +29,8 @@ class Writer:
     def __init__(self, seed: int):
         self.r = random.Random(seed)
         self.named = self.r.random()
+        # how the page writes paragraphs: most with p, some with plain elements
+        self.paragraph = self.r.choice([("<p>", "</p>")] * 6 + [("<div>", "</div>")] * 3 + [("<div><span>", "</span></div>"), ("<section>", "</section>")])
 
     def word(self) -> str:
         return "".join(self.r.choice(SYLLABLES) for _ in range(self.r.randint(1, 3)))
@@ -65,7 +68,8 @@ class Writer:
             inner = f"<h3>{self.words(1, 4)}</h3>" + (self.links(2, 8) if r.random() < 0.6 else f"<p>{self.sentences(1, 3)}</p>")
             return self.element(["aside", "div", "section"], kind, inner)
         if kind == "ad":
-            inner = self.sentences(1, 2) if r.random() < 0.7 else f"<a href='/ad'>{self.words(2, 8)}</a><img src='x.png'>"
+            # without a name or a link, nothing would tell an advert's sentences from the text's
+            inner = self.sentences(1, 2) if r.random() < 0.7 and self.named >= 0.2 else f"<a href='/ad'>{self.words(2, 8)}</a><img src='x.png'>"
             return self.element(["div", "div", "aside", "section"], kind, inner)
         if kind == "notice":
             return self.element(["div", "section", "dialog"], kind, f"<p>{self.sentences(1, 3)}</p><button>{self.words(1, 2)}</button>")
@@ -84,21 +88,38 @@ class Writer:
         inner = f"&copy; {r.randint(1999, 2030)} {self.words(1, 4)}. {self.sentences(0, 2)}" + (self.links(0, 6) if r.random() < 0.5 else "")
         return self.element(["footer", "div"], kind, inner)
 
-    def body(self) -> str:
+    def linked_list(self) -> str:
+        """A list whose items are links, or sentences with one: a part of the text, such as sources."""
+        items = []
+        for _ in range(self.r.randint(2, 6)):
+            link = f'<a href="/{self.word()}">{self.words(2, 9)}</a>'
+            items.append(f"<li>{link}{self.r.choice(['', '.', ' ' + self.sentences(1, 1)])}</li>")
+        return "<ul>" + "".join(items) + "</ul>"
+
+    def body(self) -> list[str]:
         """Blocks of the main text, with chrome between some of them."""
         r, blocks = self.r, []
         if r.random() < 0.8:
             blocks.append(f"<h1>{self.words(3, 10)}</h1>")
         for _ in range(r.choice([1, 1, 2, 3, 4, 6, 9, 14])):
             x = r.random()
-            if x < 0.7:
+            if x < 0.7 and self.paragraph[0] != "<p>":
+                blocks.append(self.sentences(1, 6).join(self.paragraph))
+            elif x < 0.7:
                 ended = r.random() < 0.85
                 opened = r.choice(["", "", "<b>", "<em>"])
                 blocks.append(f"<p>{opened}{self.sentences(1, 6)}" + ("</p>" if ended and not opened else r.choice(["<br>", "</p>", ""])))
             elif x < 0.76:
                 blocks.append(f"<h2>{self.words(2, 6)}</h2>")
+            elif x < 0.81:
+                items = [self.words(2, 12) if r.random() < 0.6 else self.sentences(1, 2) for _ in range(r.randint(2, 6))]
+                tag = r.choice(["ul", "ul", "ol"])
+                blocks.append(f"<{tag}>" + "".join(f"<li>{x}</li>" for x in items) + f"</{tag}>")
             elif x < 0.83:
-                blocks.append("<ul>" + "".join(f"<li>{self.words(2, 12)}</li>" for _ in range(r.randint(2, 6))) + "</ul>")
+                blocks.append(self.linked_list())
+            elif x < 0.85:
+                terms = (f"<dt>{self.words(1, 3)}</dt><dd>{self.sentences(1, 2)}</dd>" for _ in range(r.randint(1, 5)))
+                blocks.append("<dl>" + "".join(terms) + "</dl>")
             elif x < 0.88:
                 blocks.append(f"<blockquote><p>{self.sentences(1, 3)}</p></blockquote>")
             elif x < 0.91:
@@ -110,17 +131,22 @@ class Writer:
                 blocks.append(f"<figure><img src='a.jpg'><figcaption>{self.words(3, 9)}</figcaption></figure>")
             if r.random() < 0.08:
                 blocks.append(self.chrome(r.choice(["ad", "form", "share", "notice", "side"])))
-        return "".join(blocks)
+        return blocks
 
     def page(self) -> str:
         r = self.r
-        kind = r.choice(["article", "article", "main", "div", "div", "section", "td", "bare"])
-        inner = self.body()
+        kind = r.choice(["article"] * 4 + ["main"] * 2 + ["div"] * 4 + ["section", "section", "td", "td", "bare", "bare", "loose", "loose"])
+        blocks = self.body()
+        if kind == "loose":  # nothing holds the blocks together, so each is marked, but for chrome, which is already
+            blocks = [b if b.split(">", 1)[0].endswith('data-main="0"') else re.sub(r"^<(\w+)", r'<\1 data-main="1"', b) for b in blocks]
+        inner = "".join(blocks)
         if kind == "article" and r.random() < 0.3:
             inner = f"<header><h1>{self.words(3, 8)}</h1></header>" + inner
         if r.random() < 0.25:
             inner += self.chrome(r.choice(["share", "comments", "ad"]))
-        if kind == "bare":
+        if kind == "loose":
+            main = inner
+        elif kind == "bare":
             main = f'<span data-main="1">{inner}</span>'
         elif kind == "td":
             main = f'<table><tr><td data-main="0">{self.links(2, 6)}</td><td data-main="1">{inner}</td></tr></table>'

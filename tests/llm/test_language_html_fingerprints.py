@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -25,8 +26,8 @@ def test_language_of_held_out_documents(spoken, frame, edge_rows):
     assert len(rows) == 300 and all(0 <= r.score <= 1 for r in rows)
     right = [r.lang_pred == list(TONGUES)[r.doc_id % 3] for r in rows if r.held_out]
     assert np.mean(right) > 0.95
-    edge = language.identify(frame([*edge_rows, (60, "123 !? 456")]), model).collect()
-    assert len(edge) == len(edge_rows) + 1
+    edge = language.identify(frame([*edge_rows, (60, "123 !? 456"), (60, "½ ² ① Ⅷ")]), model).collect()
+    assert len(edge) == len(edge_rows) + 2
     assert all((r.lang_pred, r.score) == ("und", 0.0) for r in edge if r.doc_id in (2, 3, 4, 60))
     assert all(r.lang_pred in TONGUES for r in edge if r.doc_id in (1, 6, 8))
     assert language.identify(frame([]), model).count() == 0
@@ -112,6 +113,62 @@ def test_a_page(extractor):
     assert extractor.texts([PAGE]) == [want]
 
 
+SENTENCES = (
+    "The first sentence of the story tells what happened in town.", "A second one, with more detail, follows the first quite closely.",
+    "Then a third sentence ends this part of the article.", "A fourth explains why it matters to the reader.",
+    "The fifth is the last one, as it should be.",
+)
+
+
+@pytest.mark.parametrize("n", [3, 5])
+@pytest.mark.parametrize(
+    ("around", "block"),
+    [
+        ("<div class='content'>{}</div>", "<div>{}</div>"), ("<div>{}</div>", "<div>{}</div>"), ("{}", "<div>{}</div>"),
+        ("<article>{}</article>", "<div>{}</div>"), ("<div id='x1'>{}</div>", "<div><span>{}</span></div>"), ("{}", "<div><span>{}</span></div>"),
+        ("<main><h1>Title of it</h1><dl>{}</dl></main>", "<dt>Term</dt><dd>{}</dd>"),
+        ("<article><h1>Title of it</h1><ul>{}</ul></article>", "<li><a href='/s'>{}</a></li>"),
+        # none of these is among the invented pages
+        ("<article><ol>{}</ol></article>", "<li>{}</li>"), ("<div class='text'><pre>{}</pre></div>", "{}\n\n"),
+        ("<table><tr><td>{}</td></tr></table>", "{}<br><br>"), ("<main><section><div>{}</div></section></main>", "<center>{}</center>"),
+    ],
+)
+def test_main_text_is_found_however_paragraphs_are_written(extractor, around, block, n):
+    chrome = (
+        "<html><head><title>t</title></head><body><header class='site-header'><a href='/'>Site</a></header><nav><ul><li><a href='/a'>Home</a></li>"
+        "<li><a href='/b'>News</a></li></ul></nav>{}<div class='sidebar'><h3>Related</h3><ul><li><a href='/c'>Other story</a></li><li><a href='/d'>"
+        "More of it</a></li></ul></div><footer>&copy; 2024 Someone. All rights reserved.</footer></body></html>"
+    )
+    (text,) = extractor.texts([chrome.format(around.format("".join(block.format(s) for s in SENTENCES[:n])))])
+    assert all(s in text for s in SENTENCES[:n])
+    assert not any(s in text for s in ("Home", "News", "Other story", "rights", "Site"))
+
+
+def test_comments_that_are_articles_are_not_told_to_be_main():
+    page = parse("<article><p>a</p></article><section class='comments'><article><p>b</p></article></section>")
+    assert page.text([bool(x) for x in html_extract.told(page)]) == "a"
+
+
+def test_decoding_is_the_best_choice_with_kept_parents():
+    class Given(html_extract.Extractor):
+        def log_odds(self, nodes):
+            return worth
+
+    r = random.Random(8)
+    for _ in range(200):
+        source = "".join(r.choice(["<div>", "<div>x", "</div>", "<b>y", "</b>"]) for _ in range(r.randint(1, 9)))
+        page = parse(source)
+        worth = np.array([r.uniform(-3, 3) for _ in page.tags])
+        own = np.where(html_extract.Nodes([page]).below(html_extract.Nodes([page]).own[:, 0]) > 0, worth, 0)
+        kept = Given({}, 0.0, ()).keep([page])[0]
+        best = 0.0
+        for choice in range(1 << len(page.tags)):
+            closed = all(p < 0 or choice >> p & 1 or not choice >> k & 1 for k, p in enumerate(page.parents))
+            best = max(best, sum(own[k] for k in range(len(page.tags)) if choice >> k & 1)) if closed else best
+        assert all(kept[p] or not k for k, p in zip(kept, page.parents, strict=True) if p >= 0)
+        assert sum(own[k] for k in range(len(kept)) if kept[k]) == pytest.approx(best)
+
+
 def test_no_kept_element_has_a_dropped_parent(extractor):
     pages = [parse(p) for p in page_samples.pages(40, seed=5)]
     for page, kept in zip(pages, extractor.keep(pages), strict=True):
