@@ -149,8 +149,8 @@ def learn(x: np.ndarray, label: np.ndarray, names: tuple[str, ...]) -> DecisionL
     return DecisionList(tuple(rules))
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DecisionList:
-    """Learns the list from the statistics of at most ``rows`` labelled documents.
+def labelled_statistics(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """(doc_id, label, x) of at most ``rows`` labelled documents, of no others.
 
     A repeated id counts once, with the least statistics of its rows that the base rules pass.
     """
@@ -158,9 +158,15 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DecisionLis
     c = docs.select("doc_id", "text").join(chosen, "doc_id")
     c = c.select("doc_id", "label", text_stats.counts(F.col("text")).alias("c"))
     columns = text_stats.ratios(F.col("c"))
-    c = c.filter(~base_failed(F.col("c")))  # the base rules judge those
-    c = c.select("doc_id", "label", F.array(*columns.values()).alias("x"))
-    got = c.groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x")).collect()
+    # the base rules judge the others; a filter here would be pushed below the join, with the statistics
+    x = F.when(~base_failed(F.col("c")), F.array(*columns.values()))
+    got = c.select("doc_id", "label", x.alias("x")).groupBy("doc_id").agg(F.min("label").alias("label"), F.min("x").alias("x"))
+    return got.filter("x is not null")
+
+
+def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> DecisionList:
+    """Learns the list from the statistics of at most ``rows`` labelled documents."""
+    got = labelled_statistics(docs, labels, rows).collect()
     got.sort(key=lambda r: ((r.doc_id * 2654435761) & 0xFFFFFFFF, r.doc_id, r.x))
     if not got:
         return DecisionList()

@@ -155,3 +155,11 @@ def test_lasso_drops_noise_and_trees_find_a_threshold():
     _, forest = trees.boost(x, (x[:, 1] > 0.4).astype(float), 3, 1)
     assert all(t.feature[0] == 1 and abs(t.threshold[0] - 0.4) < 0.05 for t in forest)
     assert quality_classifier.simplified(((0, True, 1.0), (0, True, 2.0), (1, False, 3.0))) == ((0, True, 2.0), (1, False, 3.0))
+
+
+def test_statistics_are_of_labelled_documents_only(spark, testdata):
+    """Nothing computes them below the join with the labels."""
+    docs, labels = (spark.read.parquet(f"{testdata}/sf0.001/{n}.parquet") for n in ("documents", "labels"))
+    plan = quality_rules.labelled_statistics(docs, labels, 50)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join Inner", 1)
+    assert "split(" in above and "split(" not in below
