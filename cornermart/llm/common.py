@@ -57,6 +57,14 @@ def label_sample(labels: DataFrame, column: str, rows: int) -> DataFrame:
     )
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, or one like it, that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 _shipped: set[str] = set()
 
 

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import let
+from .common import let, unused
 
 KEY_SETTING = "spark.cornermart.pii.key"
 DEFAULT_KEY = "set spark.cornermart.pii.key to a secret"
@@ -327,16 +327,15 @@ def report(docs: DataFrame) -> DataFrame:
 
 def replace(docs: DataFrame) -> DataFrame:
     """All columns, the text pseudonymised; ``n_chars`` follows the text where it changed."""
-    p = docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns], pseudonymised(F.col("text"), key_of(docs)).alias("_pseudonymised")
-    )
+    own = unused(docs, "_pseudonymised")
+    p = docs.select(*[F.col(f"`{c}`") for c in docs.columns], pseudonymised(F.col("text"), key_of(docs)).alias(own))
     columns = []
     for name in docs.columns:
         if name == "text":
-            columns.append(F.col("_pseudonymised.text").alias("text"))
+            columns.append(F.col(f"{own}.text").alias("text"))
         elif name == "n_chars":
-            new = F.length("_pseudonymised.text").cast(docs.schema[name].dataType)
-            columns.append(F.when(F.col("_pseudonymised.n_replaced") > 0, new).otherwise(F.col(name)).alias(name))
+            new = F.length(f"{own}.text").cast(docs.schema[name].dataType)
+            columns.append(F.when(F.col(f"{own}.n_replaced") > 0, new).otherwise(F.col(name)).alias(name))
         else:
             columns.append(F.col(f"`{name}`"))
     return p.select(*columns)

@@ -32,7 +32,7 @@ from pyspark.sql.types import LongType
 
 from ..session import materialise
 from . import bktree
-from .common import map_arrow, ship
+from .common import map_arrow, ship, unused
 
 SHINGLE = 3
 RADIUS = 3
@@ -219,15 +219,16 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, dist
     found = materialise(parts(docs, shingle, radius), "components")
     names = F.col("doc_id").eqNullSafe(F.col("component_id"))
     kept = found.filter("doc_id is not null").groupBy("doc_id").agg(F.bool_or(names).alias("names"), F.count("*").alias("n"))
-    kept = materialise(kept.filter("names").select(F.col("doc_id").alias("_kept"), F.col("n").alias("_rows")), "kept")
+    own, rows = unused(docs, "_kept"), unused(docs, "_rows")
+    kept = materialise(kept.filter("names").select(F.col("doc_id").alias(own), F.col("n").alias(rows)), "kept")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     doc_id = F.col("doc_id").cast("bigint")
-    match = doc_id == F.col("_kept")
+    match = doc_id == F.col(own)
     # merged at every size: the kept ids grow with the documents, so they are never broadcast
-    once = docs.join(kept.filter("_rows = 1").hint("merge"), match, "left_semi").select(*columns)
+    once = docs.join(kept.filter(F.col(rows) == 1).hint("merge"), match, "left_semi").select(*columns)
     unsure = []  # rows whose id doesn't tell which of them is kept
-    if not kept.filter("_rows > 1").isEmpty():
-        unsure.append(docs.join(kept.filter("_rows > 1").hint("merge"), match, "left_semi"))
+    if not kept.filter(F.col(rows) > 1).isEmpty():
+        unsure.append(docs.join(kept.filter(F.col(rows) > 1).hint("merge"), match, "left_semi"))
     if not found.filter("component_id is null").isEmpty():
         unsure.append(docs.filter(doc_id.isNull()))
     if not unsure:
