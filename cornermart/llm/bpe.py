@@ -32,6 +32,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import materialise
 from . import transducer
 from .common import map_arrow
 from .word_tokens import byte_characters, vocabulary_path
@@ -39,7 +40,7 @@ from .word_tokens import byte_characters, vocabulary_path
 VOCABULARY = "byte_bpe_50k.json"
 LEXICON = 120_000  # words in the transducer, at most
 HELD_WORDS = 1_000_000  # distinct words a counting task holds before it hands them on
-SEEN = 4  # times a word must occur in what is handed on at once to be counted
+PLACES = 1 << 52  # that hashes choose from
 BATCH_CHARS = 8_000_000  # characters encoded together; longer texts are cut between words
 LONGEST = 32  # bytes of words merged in numpy; longer ones use a heap
 
@@ -47,6 +48,10 @@ WHITE = r"\t-\r \x85\xa0  -     　"
 #: Runs that hold whole words: a piece never goes on from visible characters into white space.
 RUNS = re.compile(rf" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
 CUT = re.compile(rf"(?<=[^{WHITE}]) (?=[^{WHITE}])")
+#: White space of which a piece may hold a space with what follows it.
+SPACED_OUT = re.compile(rf"[{WHITE}]{{3}}|[{WHITE}]{{2}}\Z")
+PAIRS = ("  ", " \n", "\n ", "\n\n")  # quick signs that there may be some; so is any white space but these two
+RARE = re.compile("[" + "".join(chr(c) for c in range(0x3001) if re.match(f"[{WHITE}]", chr(c)) and chr(c) not in " \n") + "]")
 #: How the tokenizer file's pre-tokenizer splits (a fixed value of that format).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -297,37 +302,70 @@ def in_batches(rows: Iterator[tuple[int | None, str]]) -> Iterator[list[tuple[in
         yield held
 
 
-def frequent_words(docs: DataFrame, n: int = LEXICON) -> list[bytes]:
-    """The words counted most often over all texts, at most ``n``: ties go to the lesser word."""
+def chunks_of(text: str) -> list[str]:
+    """The text cut at the space before each word; at other spaces too, where that makes the same words."""
+    odd = any(pair in text for pair in PAIRS) or RARE.search(text)
+    return CUT.split(text) if odd and SPACED_OUT.search(text) else text.split(" ")
+
+
+def words_in(chunks: Counter[str], before: str) -> Counter[str]:
+    """Words of distinct chunks, each with ``before`` before it, as often as the chunks occur."""
+    out: Counter[str] = Counter()
+    owner, runs = [], []
+    for chunk, n in chunks.items():
+        found = RUNS.findall(before + chunk)
+        runs += found
+        owner += [n] * len(found)
+    for words, n in zip(pieces_of(runs), owner, strict=True):
+        for w in words:
+            out[w] += n
+    return out
+
+
+def counted_words(docs: DataFrame) -> DataFrame:
+    """(word, n): every word of every text, and how often it occurs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: Counter[str] = Counter()  # of a text: no space was cut off before it
         held: Counter[str] = Counter()
 
         def hand_on() -> pa.RecordBatch:
-            total: Counter[str] = Counter()
-            spaced = [f" {run}" for run, n in held.items() if n >= SEEN and run and not run.isspace()]
-            spaced = [run for run in spaced if RUNS.fullmatch(run)]  # no white space inside
-            for run, words in zip(spaced, pieces_of(spaced), strict=True):
-                for w in words:
-                    total[w] += held[run[1:]]
-            often = [(w, c) for w, c in total.items() if c >= SEEN and len(w) <= LONGEST]
-            held.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([w for w, _ in often], pa.string()), pa.array([c for _, c in often], pa.int64())], ["word", "n"]
-            )
+            total = words_in(first, "")
+            total.update(words_in(held, " "))
+            first.clear(), held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
 
         for batch in batches:
             for text in batch["text"]:
                 for part in cut_text(text.as_py() or ""):
-                    held.update(part.split(" "))  # spares the exact cut; words behind a line break are missed
-                if len(held) > HELD_WORDS:
+                    chunks = chunks_of(part)
+                    first[chunks[0]] += 1
+                    held.update(chunks[1:])
+                if len(held) + len(first) > HELD_WORDS:
                     yield hand_on()
-        if held:
-            yield hand_on()
+        yield hand_on()
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    counted = map_arrow(texts, run, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r["word"].encode() for r in counted.orderBy(F.desc("n"), "word").limit(n).collect()]
+    return map_arrow(texts, run, "word string, n bigint").filter("word <> ''").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def frequent_words(docs: DataFrame, n: int = LEXICON) -> list[bytes]:
+    """The words that occur most often in all texts, at most ``n``, and each twice at least.
+
+    A histogram of their counts tells where to cut, so that little more than ``n`` words come to the
+    driver; of words about as frequent as the last ones, some are left out by their hash.
+    """
+    counted = materialise(counted_words(docs).filter((F.col("n") > 1) & (F.octet_length("word") <= LONGEST)), "words")
+    step = F.floor(16 * F.log2("n")).cast("int")
+    left, cut, share = n, -1, 1.0
+    for r in sorted(counted.groupBy(step.alias("step")).agg(F.count("*").alias("c")).collect(), key=lambda r: -r.step):
+        if r.c > left:
+            cut, share = r.step, (left + 6 * left**0.5 + 20) / r.c  # a few more than are wanted
+            break
+        left -= r.c
+    place = F.pmod(F.xxhash64("word"), F.lit(PLACES))
+    some = counted.filter((step > cut) | ((step == cut) & (place < share * PLACES)))
+    return [r["word"].encode() for r in some.orderBy(F.desc("n"), place, "word").limit(n).collect()]
 
 
 def lexicon_file(docs: DataFrame, vocabulary: str, n: int = LEXICON) -> str:

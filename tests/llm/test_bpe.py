@@ -1,5 +1,6 @@
 import hashlib
 import random
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
@@ -88,3 +89,30 @@ def test_frequent_words_are_counted_over_all_texts(frame):
     words = bpe.frequent_words(frame([(k, "the cat, the dog") for k in range(200)]), 2)
     assert words[0] in (b" the", b" cat", b" dog", b"the", b",") and len(words) == 2
     assert bpe.frequent_words(frame([(1, None)]), 5) == []
+
+
+def plain_counts(texts):
+    counts = Counter()
+    for text in texts:
+        counts.update(w for run in bpe.RUNS.findall(text or "") for (words,) in [bpe.pieces_of([run])] for w in words)
+    return counts
+
+
+def test_chunks_make_the_words_of_the_text():
+    r = random.Random(6)
+    texts = ["".join(r.choice(["a", "b'll", "é1", " ", " ", "\n", "\t", "\u3000", "."]) for _ in range(r.randint(0, 12))) for _ in range(5000)]
+    for text in texts:
+        first, *rest = bpe.chunks_of(text)
+        got = bpe.words_in(Counter([first]), "") + bpe.words_in(Counter(rest), " ")
+        assert got == plain_counts([text]), repr(text)
+
+
+@pytest.mark.parametrize("parts", [1, 40])
+def test_the_lexicon_holds_every_word_that_repeats(frame, edge_rows, parts, monkeypatch):
+    monkeypatch.setattr(bpe, "HELD_WORDS", 500)
+    rows = [*edge_rows, *[(100 + k, invented(r, k).replace(" an ", "\nThe  An\n\n ")) for k, r in enumerate(range(10, 90))]]
+    want = {w.encode(): n for w, n in plain_counts(t for _, t in rows).items()}
+    found = bpe.frequent_words(frame(rows).repartition(parts))
+    assert set(found) == {w for w, n in want.items() if n > 1 and len(w) <= bpe.LONGEST}
+    few = bpe.frequent_words(frame(rows).repartition(parts), 50)
+    assert len(few) == 50 and min(want[w] for w in few) >= sorted(want.values())[-60] * 2 ** (-1 / 16)
