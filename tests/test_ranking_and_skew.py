@@ -27,6 +27,27 @@ def test_tiles_equal_ntile(spark, n):
     assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
 
 
+def test_tiles_of_more_rows_than_the_driver_sorts(spark, monkeypatch):
+    """Brackets are narrowed over several rounds, with hot values, NULLs, NaN and repeated rows."""
+    monkeypatch.setattr(ranking, "FEW", 200)
+    df = spark.range(20_000).select(
+        F.sha2(F.col("id").cast("string"), 256).alias("k"),
+        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 11).cast("int").alias("few"),
+        F.when(F.col("id") % 5 == 0, float("nan")).otherwise(F.rand(3)).alias("many"),
+    )
+    df = spark.createDataFrame(df.collect(), df.schema).repartition(6)
+    orders = {"a": ["few", "k"], "b": ["many", "k"]}
+    got = ranking.add_ntiles(df, 5, orders)
+    want = df
+    for name, order in orders.items():
+        want = want.withColumn(name, F.ntile(5).over(Window.orderBy(*[F.asc_nulls_last(c) for c in order])))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))  # NaN equals nothing
+    # among equal rows the cut is the value that the wanted rank has
+    ranked = sorted(r.few for r in df.filter("few is not null").collect())
+    found = ranking.cuts(df.filter("few is not null"), len(ranked), 5, ["few"])
+    assert [v for (v,) in found] == [ranked[end - 1] for end in ranking.tile_ends(len(ranked), 5)]
+
+
 def test_tiles_need_no_one_task_window(spark):
     df = spark.range(1000).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3).alias("v"))
     plan = ranking.add_ntiles(df, 5, {"t": ["v", "k"]})._jdf.queryExecution().executedPlan().toString()
