@@ -8,11 +8,12 @@ self-contained segments of whole documents. A segment's body is
     per block: ids (u32), words (u32), crc32 of its ids as u32 (u32)
     the blocks' range-coded words (u32), all numbers little-endian
 
-Blocks hold at most 2,048 ids and are coded on their own (see range_coder), so a damaged one is found
+Blocks hold at most 4,096 ids and are coded on their own (see range_coder), so a damaged one is found
 by its checksum and costs no other. Spark's committer makes a rerun of a lost task harmless.
 
-Defined cases: null and empty texts are the end id alone; rows without id come first, repeated ids
-in order of text; an empty table gives no rows; ids must be below 65,536; columns other than id and
+Defined cases: null and empty texts are the end id alone; rows without id come first; rows of one id,
+or of none, come in order of a hash of the text, then of the text, and may be in several files; a very
+long text is a segment of its own or ends one, in as many blocks as it needs; an empty table gives no rows; ids must be below 65,536; columns other than id and
 text are not read.
 """
 
@@ -33,8 +34,8 @@ from .word_tokens import encoder, vocabulary_path
 
 END_ID = 1
 SEGMENT = 1 << 20  # ids after which a segment ends with the document
-LANES = 2048  # blocks coded in lock step
-MAGIC, VERSION = b"CMTF", 1
+LANES = 1024  # blocks coded in lock step
+MAGIC, VERSION = b"CMTF", 2
 HEAD = struct.Struct("<4sHII")
 FILE_SCHEMA = "file int, segment int, n_docs int, n_ids bigint, body binary"
 
@@ -136,8 +137,10 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
 
     ordered = (
         docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        .repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", "text")
+        .withColumn("spread", F.xxhash64("text"))
+        .repartitionByRange("doc_id", "spread")
+        .sortWithinPartitions("doc_id", "spread", "text")
+        .select("doc_id", "text")
     )
     map_arrow(ordered, run, FILE_SCHEMA).write.parquet(path)
 

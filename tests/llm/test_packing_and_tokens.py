@@ -115,6 +115,60 @@ def test_coder_predicts_repeats():
     assert size < 4  # bits per id, of 16
 
 
+def test_coder_mixes_better_than_zlib_packs(library):
+    """Equal blocks of 16-bit ids: every order's share counts, also where no prediction holds."""
+    ids = np.array(library(invented(40_000, 3)))
+    blocks = [ids[k : k + range_coder.BLOCK] for k in range(0, len(ids), range_coder.BLOCK)]
+    words = range_coder.encode(blocks)
+    packed = sum(len(zlib.compress(b.astype("<u2").tobytes(), 9)) for b in blocks)
+    assert 4 * sum(len(w) for w in words) < 0.9 * packed
+    draws = np.random.default_rng(5).choice(49_000, 30)[np.random.default_rng(6).integers(0, 30, range_coder.BLOCK)]
+    even = 32 * len(range_coder.encode([draws])[0]) / len(draws)
+    assert even < math.log2(30) + 1.2  # order 0 alone, learning included
+
+
+def test_mixed_distribution_is_whole():
+    """The digits' intervals lie end to end over the whole, none empty, and decoding finds each."""
+    r = np.random.default_rng(7)
+    lanes = range_coder._Lanes(np.full(50, 400))
+    for _ in range(400):
+        x = np.where(r.random(50) < 0.6, 4321, r.integers(0, 1 << 16, 50))
+        f = range_coder._Foretold(lanes, 50)
+        for level in range(range_coder.LEVELS):
+            digit = (x >> (12 - 4 * level)) & 15
+            mixed = range_coder._Digit(lanes, level, lanes.node(50, level, x >> (16 - 4 * level)), f)
+            end = np.zeros(50, np.int64)
+            for d in range(16):
+                begin, size = mixed.bounds(np.full(50, d))
+                assert (begin == end).all() and (size > 0).all()
+                assert (mixed.find(begin) == d).all() and (mixed.find(begin + size - 1) == d).all()
+                end = begin + size
+            assert (end == 1 << range_coder.TOTAL).all()
+            mixed.bounds(digit)
+            mixed.learn(digit, f)
+        lanes.learn(50, x, f)
+
+
+def test_rows_of_one_id_spread_over_files(spark, library):
+    texts = [invented(20, k) for k in range(400)]
+    rows = [(None if k % 2 else 7, t) for k, t in enumerate(texts)]
+    path = scratch(spark, "tokens")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        token_files.write(spark.createDataFrame(rows, "doc_id bigint, text string"), path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert spark.read.parquet(path).select("file").distinct().count() > 2
+    got = token_files.read(spark, path).collect()
+    want = Counter((d, zlib.crc32(np.array([*library(t), 1], "<u4").tobytes())) for d, t in rows)
+    assert Counter((r.doc_id, r.ids_crc32) for r in got) == want
+    at = 0
+    for r in sorted(got, key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [None] * 200 + [7] * 200
+
+
 def test_files_read_back(spark, frame, edge_rows, library, monkeypatch):
     rows = [*edge_rows, *[(100 + k, invented(30, k)) for k in range(50)]]
     path = scratch(spark, "tokens")
