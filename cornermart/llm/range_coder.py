@@ -33,8 +33,9 @@ SURE = 7  # highest confidence of a prediction
 SCALE = 15  # bits of the 16-way distributions
 FLOOR = 32  # least share of a digit in them
 TOTAL = 16  # bits of the weights, and of the mixed distribution
-MOST = (1 << TOTAL) - (1 << 10)  # of both foretold ids' weights; the product with FLOOR keeps every digit possible
 LEAST = 256  # weight that a foretold id keeps
+LEFT = 1 << (TOTAL - 6)  # least weight of order 0: times FLOOR it keeps every digit possible
+MOST = (1 << TOTAL) - LEFT - LEAST  # what both foretold ids' weights go to; one that keeps LEAST may come on top
 CONTEXTS = LEVELS * 128  # place of the digit, two confidences, and whether both foretell the same digit
 ROW = np.dtype("V32")  # a distribution: a count, then where digits 1 to 15 start, as 16-bit numbers
 

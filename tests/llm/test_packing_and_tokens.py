@@ -149,6 +149,31 @@ def test_mixed_distribution_is_whole():
         lanes.learn(50, x, f)
 
 
+@pytest.mark.parametrize("right", [(True, False), (False, True), (True, True), (False, False)])
+def test_every_digit_stays_possible(right):
+    """However long one order foretells rightly and the other wrongly, no digit's interval is empty."""
+    c = range_coder
+    lanes, x = c._Lanes(np.array([10_000])), np.array([0x1234])
+    for turn in range(600):
+        f = c._Foretold(lanes, 1)
+        f.id1, f.id2 = (x if ok else x ^ 0xFFFF for ok in right)
+        f.k1, f.k2 = np.array([14]), np.array([112])
+        for level in range(c.LEVELS):
+            digit = (x >> (12 - 4 * level)) & 15
+            mixed = c._Digit(lanes, level, lanes.node(1, level, x >> (16 - 4 * level)), f)
+            if turn == 0:  # the lopsided weights and the steepest distribution there can be
+                heavy, light = (c.MOST, c.LEAST) if right[0] else (c.LEAST, c.MOST)
+                lanes.weight[mixed.context] = (heavy << 16) + light
+                steep = c.TARGET[int(digit[0])].copy()
+                steep[0] = 15
+                lanes.split[mixed.node] = steep.view(c.ROW)
+                mixed = c._Digit(lanes, level, mixed.node, f)
+            assert int((mixed.w1 + mixed.w2)[0]) <= c.MOST + c.LEAST
+            assert min(int(mixed.bounds(np.array([d]))[1][0]) for d in range(16)) > 0
+            mixed.bounds(digit)
+            mixed.learn(digit, f)
+
+
 def test_rows_of_one_id_spread_over_files(spark, library):
     texts = [invented(20, k) for k in range(400)]
     rows = [(None if k % 2 else 7, t) for k, t in enumerate(texts)]
