@@ -8,21 +8,28 @@ shuffle: a pseudonym depends on the value and the key alone.
 | kind | what is permuted |
 |---|---|
 | card number | all but the first digit; the Luhn digit is computed anew |
-| phone | all digits, but for the first one after a plus sign |
+| phone (7 to 15 digits) | all digits, but for the first one after a plus sign |
 | social security number | its rank among the valid ones |
 | IBAN | the account part, letters to letters; check digits are computed anew |
 | IPv4 | the 32-bit address |
+| IPv6 | hexadecimal digits, in place; two notations of one address aren't linked |
 | date | the day within its century (Gregorian, years 1000 to 9999) |
 | e-mail | letters and digits of the local part and of the domain, but for its last label |
 | access key, password, token | letters and digits, hexadecimal ones within hexadecimal |
 
+Dates with the month's name are prose and stay; four numbers after "v", "version" and the like are no
+address. Without a key, given or set, the operator refuses to run but on a local master.
+
 Defined cases: null stays null, an empty text stays empty, a text without valid values is returned
-unchanged; repeated rows get equal results; an empty table gives no rows; other columns are kept.
+unchanged, a very long text is searched whole; where two kinds fit at one place, the first of the
+order in ``ANY`` counts; repeated rows get equal results; an empty table gives no rows; other columns are kept.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import let, unused
 
@@ -36,16 +43,21 @@ EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]+(?:\.[A-Za-z
 NAMED = r"(?i:\b(?:password|passwd|pwd|token|secret|api[_-]?key)[ ]?[=:][ ]?[\"']?)[A-Za-z0-9+/_-]{8,}"
 ACCESS_KEY = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
-IPV4 = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4})(?![0-9]|[./-][0-9])"
+IPV4 = r"(?<![0-9.vV])(?<!\b(?i:version|release|revision|firmware|build)[ :]{1,2})[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
+IPV6 = (
+    r"(?<![0-9A-Za-z:.])(?=[A-Fa-f:]*[0-9])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])"
+)
+DATE = r"(?<![0-9./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{4}/[0-9]{2}/[0-9]{2}|[0-9]{1,2}([./-])[0-9]{1,2}\1[0-9]{4})(?![0-9]|[./-][0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"
 CARD = r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])"
 PHONE = (
     r"(?<![0-9A-Za-z+])(?:(?:\+[0-9]{1,3}[ .-]?)?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}"
-    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4})(?![0-9])"
+    r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}|[0-9]{3}[.-][0-9]{3}[.-][0-9]{4}"
+    r"|(?<![0-9][ .,])[2-9][0-9]{2} [2-9][0-9]{2} [0-9]{4}(?![ .,]?[0-9])|0[1-9][0-9]{1,3}[ /-][0-9]{6,8})(?![0-9])"
 )
 HINT = "[0-9@=:]|AKIA"  # every pattern needs one of these, and most texts have none
-ANY = "|".join((EMAIL, NAMED, ACCESS_KEY, IBAN, IPV4, DATE, SSN, CARD, PHONE))
+ANY = "|".join((EMAIL, NAMED, ACCESS_KEY, IBAN, IPV6, IPV4, DATE, SSN, CARD, PHONE))
 
 
 def chars(text: Column) -> Column:
@@ -167,7 +179,10 @@ def _phone(m: Column, key: str) -> Column:
         rest = F.substring(d, kept + 1, F.length(d))
         return F.concat(F.substring(d, F.lit(1), kept), permute_text(rest, key, "phone", (DIGITS,)))
 
-    return let(digits_of(m), lambda d: let(new(d), lambda n: refill(m, n, "0-9")))
+    return let(
+        digits_of(m),
+        lambda d: F.when(F.length(d).between(7, 15), let(new(d), lambda n: refill(m, n, "0-9"))).otherwise(m),
+    )
 
 
 def _ssn(m: Column, key: str) -> Column:
@@ -227,9 +242,18 @@ def _ipv4(m: Column, key: str) -> Column:
     return let(F.split(m, r"\."), new)
 
 
+def _ipv6(m: Column, key: str) -> Column:
+    """Hexadecimal digits stay such in their places, so the notation is kept."""
+    groups = F.size(F.filter(F.split(m, ":"), lambda g: g != ""))
+    new = F.when(m.rlike("[A-F]"), permute_text(m, key, "ipv6", (DIGITS + UPPER[:6], LOWER[:6]))).otherwise(
+        permute_text(m, key, "ipv6", (HEX,))
+    )
+    return F.when(groups < F.when(m.contains("::"), F.lit(8)).otherwise(F.lit(9)), new).otherwise(m)
+
+
 def _date(m: Column, key: str) -> Column:
-    """Dots: day first. Slashes: month first where that is a date, else day first."""
-    iso = m.rlike("^[0-9]{4}-")
+    """Year first, or with dots and hyphens day first; slashes: month first where that is a date, else day first."""
+    early = m.rlike("^[0-9]{4}")
     parts = F.split(m, "[./-]")
 
     def iso_of(year: int, month: int, day: int) -> Column:
@@ -237,8 +261,8 @@ def _date(m: Column, key: str) -> Column:
         return F.concat_ws("-", F.get(parts, F.lit(year)), *padded).try_cast("date")
 
     day_first = iso_of(2, 1, 0)
-    american = m.contains("/") & iso_of(2, 0, 1).isNotNull()
-    day = F.when(iso, m.try_cast("date")).otherwise(F.when(american, iso_of(2, 0, 1)).otherwise(day_first))
+    american = ~early & m.contains("/") & iso_of(2, 0, 1).isNotNull()
+    day = F.when(early, iso_of(0, 1, 2)).otherwise(F.when(american, iso_of(2, 0, 1)).otherwise(day_first))
 
     def new(d: Column) -> Column:
         century = F.floor(F.year(d) / 100).cast("int")
@@ -249,9 +273,11 @@ def _date(m: Column, key: str) -> Column:
         moved = F.date_add(first, permute_number(F.date_diff(d, first).cast("bigint"), key, "date", high, low).cast("int"))
         fields = lambda pattern: F.date_format(moved, pattern)
         return (
-            F.when(iso, fields("yyyy-MM-dd"))
+            F.when(early & m.contains("/"), fields("yyyy/MM/dd"))
+            .when(early, fields("yyyy-MM-dd"))
             .when(american, fields("MM/dd/yyyy"))
             .when(m.contains("/"), fields("dd/MM/yyyy"))
+            .when(m.contains("-"), fields("dd-MM-yyyy"))
             .otherwise(fields("dd.MM.yyyy"))
         )
 
@@ -288,6 +314,7 @@ def pseudonym(m: Column, key: str) -> Column:
         F.when(whole(NAMED) | whole(ACCESS_KEY), _secret(m, key))
         .when(whole(EMAIL), _email(m, key))
         .when(whole(IBAN), _iban(m, key))
+        .when(whole(IPV6), _ipv6(m, key))
         .when(whole(IPV4), _ipv4(m, key))
         .when(whole(DATE), _date(m, key))
         .when(whole(SSN), _ssn(m, key))
@@ -316,19 +343,31 @@ def pseudonymised(text: Column, key: str) -> Column:
     return F.when(F.coalesce(text.rlike(HINT) & text.rlike(ANY), F.lit(False)), changed).otherwise(same)
 
 
-def key_of(df: DataFrame) -> str:
-    return df.sparkSession.conf.get(KEY_SETTING, DEFAULT_KEY)
+def trial_key(spark: SparkSession) -> str:
+    """The session's key, else the published one: for the named queries on test tables only."""
+    return spark.conf.get(KEY_SETTING, DEFAULT_KEY)
+
+
+def key_of(df: DataFrame, key: str | None = None) -> str:
+    """The key given, or that of the session; on a local master a known one, elsewhere an error."""
+    spark = df.sparkSession
+    key = key or spark.conf.get(KEY_SETTING, None)
+    if key:
+        return key
+    if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", spark.sparkContext.master):
+        raise ValueError(f"pseudonyms need a secret key: set {KEY_SETTING}, or give one")
+    return DEFAULT_KEY
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, key: str | None = None) -> DataFrame:
     """Id, pseudonymised text and number of replaced values of every document."""
-    return docs.select("doc_id", pseudonymised(F.col("text"), key_of(docs)).alias("p")).select("doc_id", "p.*")
+    return docs.select("doc_id", pseudonymised(F.col("text"), key_of(docs, key)).alias("p")).select("doc_id", "p.*")
 
 
-def replace(docs: DataFrame) -> DataFrame:
+def replace(docs: DataFrame, key: str | None = None) -> DataFrame:
     """All columns, the text pseudonymised; ``n_chars`` follows the text where it changed."""
     own = unused(docs, "_pseudonymised")
-    p = docs.select(*[F.col(f"`{c}`") for c in docs.columns], pseudonymised(F.col("text"), key_of(docs)).alias(own))
+    p = docs.select(*[F.col(f"`{c}`") for c in docs.columns], pseudonymised(F.col("text"), key_of(docs, key)).alias(own))
     columns = []
     for name in docs.columns:
         if name == "text":

@@ -23,7 +23,7 @@ def _quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.report(table(spark, sf_dir, "documents"))
+    return pii.report(table(spark, sf_dir, "documents"), pii.trial_key(spark))
 
 
 def _simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,3 +1,5 @@
+import hashlib
+import random
 import re
 
 import pytest
@@ -37,6 +39,88 @@ def test_formats_are_kept_and_values_change(of):
         assert re.fullmatch(shape, new) and new != value, (value, new)
 
 
+def test_further_formats(of):
+    shapes = [
+        ("743 555 3824", r"\d{3} \d{3} \d{4}"), ("030 1234567", r"\d{3} \d{7}"), ("2024/03/12", r"20\d\d/\d\d/\d\d"),
+        ("12-03-2024", r"\d\d-\d\d-20\d\d"), ("2001:db8:85a3:0:0:8a2e:370:7334", r"[0-9a-f]{4}(:[0-9a-f]{1,4}){7}"),
+        ("2001:DB8::1:FF", r"[0-9A-F]{4}:[0-9A-F]{3}::[0-9A-F]:[0-9A-F]{2}"),
+    ]
+    for (value, shape), (text, n) in zip(shapes, of(*[f"so {v} then" for v, _ in shapes]), strict=True):
+        new = text.removeprefix("so ").removesuffix(" then")
+        assert n == 1 and re.fullmatch(shape, new) and new != value, (value, new)
+    (a, _), (b, _), (c, _) = of("2024/03/12", "2024-03-12", "12-03-2024")
+    assert a.replace("/", "-") == b and "-".join(reversed(c.split("-"))) == b
+    same = ["version 1.2.3.4", "Firmware: 10.0.0.1", "v1.2.3.4", "12 March 2024", "std::face", "add::beef", "at 12:30:45", "2024/13/01",
+            "31-02-2024", "1 743 555 3824 12", "0 1 2 3", "100 200 3000", "ratio 1:2:3:4:5:6:7:8:9", "(12) 345 678 90123456789012"]
+    assert of(*same)[:-1] == [(t, 0) for t in same[:-1]]
+
+
+def digest(kind, i, size, other):
+    return hashlib.sha256(f"{KEY}|{kind}|{i}|{size}|{other}".encode()).hexdigest()
+
+
+def plain_text(text, kind, alphabets):
+    """The same network in plain Python."""
+
+    def shifted(half, d):
+        out = []
+        for k, ch in enumerate(half):
+            amount = int(d[k % 32 * 2 : k % 32 * 2 + 2], 16)
+            for letters in alphabets:
+                if ch in letters:
+                    ch = letters[(letters.index(ch) + amount) % len(letters)]
+                    break
+            out.append(ch)
+        return "".join(out)
+
+    a, b = text[: len(text) // 2], text[len(text) // 2 :]
+    for i in range(pii.ROUNDS):
+        if i % 2 == 0:
+            a = shifted(a, digest(kind, i, len(text), b))
+        else:
+            b = shifted(b, digest(kind, i, len(text), a))
+    return a + b
+
+
+def plain_number(value, kind, high, low):
+    a, b = divmod(value, low)
+    for i in range(pii.ROUNDS):
+        if i % 2 == 0:
+            a = (a + int(digest(kind, i, high * low, b)[:12], 16)) % high
+        else:
+            b = (b + int(digest(kind, i, high * low, a)[:12], 16)) % low
+    return a * low + b
+
+
+def test_permutations_equal_plain_python(spark):
+    r = random.Random(8)
+    texts = ["", "7", "a-b", *["".join(r.choice("09afzAZ-._é") for _ in range(r.randint(1, 90))) for _ in range(60)]]
+    kinds = (pii.DIGITS, pii.LOWER, pii.UPPER)
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    got = {x.k: x.v for x in df.select("k", pii.permute_text(F.col("t"), KEY, "x", kinds).alias("v")).collect()}
+    assert [got[k] for k in range(len(texts))] == [plain_text(t, "x", kinds) for t in texts]
+    numbers = spark.range(0, 898 * 99 * 9999, 88_888_87).select("id", pii.permute_number(F.col("id"), KEY, "ssn", F.lit(898 * 99), F.lit(9999)).alias("v"))
+    for x in numbers.collect():
+        assert x.v == plain_number(x.id, "ssn", 898 * 99, 9999)
+
+
+def test_a_cluster_needs_a_key(frame, monkeypatch):
+    docs = frame([(1, "a")])
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        sparkContext, conf = Context, docs.sparkSession.conf
+
+    class Frame:
+        sparkSession = Session
+
+    with pytest.raises(ValueError, match="secret key"):
+        pii.key_of(Frame)
+    assert pii.key_of(Frame, "given") == "given" and pii.key_of(docs) == pii.DEFAULT_KEY
+
+
 def test_equal_values_stay_linked_and_other_keys_differ(of):
     (a, _), (b, _), (c, _) = of("x 4041894974608795 y", "4041-8949-7460-8795", "4041894974608795 and 4041894974608795.")
     new = re.search(r"\d{16}", a)[0]
