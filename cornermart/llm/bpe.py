@@ -204,18 +204,30 @@ class Merges:
         return Ragged(np.concatenate(flats).astype(np.int32), np.concatenate(lengths).astype(np.int64)).take(back)
 
 
+def numbered(items: list[str]) -> tuple[list[str], np.ndarray]:
+    """The distinct items in order of their first places, and each item's number among them."""
+    first_place: dict[str, int] = {}
+    first = np.fromiter(map(first_place.setdefault, items, range(len(items))), np.int64, len(items))
+    number = np.zeros(len(items), np.int64)
+    number[np.fromiter(first_place.values(), np.int64, len(first_place))] = np.arange(len(first_place))
+    return list(first_place), number[first]
+
+
+def visible_pieces(shown: list[str]) -> tuple[list[str], np.ndarray]:
+    """The words of runs with visible characters, one after the other, and how many each run has."""
+    if not shown:
+        return [], np.zeros(0, np.int64)
+    found = PIECES.findall("\n".join(shown))  # a line break is a word of its own between two runs
+    breaks = np.flatnonzero(np.fromiter(map("\n".__eq__, found), bool, len(found)))
+    return [p for p in found if p != "\n"], np.diff(breaks, prepend=-1, append=len(found)) - 1
+
+
 def pieces_of(runs: list[str]) -> list[list[str]]:
     """The words of each run; white-space runs are one word."""
-    shown = [r for r in runs if not r.isspace()]
-    found = PIECES.findall("\n".join(shown))  # a line break is a word of its own between two runs
-    split: list[list[str]] = [[]]
-    for piece in found:
-        if piece == "\n":
-            split.append([])
-        else:
-            split[-1].append(piece)
-    rest = iter(split)
-    return [[r] if r.isspace() else next(rest) for r in runs]
+    words, sizes = visible_pieces([r for r in runs if not r.isspace()])
+    ends = np.cumsum(sizes).tolist()
+    rest = iter(zip([0, *ends], ends))
+    return [[r] if r.isspace() else words[slice(*next(rest))] for r in runs]
 
 
 class Encoder:
@@ -246,23 +258,23 @@ class Encoder:
             for part in split(text):
                 runs.append(part) if part in special else runs.extend(RUNS.findall(part))
             counts[k] = len(runs) - size
-        place = {r: k for k, r in enumerate(dict.fromkeys(runs))}
-        plain = [r for r in place if r not in special]
-        words = pieces_of(plain)
-        word_place = {w: k for k, w in enumerate(dict.fromkeys(chain.from_iterable(words)))}
-        of_word = self.words([w.encode() for w in word_place])
-        n_words = np.fromiter(map(len, words), np.int64, len(words))
-        flat = np.fromiter((word_place[w] for x in words for w in x), np.int64, int(n_words.sum()))
-        of_run = of_word.take(flat).grouped(n_words)
-        fixed = [r for r in place if r in special]
+        distinct, taken = numbered(runs)
+        kind = np.fromiter((2 if r in special else r.isspace() for r in distinct), np.int8, len(distinct))
+        order = np.argsort(kind, kind="stable")  # visible runs, white space (a run is one word), special tokens
+        ordered = [distinct[k] for k in order.tolist()]
+        n_shown, n_plain = int((kind == 0).sum()), int((kind < 2).sum())
+        words, sizes = visible_pieces(ordered[:n_shown])
+        some, flat = numbered(words + ordered[n_shown:n_plain])
+        of_word = self.words([w.encode() for w in some])
+        of_run = of_word.take(flat).grouped(np.concatenate([sizes, np.ones(n_plain - n_shown, np.int64)]))
+        fixed = [special[r] for r in ordered[n_plain:]]
         both = Ragged(
-            np.concatenate([of_run.flat, np.array([special[r] for r in fixed], np.int32)]),
+            np.concatenate([of_run.flat, np.array(fixed, np.int32)]),
             np.concatenate([of_run.sizes, np.ones(len(fixed), np.int64)]),
         )
-        for k, r in enumerate(chain(plain, fixed)):
-            place[r] = k
-        taken = np.fromiter(map(place.__getitem__, runs), np.int64, len(runs))
-        return both.take(taken).grouped(counts)
+        row = np.empty(len(distinct), np.int64)
+        row[order] = np.arange(len(distinct))
+        return both.take(row[taken]).grouped(counts)
 
     def decode(self, ids: np.ndarray) -> str:
         return self.merges.text.take(ids).flat.tobytes().decode("utf-8", "replace")
@@ -310,16 +322,18 @@ def chunks_of(text: str) -> list[str]:
 
 def words_in(chunks: Counter[str], before: str) -> Counter[str]:
     """Words of distinct chunks, each with ``before`` before it, as often as the chunks occur."""
-    out: Counter[str] = Counter()
-    owner, runs = [], []
+    shown, n_shown, white, n_white = [], [], [], []
     for chunk, n in chunks.items():
-        found = RUNS.findall(before + chunk)
-        runs += found
-        owner += [n] * len(found)
-    for words, n in zip(pieces_of(runs), owner, strict=True):
-        for w in words:
-            out[w] += n
-    return out
+        for run in RUNS.findall(before + chunk):
+            if run.isspace():
+                white.append(run), n_white.append(n)
+            else:
+                shown.append(run), n_shown.append(n)
+    words, sizes = visible_pieces(shown)
+    distinct, number = numbered(words + white)
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, number, np.concatenate([np.repeat(np.array(n_shown, np.int64), sizes), np.array(n_white, np.int64)]))
+    return Counter(dict(zip(distinct, total.tolist(), strict=True)))
 
 
 def counted_words(docs: DataFrame) -> DataFrame:
@@ -330,8 +344,8 @@ def counted_words(docs: DataFrame) -> DataFrame:
         held: Counter[str] = Counter()
 
         def hand_on() -> pa.RecordBatch:
-            total = words_in(first, "")
-            total.update(words_in(held, " "))
+            total = words_in(held, " ")
+            total.update(words_in(first, ""))
             first.clear(), held.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], ["word", "n"])
 
