@@ -72,7 +72,7 @@ def _triples(u: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, weight: np.nda
     """Distinct contexts u * m + t and the place of each token's, then the same of triples and their weights."""
     if m < 1 << 21:  # three numbers fit into one: a single sort
         triples, triple_of, count = _grouped((u * m + t) * m + w, weight)
-        whole, third = np.divmod(triples, m)
+        whole, third = _split(triples, m)
         new = np.diff(whole, prepend=-1) > 0
         number = np.cumsum(new, dtype=np.int64) - 1
         return whole[new], number[triple_of].astype(np.int32), number * m + third, triple_of, count
@@ -104,6 +104,12 @@ def unpacked(blob: bytes) -> list[np.ndarray]:
     return out
 
 
+def _split(pairs: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray]:
+    """Quotients and remainders of numbers that aren't negative; one division a number."""
+    high = pairs // m
+    return high, pairs - high * m
+
+
 def _gaps(sorted_: np.ndarray) -> np.ndarray:
     return np.diff(sorted_, prepend=0)
 
@@ -181,11 +187,13 @@ class Batch:
         own[0] = -1  # the start is no token
         self.words_by = np.lexsort((self.hashes, own))
         self.word_cut = np.searchsorted(own[self.words_by], np.arange(self.shards + 1))
-        pair_shard = (self.short[self.pairs // m] % self.shards).astype(np.int32)
+        narrow = np.min_scalar_type(self.shards)  # numpy sorts up to 16 bits by their digits
+        pair_shard = (self.short % self.shards).astype(narrow)[self.pairs // m]
         self.pairs_by = np.argsort(pair_shard, kind="stable").astype(np.int32)
         self.pair_cut = np.searchsorted(pair_shard[self.pairs_by], np.arange(self.shards + 1))
-        mixed = self.short[self.contexts // m] * 0x9E3779B1 + self.short[self.contexts % m]
-        context_shard = ((mixed >> 7) % self.shards).astype(np.int32)
+        last, before = _split(self.contexts, m)
+        mixed = self.short[last] * 0x9E3779B1 + self.short[before]
+        context_shard = ((mixed >> 7) % self.shards).astype(narrow)
         self.contexts_by = np.argsort(context_shard, kind="stable").astype(np.int32)
         self.context_cut = np.searchsorted(context_shard[self.contexts_by], np.arange(self.shards + 1))
         triple_shard = context_shard[self.triples // m]
@@ -205,9 +213,9 @@ class Batch:
     def question(self, s: int) -> bytes:
         m = len(self.short)
         words, pairs, contexts, triples = self._of_shard(s)
-        u, w = np.divmod(self.pairs[pairs], m)
-        last, before = np.divmod(self.contexts[contexts], m)
-        number, third = np.divmod(self.triples[triples], m)
+        u, w = _split(self.pairs[pairs], m)
+        last, before = _split(self.contexts[contexts], m)
+        number, third = _split(self.triples[triples], m)
         used = np.zeros(m, bool)
         for a in (u, w, last, before, third):
             used[a] = True
