@@ -30,6 +30,19 @@ def test_monday_after_midnight_utc_is_previous_local_week(spark):
     assert one(spark, timefx.week_start(ts), t="2026-08-03T00:30:00") == date(2026, 8, 3)
 
 
+def test_local_clock_equals_convert_timezone_and_looks_the_zone_up_once(spark):
+    base = F.lit("1989-12-30 00:30:00").cast("timestamp_ntz")
+    ts = spark.range(0, 24 * 366 * 3, 1, 4).select((base + F.make_dt_interval(F.lit(0), F.col("id"))).alias("ts"))
+    more = ["1800-01-01 00:00:00.000001", "1999-10-31 05:59:59.999999", "1999-10-31 06:00:00", "2500-07-01 12:00:00", None]
+    ts = ts.union(spark.createDataFrame([(t,) for t in more], "t string").select(F.col("t").cast("timestamp_ntz")))
+    zone = "America/New_York"
+    local = ts.select("ts", timefx.utc_to_local(F.col("ts"), zone).alias("local"))
+    wanted = F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col("ts"))
+    assert local.filter(~F.col("local").eqNullSafe(wanted)).count() == 0
+    assert local.schema["local"].dataType.simpleString() == "timestamp_ntz"
+    assert "convert_timezone" not in local._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_local_date_applies_no_zone(spark):
     assert one(spark, timefx.local_date(F.col("t")), t="2026-08-03T23:59:00") == date(2026, 8, 3)
 
