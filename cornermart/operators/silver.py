@@ -65,26 +65,32 @@ def customers(web: DataFrame, pos: DataFrame) -> DataFrame:
 # -- orders ------------------------------------------------------------------------------
 
 
-def store_orders(pos: DataFrame) -> DataFrame:
-    """Ticket lines -> one row per ticket. Sums combine map-side, so a huge ticket is no hot spot."""
+def ticket_totals(pos: DataFrame) -> DataFrame:
+    """Ticket lines -> one row per ticket, of the first day it was sold. Sums combine map-side, so a
+    huge ticket is no hot spot. The customers of the rows are those of the lines."""
     ticket = ["transaction_id", "location_id", "customer_phone", "created_at_local"]
-    rolled = pos.groupBy(*ticket).agg(
-        F.min("_run_date").alias("order_run_date"),
+    return pos.groupBy(*ticket).agg(
+        F.min("_run_date").alias("_run_date"),
         F.sum(rules.line_amount()).cast(rules.MONEY).alias("amount_original"),
     )
+
+
+def store_orders(pos: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    """One row per ticket, from its lines or from their ``ticket_totals``, where those are stored."""
+    rolled = ticket_totals(pos) if totals is None else totals
     return rolled.select(
         F.col("transaction_id").alias("order_id"),
         "location_id",
         rules.store_customer_key().alias("customer_key"),
         F.col("created_at_local").alias("ticket_clock"),
-        "order_run_date",
+        F.col("_run_date").alias("order_run_date"),
         "amount_original",
     )
 
 
-def store_orders_utc(pos: DataFrame, zones: DataFrame) -> DataFrame:
+def store_orders_utc(pos: DataFrame, zones: DataFrame, totals: DataFrame | None = None) -> DataFrame:
     """Tickets in the common order shape; a store without a time zone drops its sales."""
-    located = store_orders(pos).join(zones, "location_id")
+    located = store_orders(pos, totals).join(zones, "location_id")
     return located.select(
         "order_id",
         "customer_key",
@@ -109,8 +115,8 @@ def online_orders(web: DataFrame) -> DataFrame:
     )
 
 
-def all_orders(web: DataFrame, pos: DataFrame, zones: DataFrame) -> DataFrame:
-    return store_orders_utc(pos, zones).unionByName(online_orders(web))
+def all_orders(web: DataFrame, pos: DataFrame, zones: DataFrame, totals: DataFrame | None = None) -> DataFrame:
+    return store_orders_utc(pos, zones, totals).unionByName(online_orders(web))
 
 
 def to_usd(facts: DataFrame, day, rates: DataFrame) -> DataFrame:
@@ -126,8 +132,11 @@ def convert_orders(combined: DataFrame, rates: DataFrame) -> DataFrame:
     return priced.select(*ORDER_COLUMNS, "amount_usd")
 
 
-def orders(web: DataFrame, pos: DataFrame, zones: DataFrame, rates: DataFrame) -> DataFrame:
-    return convert_orders(all_orders(web, pos, zones), rates)
+def orders(
+    web: DataFrame, pos: DataFrame, zones: DataFrame, rates: DataFrame, totals: DataFrame | None = None
+) -> DataFrame:
+    """``totals``, where the caller has stored the ``ticket_totals`` of ``pos``, spare a pass over it."""
+    return convert_orders(all_orders(web, pos, zones, totals), rates)
 
 
 # -- refunds -----------------------------------------------------------------------------

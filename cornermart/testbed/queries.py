@@ -221,14 +221,14 @@ QUERIES: dict[str, Callable[[Shop], DataFrame]] = {
     "refund_rolling": lambda w: gold.refund_rolling(w.stg_orders, w.stg_refunds, w.s),
     "fact_refund_alerts": lambda w: w.fact_refund_alerts,
     # data quality
-    "dq_unique": lambda w: quality.unique_report(w.store(*SILVER, *GOLD).tables(*SILVER, *GOLD)),
+    "dq_unique": lambda w: quality.unique_report(w.store("sales", *SILVER, *GOLD).tables(*SILVER, *GOLD)),
     "dq_not_null": lambda w: quality.not_null_report(
-        w.store(*SILVER, *GOLD).tables(*SILVER, *GOLD)
+        w.store("sales", *SILVER, *GOLD).tables(*SILVER, *GOLD)
     ),
     "dq_accepted_values": lambda w: quality.accepted_report(
-        w.store(*SILVER, *GOLD).tables(*SILVER, *GOLD)
+        w.store("sales", *SILVER, *GOLD).tables(*SILVER, *GOLD)
     ),
-    "dq_relationships": lambda w: quality.relationship_report(w.store(*SILVER).tables(*SILVER)),
+    "dq_relationships": lambda w: quality.relationship_report(w.store("sales", *SILVER).tables(*SILVER)),
     "dq_cad_orders": lambda w: quality.unconverted_cad(w.stg_orders),
     "dq_cad_refunds": lambda w: quality.unconverted_cad(w.stg_refunds),
     "dq_duplicate_active": lambda w: quality.duplicate_active(w.stg_subscriptions),

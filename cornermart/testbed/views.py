@@ -63,22 +63,31 @@ def shopify_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def square_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a ticket's lines have in common is made once per ticket, ahead of the join."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    tickets = _orders(spark, sf_dir).select("k", "c", "d")
-    return lines.join(tickets, lines["l_orderkey"] == tickets["k"]).selectExpr(
+    tickets = _orders(spark, sf_dir).selectExpr(
+        "k",
         "concat('SQ-', k) as transaction_id",
         "case when k % 25 = 0 then 'STORE-99' else concat('STORE-0', 1 + k % 3) end as location_id",
+        "case when k % 2 = 0 then 'card' else 'cash' end as payment_type",
+        "concat(d, 'T', lpad(cast(7 + k % 12 as string), 2, '0'), ':00:00') as created_at_local",
+        "case when k % 10 < 3 then concat('555-', c) end as customer_phone",
+        "d as _run_date",
+    )
+    return lines.join(tickets, lines["l_orderkey"] == tickets["k"]).selectExpr(
+        "transaction_id",
+        "location_id",
         "concat('SKU-', l_partkey) as item_sku",
         "concat('part ', l_partkey) as item_name",
         "cast(cast(l_quantity as int) as string) as qty",
         "cast(cast(l_extendedprice as decimal(18,2)) as string) as unit_price",
         """cast(cast(l_extendedprice as decimal(18,2)) * cast(l_discount as decimal(4,2)) as string)
             as discount""",
-        "case when k % 2 = 0 then 'card' else 'cash' end as payment_type",
+        "payment_type",
         "concat('E-', l_suppkey) as employee_id",
-        "concat(d, 'T', lpad(cast(7 + k % 12 as string), 2, '0'), ':00:00') as created_at_local",
-        "case when k % 10 < 3 then concat('555-', c) end as customer_phone",
-        "d as _run_date",
+        "created_at_local",
+        "customer_phone",
+        "_run_date",
     )
 
 
@@ -169,8 +178,11 @@ def shopify_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store_timezones(spark: SparkSession) -> DataFrame:
-    rows = [("STORE-01", "America/New_York"), ("STORE-02", "America/Chicago"), ("STORE-03", "America/Los_Angeles")]
-    return spark.createDataFrame(rows, "location_id string, timezone_name string")
+    """A literal table: its size is known, so no ticket is shuffled to look up its store."""
+    return spark.sql(
+        """select * from values ('STORE-01', 'America/New_York'), ('STORE-02', 'America/Chicago'),
+            ('STORE-03', 'America/Los_Angeles') as zones(location_id, timezone_name)"""
+    )
 
 
 def _exchange_rates(spark: SparkSession) -> DataFrame:
@@ -206,13 +218,18 @@ class Shop:
     ship = cached_property(lambda self: self._view(shipstation_shipments))
     tickets = cached_property(lambda self: self._view(zendesk_tickets))
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        """Ticket totals; stored, they serve customers and orders with one pass over the lines."""
+        return silver.ticket_totals(self.pos)
+
     @cached_property
     def stg_customers(self) -> DataFrame:
-        return silver.customers(self.web, self.pos)
+        return silver.customers(self.web, self.__dict__.get("sales", self.pos))
 
     @cached_property
     def stg_orders(self) -> DataFrame:
-        return silver.orders(self.web, self.pos, self.zones, self.rates)
+        return silver.orders(self.web, self.pos, self.zones, self.rates, self.__dict__.get("sales"))
 
     @cached_property
     def stg_refunds(self) -> DataFrame:

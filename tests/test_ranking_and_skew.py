@@ -122,6 +122,48 @@ def test_store_rollup_shuffles_partial_sums(spark):
     assert "partial_sum" in rolled._jdf.queryExecution().executedPlan().toString()
 
 
+def test_ticket_totals_stand_for_the_lines(spark):
+    """Stored totals give the customers and orders of the lines, so the lines are read once."""
+    lines = [
+        ("T1", "S1", "555", "2026-08-01T09:00:00", "1", "2.50", "0.5", datetime(2026, 8, 2)),
+        ("T1", "S1", "555", "2026-08-01T09:00:00", "2", "1.25", "0", datetime(2026, 8, 1)),
+        ("T2", "S1", None, "2026-08-01T23:00:00", "1", "7", "0", datetime(2026, 8, 1)),
+        ("T2", "S2", None, "2026-08-01T23:00:00", None, "7", "0", datetime(2026, 8, 3)),
+        (None, "S2", "556", None, "3", "7", "1", None),
+        (None, None, None, "2026-08-04T01:00:00", "3", "7", "1", datetime(2026, 8, 4)),
+    ]
+    names = "transaction_id string, location_id string, customer_phone string, created_at_local string, qty string, unit_price string, discount string, day timestamp"
+    pos = spark.createDataFrame(lines, names).withColumn("_run_date", F.to_date("day"))
+    web = spark.createDataFrame(
+        [("#1", "a@x", datetime(2026, 8, 1))], "order_id string, customer_email string, day timestamp"
+    ).selectExpr(
+        "order_id", "customer_email", "'2026-08-01T10:00:00-04:00' as created_at", "'USD' as currency", "1.5 as total_price",
+        "'web' as source_name", "cast(null as string) as cancelled_at", "to_date(day) as _run_date",
+    )
+    zones = spark.sql("select * from values ('S1', 'America/Chicago'), ('S2', 'America/New_York') as z(location_id, timezone_name)")
+    rates = spark.sql("select 'USD' as currency, date'2026-08-01' as currency_date, cast(1 as decimal(10,6)) as rate_to_usd")
+    totals = silver.ticket_totals(pos)
+
+    def rows(df):
+        return sorted(map(repr, df.collect()))
+
+    assert rows(silver.customers(web, totals)) == rows(silver.customers(web, pos))
+    assert rows(silver.orders(web, pos, zones, rates, totals)) == rows(silver.orders(web, pos, zones, rates))
+    assert totals.count() == 5
+
+
+def test_stored_shop_reads_the_lines_once(spark, testdata, tmp_path):
+    from cornermart.testbed import views
+
+    shop = views.Shop(spark, f"{testdata}/sf0.001").store("sales", "stg_customers", "stg_orders")
+    plain = views.Shop(spark, f"{testdata}/sf0.001")
+    assert "sales" not in plain.__dict__
+    for name in ("stg_customers", "stg_orders"):
+        stored, lazy = getattr(shop, name), getattr(plain, name)
+        assert stored.count() == lazy.count() and stored.exceptAll(lazy).isEmpty()
+    assert "lineitem" not in " ".join(shop.sales.inputFiles())
+
+
 def test_settings_schema_names():
     s = Settings(root="/lake", default_schema="main")
     assert s.schema_for(None) == "main" and s.schema_for(" gold ") == "gold"
