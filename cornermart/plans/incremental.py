@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..contracts import PARTITION, bronze_schema, silver_schema
 from ..operators import silver
+from ..session import materialise
 from ..settings import Settings
 from ..sources import bronze, tables
 
@@ -106,11 +107,11 @@ def _online_batch(spark: SparkSession, s: Settings, done: dict[str, set[str]], m
     new, days = marked(spark, s, WEB, done), done.get(WEB, set())
     late = {d for d in days if d <= mark}
     if not late:
-        return newest_exports(new), _keys(new, "order_id")
+        return newest_exports(new), materialise(_keys(new, "order_id"), "ids")
     held = tables.partitions(
         spark, s.path("silver", "stg_orders"), ORDER_DAY, silver_schema("stg_orders"), late.__contains__
     ).filter(F.col("channel") != silver.rules.RETAIL)
-    ids = _keys(new.select("order_id").unionByName(held.select("order_id")), "order_id")
+    ids = materialise(_keys(new.select("order_id").unionByName(held.select("order_id")), "order_id"), "ids")
     everywhere = tables.table(spark, s, "bronze", WEB).join(ids, "order_id", "left_semi")
     nameless = new.filter("order_id is null")
     return newest_exports(everywhere).unionByName(nameless), ids
@@ -129,6 +130,8 @@ def _store_batch(spark: SparkSession, s: Settings, done: dict[str, set[str]], ma
     if late:
         held = orders.filter(F.col(ORDER_DAY).cast("string").isin(sorted(late)))
         ids = _keys(ids.unionByName(held.select("order_id")), "order_id")
+    ids = materialise(ids, "ids")  # read by several joins, here and in the upsert
+    if late:
         old = tables.table(spark, s, "bronze", POS)
     else:
         first = orders.join(ids, "order_id", "left_semi").agg(F.min(ORDER_DAY)).first()[0]
@@ -191,7 +194,7 @@ def _update_refunds(
     waiting_days = {r[0].isoformat() for r in waiting.select(ORDER_DAY).distinct().collect()}
     old = days_of(spark, s, WEB, waiting_days.__contains__)
     old = old.join(delivered, "order_id", "left_semi").join(web_ids, "order_id", "left_anti").select(*web.columns)
-    touched = web.unionByName(newest_exports(old)).filter(F.size("refunds") > 0)
+    touched = materialise(web.unionByName(newest_exports(old)).filter(F.size("refunds") > 0), "touched")
     ids = web_ids.unionByName(_keys(old, "order_id")).distinct()
     ship = tables.table(spark, s, "bronze", SHIP)
     relevant = ship.join(_keys(touched, "order_id", "shopify_order_id"), "shopify_order_id", "left_semi")

@@ -196,7 +196,8 @@ def upsert(
     path, staging = s.path(layer, name), s.path("_staging", f"{layer}-{name}")
     schema = batch.schema
     _finish(spark, path, staging, partition, schema, sort)
-    fs.remove(spark, f"{staging}-batch")
+    for copy in ("batch", "keys"):
+        fs.remove(spark, f"{staging}-{copy}")
     batch.write.parquet(f"{staging}-batch")
     batch = spark.read.schema(schema).parquet(f"{staging}-batch")
     if not fs.exists(spark, path):
@@ -207,6 +208,8 @@ def upsert(
     if doomed is not None:
         keys = keys.unionByName(doomed.select(key))
     keys = keys.filter(F.col(key).isNotNull()).distinct()
+    keys.write.parquet(f"{staging}-keys")  # joined twice
+    keys = spark.read.schema(keys.schema).parquet(f"{staging}-keys")
     target = spark.read.schema(schema).parquet(path)
     touched = values_of(target.join(keys, key, "left_semi"), partition) | values_of(batch, partition)
     if stale is not None:
@@ -218,7 +221,8 @@ def upsert(
     merged.write.parquet(f"{staging}/merged")
     fs.write_text(spark, f"{staging}/_touched", "\n".join(sorted(touched)))
     _finish(spark, path, staging, partition, schema, sort)
-    fs.remove(spark, f"{staging}-batch")
+    for copy in ("batch", "keys"):
+        fs.remove(spark, f"{staging}-{copy}")
 
 
 # -- bronze ------------------------------------------------------------------------------

@@ -100,7 +100,8 @@ def _two_part_load(w: Shop) -> DataFrame:
             rows = df.filter(part)
             path = s.path("bronze", name)
             tables.swap(rows, path, PARTITION, set())
-            for day in tables.values_of(rows, PARTITION):
+            brought = tables.table(w.spark, s, "bronze", name).filter(part)  # the folders' days, no data
+            for day in tables.values_of(brought, PARTITION):
                 fs.write_text(w.spark, bronze.pending_marker(s, name, day), "")
         incremental.update(w.spark, s)
     stored = incremental.stored(w.spark, s, "stg_refunds")

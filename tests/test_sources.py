@@ -619,6 +619,23 @@ def test_upsert_removes_stale_rows(spark, lake):
     ) == [("2026-08-01", 9), ("2026-08-02", 3)]
 
 
+def test_upsert_computes_the_removed_keys_once(spark, lake):
+    df = spark.createDataFrame([("a", date(2026, 8, 1), 1), ("b", date(2026, 8, 2), 2), ("c", date(2026, 8, 3), 3)], SCHEMA)
+    tables.upsert(df, lake, "x", "t", "k", "day")
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    doomed = spark.createDataFrame([("b",), ("c",), ("z",), (None,)], "k string").mapInArrow(counted, "k string")
+    batch = spark.createDataFrame([("b", date(2026, 8, 4), 9)], SCHEMA)
+    tables.upsert(batch, lake, "x", "t", "k", "day", doomed)
+    assert rows_of(spark, lake) == [("a", "2026-08-01", 1), ("b", "2026-08-04", 9)]
+    assert read.value == 4
+
+
 def test_a_large_day_is_written_by_several_tasks(spark, lake):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
