@@ -130,8 +130,6 @@ def _store_batch(spark: SparkSession, s: Settings, done: dict[str, set[str]], ma
     if late:
         held = orders.filter(F.col(ORDER_DAY).cast("string").isin(sorted(late)))
         ids = _keys(ids.unionByName(held.select("order_id")), "order_id")
-    ids = materialise(ids, "ids")  # read by several joins, here and in the upsert
-    if late:
         old = tables.table(spark, s, "bronze", POS)
     else:
         first = orders.join(ids, "order_id", "left_semi").agg(F.min(ORDER_DAY)).first()[0]
@@ -139,7 +137,7 @@ def _store_batch(spark: SparkSession, s: Settings, done: dict[str, set[str]], ma
         old = days_of(spark, s, POS, lambda d: begin <= d and d not in days)
     lines = old.join(ids.withColumnRenamed("order_id", "transaction_id"), "transaction_id", "left_semi").select(*new.columns)
     nameless = new.filter("transaction_id is null")
-    return (lines.unionByName(nameless) if late else lines.unionByName(new)), ids
+    return (lines.unionByName(nameless) if late else lines.unionByName(new)), materialise(ids, "ids")
 
 
 def _among(column: str, days: set[str]) -> Column:
