@@ -6,10 +6,12 @@ self-contained segments of whole documents. A segment's body is
     "CMTF", version (u16), documents (u32), blocks (u32)
     per document: doc_id (i64), whether it is null (u8), ids (u64)
     per block: ids (u32), words (u32), crc32 of its ids as u32 (u32)
+    version 3: bytes of the model (u32), the segment's model (see mixing_coder), which has a checksum
     the blocks' range-coded words (u32), all numbers little-endian
 
-Blocks hold at most 4,096 ids and are coded on their own (see range_coder), so a damaged one is found
-by its checksum and costs no other. Spark's committer makes a rerun of a lost task harmless.
+Blocks hold at most 4,096 ids and are coded on their own (see mixing_coder), so a damaged one is found
+by its checksum and costs no other. Segments of version 2 have no model; range_coder reads their blocks.
+Spark's committer makes a rerun of a lost task harmless.
 
 Defined cases: null and empty texts are the end id alone; rows without id come first; rows of one id,
 or of none, come in order of a hash of the text, then of the text, and may be in several files; a very
@@ -28,14 +30,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from . import range_coder
+from . import mixing_coder, range_coder
 from .common import map_arrow
 from .word_tokens import encoder, vocabulary_path
 
 END_ID = 1
 SEGMENT = 1 << 20  # ids after which a segment ends with the document
-LANES = 2048  # blocks coded in lock step
-MAGIC, VERSION = b"CMTF", 2
+LANES = 2048  # blocks coded in lock step, about
+MODELS = 12  # segments held at once at most
+MAGIC, VERSION = b"CMTF", 3
 HEAD = struct.Struct("<4sHII")
 FILE_SCHEMA = "file int, segment int, n_docs int, n_ids bigint, body binary"
 
@@ -50,28 +53,30 @@ class Segment:
             raise ValueError("ids must be below 65,536")
         self.blocks = [whole[k : k + range_coder.BLOCK] for k in range(0, len(whole), range_coder.BLOCK)]
 
-    def body(self, words: list[np.ndarray]) -> bytes:
+    def body(self, words: list[np.ndarray], model: bytes | None = None) -> bytes:
+        """The segment's bytes: of version 3, or 2 without a model."""
         table = np.array(
             [(len(b), len(w), zlib.crc32(b.astype("<u4").tobytes())) for b, w in zip(self.blocks, words, strict=True)], "<u4"
         )
         return b"".join(
             [
-                HEAD.pack(MAGIC, VERSION, len(self.doc_ids), len(self.blocks)),
+                HEAD.pack(MAGIC, 2 if model is None else VERSION, len(self.doc_ids), len(self.blocks)),
                 np.array([d or 0 for d in self.doc_ids], "<i8").tobytes(),
                 np.array([d is None for d in self.doc_ids], "u1").tobytes(),
                 np.array(self.sizes, "<u8").tobytes(),
                 table.tobytes(),
+                b"" if model is None else struct.pack("<I", len(model)) + model,
                 *(w.astype("<u4").tobytes() for w in words),
             ]
         )
 
 
 class Body:
-    """A parsed segment: doc ids, sizes, and the words, lengths and checksums of its blocks."""
+    """A parsed segment: doc ids, sizes, its model if it has one, and the words, lengths and checksums of its blocks."""
 
     def __init__(self, raw: bytes):
         magic, version, n_docs, n_blocks = HEAD.unpack_from(raw)
-        if magic != MAGIC or version != VERSION:
+        if magic != MAGIC or version not in (2, VERSION):
             raise ValueError("not a token segment of this version")
         at = HEAD.size
         ids, at = np.frombuffer(raw, "<i8", n_docs, at), at + 8 * n_docs
@@ -79,6 +84,10 @@ class Body:
         self.sizes, at = np.frombuffer(raw, "<u8", n_docs, at).astype(np.int64), at + 8 * n_docs
         self.doc_ids = [None if n else int(d) for d, n in zip(ids, null, strict=True)]
         self.table, at = np.frombuffer(raw, "<u4", 3 * n_blocks, at).reshape(-1, 3), at + 12 * n_blocks
+        self.model = None
+        if version == VERSION:
+            (size,) = struct.unpack_from("<I", raw, at)
+            self.model, at = mixing_coder.Model.restored(raw[at + 4 : at + 4 + size]), at + 4 + size
         words = np.frombuffer(raw, "<u4", int(self.table[:, 1].sum()), at)
         self.words = np.split(words, np.cumsum(self.table[:, 1], dtype=np.int64)[:-1]) if n_blocks else []
 
@@ -91,10 +100,36 @@ class Body:
 
 
 def _in_lanes(items: list, coder) -> list:
-    """``coder`` over all items, LANES at a time."""
-    out = []
-    for k in range(0, len(items), LANES):
-        out += coder(items[k : k + LANES])
+    """``coder`` over the columns of all items, about LANES at a time, in parts of like size."""
+    out, parts = [], max(1, round(len(items) / LANES))
+    for k in range(parts):
+        part = items[k * len(items) // parts : (k + 1) * len(items) // parts]
+        out += coder(*map(list, zip(*part, strict=True))) if part else []
+    return out
+
+
+def encoded(segments: list[Segment]) -> list[bytes]:
+    """The bytes of each segment."""
+    models = [mixing_coder.Model.of_blocks(s.blocks) for s in segments]
+    blocks = [(b, k) for k, s in enumerate(segments) for b in s.blocks]
+    words = iter(_in_lanes(blocks, lambda own, of: mixing_coder.encode(own, models, of)))
+    return [s.body([next(words) for _ in s.blocks], m.stored()) for s, m in zip(segments, models, strict=True)]
+
+
+def blocks_of(bodies: list[Body]) -> list[list[np.ndarray]]:
+    """The blocks of each segment, of either version."""
+    out: list[list[np.ndarray]] = [[]] * len(bodies)
+    for version in (2, VERSION):
+        some = [k for k, b in enumerate(bodies) if (b.model is None) == (version == 2)]
+        models = [bodies[k].model for k in some]
+        coded = [(w, int(n), j) for j, k in enumerate(some) for w, n in zip(bodies[k].words, bodies[k].table[:, 0], strict=True)]
+
+        def coder(words: list[np.ndarray], sizes: list[int], of: list[int]) -> list[np.ndarray]:
+            return range_coder.decode(words, sizes) if models[0] is None else mixing_coder.decode(words, sizes, models, of)  # noqa: B023
+
+        blocks = iter(_in_lanes(coded, coder))
+        for k in some:
+            out[k] = [next(blocks) for _ in bodies[k].words]
     return out
 
 
@@ -107,14 +142,12 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
         held: list[Segment] = []
 
         def rows(number: int) -> pa.RecordBatch:
-            words = iter(_in_lanes([b for s in held for b in s.blocks], range_coder.encode))
-            bodies = [s.body([next(words) for _ in s.blocks]) for s in held]
             columns = [
                 pa.array([file] * len(held), pa.int32()),
                 pa.array(range(number, number + len(held)), pa.int32()),
                 pa.array([len(s.doc_ids) for s in held], pa.int32()),
                 pa.array([sum(s.sizes) for s in held], pa.int64()),
-                pa.array(bodies, pa.binary()),
+                pa.array(encoded(held), pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, ["file", "segment", "n_docs", "n_ids", "body"])
 
@@ -127,7 +160,7 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
                 if size >= SEGMENT:
                     held.append(Segment(doc_ids, ids))
                     doc_ids, ids, size = [], [], 0
-                    if sum(len(s.blocks) for s in held) >= LANES:
+                    if sum(len(s.blocks) for s in held) >= LANES or len(held) >= MODELS:
                         yield rows(number)
                         number, held = number + len(held), []
         if ids:
@@ -153,14 +186,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         held: list[tuple[int, int, Body]] = []
 
         def rows() -> pa.RecordBatch:
-            words = [w for *_, b in held for w in b.words]
-            lengths = [int(n) for *_, b in held for n in b.table[:, 0]]
-            coded = list(zip(words, lengths, strict=True))
-            blocks = iter(_in_lanes(coded, lambda some: range_coder.decode(*map(list, zip(*some, strict=True)))))
             out = []
-            for file, segment, body in held:
+            for (file, segment, body), blocks in zip(held, blocks_of([b for *_, b in held]), strict=True):
                 start = 0
-                for doc_id, own in zip(body.doc_ids, body.documents([next(blocks) for _ in body.words]), strict=True):
+                for doc_id, own in zip(body.doc_ids, body.documents(blocks), strict=True):
                     out.append((file, segment, doc_id, start, len(own), zlib.crc32(own.astype("<u4").tobytes())))
                     start += len(own)
             types = (pa.int32(), pa.int32(), *[pa.int64()] * 4)
@@ -170,7 +199,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for file, segment, body in zip(batch["file"].to_pylist(), batch["segment"].to_pylist(), batch["body"], strict=True):
                 held.append((file, segment, Body(body.as_py())))
-                if sum(len(b.words) for *_, b in held) >= LANES:
+                if sum(len(b.words) for *_, b in held) >= LANES or len(held) >= MODELS:
                     yield rows()
                     held = []
         if held:

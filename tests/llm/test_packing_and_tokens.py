@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from cornermart.llm import packing, range_coder, token_files, word_tokens
+from cornermart.llm import mixing_coder, packing, range_coder, token_files, word_tokens
 from cornermart.session import scratch
 from tests.llm.conftest import invented
 
@@ -225,3 +225,97 @@ def test_damage_is_found():
         token_files.Body(b"x" * 100)
     with pytest.raises(ValueError, match="65,536"):
         token_files.Segment([1], [np.array([70000])])
+
+
+def by_model(blocks):
+    model = mixing_coder.Model.restored(mixing_coder.Model.of_blocks(blocks).stored())
+    words = mixing_coder.encode(blocks, [model], [0] * len(blocks))
+    return model, words, mixing_coder.decode(words, [len(b) for b in blocks], [model], [0] * len(blocks))
+
+
+@pytest.mark.parametrize("high", [1, 2, 12, 300, 65536])
+def test_one_step_coder_round_trips(high):
+    rng = np.random.default_rng(high)
+    blocks = [rng.integers(0, high, n) for n in (1, 2, 3, 17, 500, 2048)] + [np.full(4096, high - 1)]
+    if high == 65536:
+        blocks.append(np.arange(high))
+    model, words, back = by_model(blocks)
+    assert all(np.array_equal(a, b) for a, b in zip(blocks, back, strict=True))
+    assert np.array_equal(mixing_coder.encode(blocks[3:4], [model], [0])[0], words[3])  # beside its model a block needs no other
+
+
+def test_one_step_intervals_are_whole():
+    """The symbols' intervals lie end to end over the whole, none of an id that occurs is empty, and decoding finds each."""
+    r = np.random.default_rng(7)
+    block = np.where(r.random(4000) < 0.6, 9, r.integers(0, 40, 4000))
+    model = mixing_coder.Model.of_blocks([block])
+    lanes = mixing_coder._Lanes(np.full(50, 4000), mixing_coder._Order0([model], np.zeros(50, int)))
+    for x in block.reshape(-1, 50)[:, :1] + np.arange(50) % 3:
+        x = np.minimum(x, len(model.alphabet) - 1)
+        step = mixing_coder._Step(lanes, 50)
+        end = np.zeros(50, np.int64)
+        for d in range(len(model.alphabet)):
+            begin, size = step.bounds(np.full(50, d))
+            assert (begin == end).all() and (size >= 0).all()
+            some = size > 0
+            assert (step.find(begin)[some] == d).all() and (step.find(begin + size - 1)[some] == d).all()
+            end = begin + size
+        assert (end == 1 << mixing_coder.TOTAL).all()
+        step.bounds(x)
+        step.learn(x)
+
+
+@pytest.mark.parametrize("order", [1, 2])
+def test_order_0_keeps_its_weight(order):
+    """However long one order foretells rightly, what it leaves to order 0 has a bound."""
+    block = np.arange(3)
+    lanes = mixing_coder._Lanes(np.array([4096]), mixing_coder._Order0([mixing_coder.Model.of_blocks([block])], np.zeros(1, int)))
+    for t in range(2000):
+        step = mixing_coder._Step(lanes, 1)
+        step.x1, step.x2 = np.array([1], np.int32), np.array([2], np.int32)
+        step.bounds(np.array([order]))
+        assert int(step.w0[0]) >= 224, t
+        step.learn(np.array([order]))
+        lanes.p1[:], lanes.p2[:] = 0, 0
+
+
+def test_counts_of_a_segment_beat_blocks_alone(library):
+    """One step an id packs tighter than four digits of blocks that know nothing of each other, the model included."""
+    ids = np.array(library(invented(200_000, 3)))
+    blocks = [ids[k : k + range_coder.BLOCK] for k in range(0, len(ids), range_coder.BLOCK)]
+    model, words, _ = by_model(blocks)
+    alone = 4 * sum(len(w) for w in range_coder.encode(blocks))
+    assert 4 * sum(len(w) for w in words) + len(model.stored()) < alone
+
+
+def test_both_versions_are_read_together():
+    def segment(seed):
+        return token_files.Segment([seed], [np.random.default_rng(seed).integers(0, 99, 9000)])
+
+    old, new = segment(1), segment(2)
+    raw = [old.body(range_coder.encode(old.blocks)), *token_files.encoded([new, old])]
+    bodies = [token_files.Body(r) for r in raw]
+    assert [b.model is None for b in bodies] == [True, False, False]
+    for s, body, blocks in zip((old, new, old), bodies, token_files.blocks_of(bodies), strict=True):
+        assert np.array_equal(body.documents(blocks)[0], np.concatenate(s.blocks))
+
+
+def test_damage_of_words_or_model_is_found():
+    ids = np.random.default_rng(3).integers(0, 99, 9000)
+    whole = token_files.encoded([token_files.Segment([7], [ids])])[0]
+    for at, message in ((len(whole) - 40, "damaged"), (len(whole) // 8, "damaged")):
+        broken = bytearray(whole)
+        broken[at] ^= 255
+        with pytest.raises(ValueError, match=message):
+            body = token_files.Body(bytes(broken))
+            body.documents(token_files.blocks_of([body])[0])
+
+
+def test_segments_held_at_once_are_bounded(spark, frame, library, monkeypatch):
+    monkeypatch.setattr(token_files, "SEGMENT", 50)
+    path = scratch(spark, "tokens")
+    token_files.write(frame([(k, invented(40, k)) for k in range(60)]), path)
+    got = {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_files.read(spark, path).collect()}
+    for k in range(60):
+        ids = np.array([*library(invented(40, k)), 1], "<u4")
+        assert got[k] == (len(ids), zlib.crc32(ids.tobytes()))
