@@ -32,13 +32,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import map_arrow
-from .ngram_trie import FINENESS, FINER, Trie, decoded, distinct, summed
+from .ngram_trie import FINENESS, FINER, Trie, decoded, distinct, placed, summed
 
 BATCH_BYTES = 10_000_000  # text in a batch, about
 SHARD_BYTES = 32_000_000  # text for each shard, about
@@ -46,14 +47,6 @@ SHORT = 27  # bits of a hash that pairs and triples do without
 START, END = b"\n<", b"\n>"  # no word holds a line break
 
 
-class Numbers(dict):
-    """Numbers words in the order they are asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = len(self)
-        return len(self) - 1
-
-
 def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5 == 1
 
@@ -62,22 +55,39 @@ def _hashed(words: Collection[bytes]) -> np.ndarray:
     return (np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) >> np.uint64(1)).astype(np.int64)
 
 
+def _numbered(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Distinct words from START and END on, the number of each token's, and the tokens of each text.
+
+    Arrow lowers only A-Z, and splits at U+0020 and U+0009 to U+000D only.
+    """
+    pool = pa.system_memory_pool()  # gives memory back at once; Arrow's own keeps it for the worker's life
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null(""), memory_pool=pool), memory_pool=pool)
+    real = pc.binary_length(lists.values, memory_pool=pool).to_numpy() > 0  # white space at either end leaves an empty one
+    at = lists.offsets.to_numpy()
+    before = np.concatenate([[0], np.cumsum(real, dtype=np.int32)])  # real words before each
+    sizes = np.diff(before[at]).astype(np.int64) + 1
+    del before
+    words = lists.values if real.all() else pc.filter(lists.values, pa.array(real), memory_pool=pool)
+    del lists, real, at
+    found = pc.dictionary_encode(words, memory_pool=pool)
+    del words
+    token = np.ones(int(sizes.sum()), np.int32)
+    inside = np.ones(len(token), bool)
+    inside[np.cumsum(sizes) - 1] = False  # the end
+    token[inside] = found.indices.to_numpy() + 2
+    return [START, END, *found.dictionary.cast(pa.binary()).to_pylist()], token, sizes
+
+
 def _grouped(keys: np.ndarray, weight: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Distinct keys, the place of each key among them, and their weights if there are any."""
-    distinct, place = np.unique(keys, return_inverse=True)
-    return distinct, place.astype(np.int32), None if weight is None else np.bincount(place, weight, len(distinct)).astype(np.int32)
+    distinct, place = placed(keys)
+    return distinct, place, None if weight is None else np.bincount(place, weight, len(distinct)).astype(np.int32)
 
 
 def _triples(u: np.ndarray, t: np.ndarray, w: np.ndarray, m: int, weight: np.ndarray | None) -> tuple:
     """Distinct contexts u * m + t and the place of each token's, then the same of triples and their weights."""
-    if m < 1 << 21:  # three numbers fit into one: a single sort
-        triples, triple_of, count = _grouped((u * m + t) * m + w, weight)
-        whole, third = _split(triples, m)
-        new = np.diff(whole, prepend=-1) > 0
-        number = np.cumsum(new, dtype=np.int64) - 1
-        return whole[new], number[triple_of].astype(np.int32), number * m + third, triple_of, count
-    contexts, context_of = np.unique(u * m + t, return_inverse=True)
-    return contexts, context_of.astype(np.int32), *_grouped(context_of * m + w, weight)
+    contexts, context_of = placed(u * m + t)
+    return contexts, context_of, *_grouped(context_of.astype(np.int64) * m + w, weight)
 
 
 def packed(arrays: list[np.ndarray]) -> bytes:
@@ -152,17 +162,10 @@ class Batch:
     sizes: np.ndarray  # tokens of each document
 
     @classmethod
-    def of(cls, texts: list[bytes], learn: np.ndarray | None, shards: int) -> Batch:
-        number = Numbers({START: 0, END: 1})
-        flat, sizes = [], np.zeros(len(texts), np.int64)
-        for k, text in enumerate(texts):
-            words = text.lower().split()  # of bytes, so only A-Z, and at U+0020 and U+0009 to U+000D only
-            sizes[k] = len(words) + 1
-            flat.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
-            flat.append(np.array([1], np.int32))
-        token = np.concatenate([np.empty(0, np.int32), *flat])
-        hashes = _hashed(number)
-        short, place = np.unique(hashes >> SHORT, return_inverse=True)
+    def of(cls, texts: pa.Array, learn: np.ndarray | None, shards: int) -> Batch:
+        words, token, sizes = _numbered(texts)
+        hashes = _hashed(words)
+        short, place = placed(hashes >> SHORT)
         m = len(short)
         w = place[token].astype(np.int64)
         first = np.cumsum(sizes) - sizes
@@ -173,8 +176,8 @@ class Batch:
         weight = None if learn is None else np.repeat(learn.astype(float), sizes)
         pairs, pair_of, pair_count = _grouped(u * m + w, weight)
         contexts, context_of, triples, triple_of, triple_count = _triples(u, t, w, m, weight)
-        learnt = None if learn is None else np.bincount(token, weight, len(number)).astype(np.int64)
-        del weight, w, t, flat, number
+        learnt = None if learn is None else np.bincount(token, weight, len(words)).astype(np.int64)
+        del weight, w, t, words
         return cls(
             shards, hashes, learnt, short, token, u.astype(np.int32), pairs, pair_of, pair_count, contexts,
             context_of, triples, triple_of, triple_count, sizes,
@@ -284,9 +287,9 @@ class Shard:
             contexts.append(context[learnt]), third.append(at[x][learnt].astype(np.int32)), triple_counts.append(k[learnt].astype(np.int32))
         pairs = summed(pair_keys, pair_counts)
         del pair_keys, pair_counts
-        known, number = np.unique(np.concatenate(contexts), return_inverse=True)
+        known, number = placed(np.concatenate(contexts))
         del contexts
-        key, count = summed([number * m + np.concatenate(third)], [np.concatenate(triple_counts)])
+        key, count = summed([number.astype(np.int64) * m + np.concatenate(third)], [np.concatenate(triple_counts)])
         del number, third, triple_counts
         self.trie = Trie.build(names, pairs, (known[key // m], key % m, count)).mapped()
 
@@ -328,8 +331,7 @@ def _restored(body: bytes) -> pa.RecordBatch:
 
 
 def _content(batch: pa.RecordBatch, shards: int, asking: bool) -> Batch:
-    texts = [t.as_buffer().to_pybytes() if t.is_valid else b"" for t in batch["text"]]
-    return Batch.of(texts, ~batch["held_out"].to_numpy(zero_copy_only=False) if asking else None, shards)
+    return Batch.of(batch["text"], ~batch["held_out"].to_numpy(zero_copy_only=False) if asking else None, shards)
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.RecordBatch]:

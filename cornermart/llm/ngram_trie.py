@@ -47,12 +47,40 @@ def distinct(values: np.ndarray) -> np.ndarray:
     return values[np.flatnonzero(np.diff(values, prepend=-1))]
 
 
+def placed(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, sorted, and the place of each key among them."""
+    n = len(keys)
+    bits = n.bit_length()
+    if int(keys.max(initial=0)).bit_length() + bits < 64:  # key and number fit into one
+        both = keys << bits
+        both |= np.arange(n)
+        both.sort()
+        keys = both >> bits
+        both &= (1 << bits) - 1
+        order = both
+    else:
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+    new = np.diff(keys, prepend=-1) > 0
+    place = np.empty(n, np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - np.int32(1)
+    return keys[new], place
+
+
 def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, sorted, with the sums of their counts; only those counted at all."""
     key, count = np.concatenate([np.empty(0, np.int64), *keys]), np.concatenate([np.empty(0, np.int64), *counts])
     key, count = key[count > 0], count[count > 0]
-    order = np.argsort(key, kind="stable")
-    key, count = key[order], count[order]
+    bits = int(count.max(initial=0)).bit_length()
+    if int(key.max(initial=0)).bit_length() + bits < 64:  # both fit into one number: sorted without an order, which is faster
+        key <<= bits
+        key |= count
+        key.sort()
+        count = key & ((1 << bits) - 1)
+        key >>= bits
+    else:
+        order = np.argsort(key, kind="stable")
+        key, count = key[order], count[order]
     first = np.flatnonzero(np.diff(key, prepend=-1))
     return key[first], np.add.reduceat(count, first) if len(first) else count
 

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cornermart.llm import lm_score, ngram_trie
@@ -146,3 +147,27 @@ def test_shares_are_rounded_down_in_order():
         back = ngram_trie.decoded(ngram_trie.coded(share, fineness), fineness)
         assert (back <= share * (1 + 1e-6)).all() and (back >= share * 2 ** (-1 / fineness)).all()
     assert ngram_trie.decoded(ngram_trie.coded(np.zeros(1), 16), 16) == 0
+
+
+def test_words_are_numbered_as_bytes_are_split():
+    texts = ["The cat THE Cat", None, "", " \n\t ", " lead trail ", "É é\x1cx\x0by\x0cz\u2003w\x85\xa0v", "a\x00b A\x00B"]
+    for some in (texts, texts[:1], [], [None]):
+        words, token, sizes = lm_score._numbered(pa.array(some, pa.string()))
+        plain = [(t or "").encode().lower().split() for t in some]
+        assert sizes.tolist() == [len(p) + 1 for p in plain] and len(set(words)) == len(words)
+        assert [words[k] for k in token] == [w for p in plain for w in [*p, lm_score.END]]
+
+
+def test_packed_sorts_equal_plain_ones():
+    r = np.random.default_rng(4)
+    for top in (1, 50, 1 << 30, 1 << 62):  # the largest don't fit beside their number
+        for n in (0, 1, 500):
+            keys, counts = r.integers(0, top, n), r.integers(0, 9, n)
+            distinct, place = ngram_trie.placed(keys)
+            want, inverse = np.unique(keys, return_inverse=True)
+            assert np.array_equal(distinct, want) and np.array_equal(place, inverse)
+            before = keys.copy()
+            key, count = ngram_trie.summed([keys[: n // 2], keys[n // 2 :]], [counts[: n // 2], counts[n // 2 :]])
+            sums = np.bincount(inverse, counts, len(want)).astype(int)
+            assert np.array_equal(key, want[sums > 0]) and np.array_equal(count, sums[sums > 0])
+            assert np.array_equal(keys, before)
