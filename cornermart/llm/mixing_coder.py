@@ -34,8 +34,9 @@ TOTAL = BITS + SCALE  # bits of the mixed distribution
 PACE = 4  # weights move by a 16th
 GAIN = 1008  # what a right prediction gains: weights stay below 16 * GAIN + 32, so that order 0 keeps 224 at least
 CONTEXTS = 2 * (SURE + 1) ** 2  # two confidences, and whether both foretell the same id
-#: By confidence and whether it was right, confidence * 65,536 afterwards; 0 where the id gives way to the one that came.
-AFTER = np.array([c << 16 for k in range(SURE + 1) for c in (k >> 1, min(k + 1, SURE) if k else 0)], np.int32)
+UNIT = 1 << 17  # a confidence of 1 in the tables
+#: By confidence and whether it was right, confidence * UNIT afterwards; 0 where the id gives way to the one that came.
+AFTER = np.array([c * UNIT for k in range(SURE + 1) for c in (k >> 1, min(k + 1, SURE) if k else 0)], np.int32)
 SMALL, WORD, HALF, BTOTAL = U(1 << 32), U(0xFFFFFFFF), U(32), U(TOTAL)
 
 
@@ -90,7 +91,11 @@ class Model:
             raise ValueError("a segment's model is damaged")
         self.start = np.zeros((CLASSES, n + 1), np.int32)
         np.cumsum(counts, axis=1, out=self.start[:, 1:])
-        self.slot = np.repeat(np.tile(np.arange(n, dtype=np.uint16), CLASSES), counts.ravel())
+
+    def slots(self) -> np.ndarray:
+        """The id that has each of a class's counts, class by class."""
+        n = len(self.alphabet)
+        return np.repeat(np.tile(np.arange(n, dtype=np.uint16), CLASSES), np.diff(self.start, axis=1).ravel())
 
     @classmethod
     def of_blocks(cls, blocks: list[np.ndarray]) -> Model:
@@ -108,6 +113,14 @@ class Model:
         counts[np.arange(CLASSES), seen.argmax(1)] += (1 << SCALE) - counts.sum(1)
         return cls(alphabet, of.astype(np.uint8), counts)
 
+    def spans(self) -> np.ndarray:
+        """Begin and count of each id in each class, two 32-bit numbers side by side in one of 64."""
+        return np.stack((self.start[:, :-1], np.diff(self.start, axis=1)), axis=-1).view(np.int64).ravel()
+
+    def packed(self) -> np.ndarray:
+        """Begin, and above it count less 1, as 32-bit numbers; of use for ids that occur in the class."""
+        return (self.start[:, :-1] + ((np.diff(self.start, axis=1) - 1) << 16)).view(np.uint32).ravel()
+
     def stored(self) -> bytes:
         """Number of ids, crc32 of the rest, gaps of the ids, classes, and counts of each class with those that aren't 0."""
         counts = np.diff(self.start, axis=1)
@@ -139,170 +152,202 @@ class _Order0:
 
     def __init__(self, models: list[Model], of_lane: np.ndarray):
         sizes = np.array([len(m.alphabet) for m in models])
-        self.start = np.concatenate([m.start.ravel() for m in models]).astype(np.int64)
-        self.slot = np.concatenate([m.slot for m in models])
-        at = np.cumsum(CLASSES * (sizes + 1)) - CLASSES * (sizes + 1)
-        self.row = np.concatenate([a + m.of.astype(np.int64) * (n + 1) for a, m, n in zip(at, models, sizes, strict=True)])
-        self.cell = np.concatenate([(k * CLASSES + m.of.astype(np.int64)) << SCALE for k, m in enumerate(models)])
+        self.span = np.concatenate([m.spans() for m in models])
+        self.slot = np.concatenate([m.slots() for m in models])
+        at = CLASSES * (np.cumsum(sizes) - sizes)
+        of = [m.of.astype(np.int32) for m in models]
+        row = np.concatenate([a + o * n for a, o, n in zip(at.tolist(), of, sizes.tolist(), strict=True)])
+        cell = np.concatenate([(k * CLASSES + o) << SCALE for k, o in enumerate(of)])
+        self.place = np.stack((row, cell), axis=-1).view(np.int64).ravel()  # gathered together
         self.symbols = (np.cumsum(sizes) - sizes)[of_lane]
 
 
 class _Lanes:
     """Predictions, weights and coder state of all lanes; lanes are ordered by falling length."""
 
-    def __init__(self, lengths: np.ndarray, order0: _Order0):
+    def __init__(self, lengths: np.ndarray, order0: _Order0 | None):
         n = len(lengths)
-        self.lengths, self.order0 = lengths, order0
-        self.last1, self.last2 = np.zeros(n * ROW1, np.int32), np.zeros(n * ROW2, np.int32)  # symbol + 65,536 * confidence
+        self.order0 = order0
+        self.active = np.searchsorted(-lengths, -np.arange(int(lengths[0])), "left").tolist()  # lanes at each step
+        self.last = np.zeros(n * (ROW1 + ROW2), np.int32)  # symbol + UNIT * confidence, order 1 of all lanes, then order 2
         self.weight = np.tile(WEIGHTS, n)
-        lane = np.arange(n)
-        self.at1, self.at2, self.at_weight = lane * ROW1, lane * ROW2, lane * CONTEXTS
-        self.p1, self.p2 = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        lane = np.arange(n, dtype=np.int32)
+        self.begin, self.at_weight = np.stack((lane * ROW1, n * ROW1 + lane * ROW2)), lane.astype(np.int64) * CONTEXTS
+        self.p1, self.p2 = np.zeros(n, np.int32), np.zeros(n, np.int32)
         self.low, self.range = np.zeros(n, U), np.full(n, ~U(0))
 
-    def active(self, t: int) -> int:
-        return int(np.searchsorted(-self.lengths, -t, "left"))
-
 
 class _Step:
-    """The mixed distribution of the next symbol in the first ``m`` lanes."""
+    """The mixed distribution of the next symbol in the first ``m`` lanes.
+
+    Arrays of two rows hold what order 1 (first) and order 2 foretell; all numbers but the coder's have 32 bits.
+    """
 
     def __init__(self, s: _Lanes, m: int):
         self.s, self.m = s, m
         p1 = s.p1[:m]
-        self.i1 = p1 & (ROW1 - 1)
-        self.i1 += s.at1[:m]
-        self.i2 = p1 * 40503
-        self.i2 += s.p2[:m]
-        self.i2 >>= 3
-        self.i2 &= ROW2 - 1
-        self.i2 += s.at2[:m]
-        e1, e2 = s.last1.take(self.i1), s.last2.take(self.i2)
-        self.x1, self.x2 = e1 & 0xFFFF, e2 & 0xFFFF
-        e1 >>= 16
-        e1 <<= 1
-        e2 >>= 16
-        e2 <<= 1
-        self.sure1, self.sure2 = e1, e2  # twice the confidences
-        context = e2 << 3
-        context += e1
-        context += self.x1 == self.x2
-        self.context = s.at_weight[:m] + context
+        at = np.empty((2, m), np.int32)
+        np.bitwise_and(p1, ROW1 - 1, out=at[0])
+        mixed = np.multiply(p1, 40503, out=at[1])  # may run over; the bits used are right
+        mixed += s.p2[:m]
+        mixed >>= 3
+        mixed &= ROW2 - 1
+        at += s.begin[:, :m]
+        self.at = at.astype(np.int64)
+        entry = s.last.take(self.at)
+        self.known = entry & 0xFFFF
+        entry >>= 16
+        self.sure = entry  # twice the confidences
+        self.same = self.known[0] == self.known[1]
+        context = entry[1] << 3
+        context += entry[0]
+        context += self.same
+        self.context = context + s.at_weight[:m]
         self.w = s.weight.take(self.context)
-        w1, w2 = self.w >> 16, self.w & 0xFFFF
-        self.w0 = np.subtract((1 << BITS) - w1, w2, dtype=np.int64)
-        self.big1, self.big2 = w1.astype(np.int64), w2.astype(np.int64)
-        self.big1 <<= SCALE
-        self.big2 <<= SCALE
-        self.before = p1 + s.order0.symbols[:m]
-        self.row = s.order0.row.take(self.before)
-
-    def bounds(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Begin and size of the symbol's interval, of 2 ** TOTAL."""
-        at = self.row + x
-        begin = self.s.order0.start.take(at)
-        at += 1
-        size = self.s.order0.start.take(at)
-        size -= begin
-        begin *= self.w0
-        size *= self.w0
-        self.hit1, self.hit2 = x == self.x1, x == self.x2
-        size += self.big1 * self.hit1
-        size += self.big2 * self.hit2
-        begin += self.big1 * (x > self.x1)
-        begin += self.big2 * (x > self.x2)
+        self.big = np.empty((2, m), np.int32)
+        np.bitwise_and(self.w, -1 << SCALE, out=self.big[0])
+        np.left_shift(self.w, SCALE, out=self.big[1])  # the other weight is shifted out
+        self.w0 = (1 << TOTAL) - self.big[0]
+        self.w0 -= self.big[1]
+        self.w0 >>= SCALE
+        if s.order0 is not None:
+            place = s.order0.place.take(p1 + s.order0.symbols[:m])
+            self.row, self.cell = place & 0xFFFFFFFF, place >> 32
+
+    @property
+    def x1(self) -> np.ndarray:
+        return self.known[0]
+
+    @x1.setter
+    def x1(self, x: np.ndarray) -> None:
+        self.known[0] = x
+
+    @property
+    def x2(self) -> np.ndarray:
+        return self.known[1]
+
+    @x2.setter
+    def x2(self, x: np.ndarray) -> None:
+        self.known[1] = x
+
+    def bounds(self, x: np.ndarray, span: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Begin and size of the symbol's interval, of 2 ** TOTAL; ``span`` has those in order 0, if known."""
+        if span is None:
+            parts = self.s.order0.span.take(self.row + x).view(np.int32)
+            span = parts[::2], parts[1::2]
+        begin, size = span[0] * self.w0, span[1] * self.w0
+        self.hit = (x == self.known).astype(np.int32)
+        share = self.big * self.hit
+        size += share[0]
+        size += share[1]
+        np.multiply(self.big, x > self.known, out=share)
+        begin += share[0]
+        begin += share[1]
         return begin, size
 
     def find(self, value: np.ndarray) -> np.ndarray:
         """The symbol in whose interval ``value`` is."""
-        start = self.s.order0.start
-        left, found = value.copy(), []
-        for x, big, other, other_big in ((self.x1, self.big1, self.x2, self.big2), (self.x2, self.big2, self.x1, self.big1)):
-            at = self.row + x
-            begin = start.take(at)
-            at += 1
-            end = start.take(at)
-            begin *= self.w0
-            end *= self.w0
-            end += big
-            begin += other_big * (x > other)
-            end += other_big * (x >= other)
-            above = value >= end
-            left -= big * above
-            found.append((value >= begin) > above)
-        left //= self.w0
+        order0, known, big = self.s.order0, self.known, self.big
+        parts = order0.span.take(known + self.row).view(np.int32)
+        begin, end = parts[:, ::2] * self.w0, parts[:, 1::2] * self.w0
+        begin += big[::-1] * (known > known[::-1])
+        end += begin
+        end += big
+        end += big[::-1] * self.same
+        above = value >= end
+        taken = big * above
+        left = value - taken[0]
+        left -= taken[1]
+        left = (left / self.w0).astype(np.int64)  # exact: the numbers are far below 2 ** 53
         np.minimum(left, (1 << SCALE) - 1, out=left)
-        left += self.s.order0.cell.take(self.before)
-        x = self.s.order0.slot.take(left).astype(np.int64)
-        np.copyto(x, self.x2, where=found[1])
-        np.copyto(x, self.x1, where=found[0])
+        left += self.cell
+        x = order0.slot.take(left).astype(np.int32)
+        found = (value >= begin) > above
+        np.copyto(x, known[1], where=found[1])
+        np.copyto(x, known[0], where=found[0])
         return x
 
     def learn(self, x: np.ndarray) -> None:
         """Weights move towards the prediction that was right, order 2 before order 1; confidence grows, or is halved."""
-        s, m = self.s, self.m
+        s, m, hit = self.s, self.m, self.hit
         fade = self.w >> PACE
         fade &= 0x0FFF0FFF  # of both weights at once
         w = self.w
         w -= fade
-        w += self.hit2 * np.int32(GAIN)
-        w += (self.hit1 > self.hit2) * np.int32(GAIN << 16)
+        w += hit[1] * GAIN
+        w += (hit[0] > hit[1]) * np.int32(GAIN << 16)
         s.weight[self.context] = w
-        fresh = x.astype(np.int32)
-        fresh += 65536
-        for table, at, known, sure, hit in ((s.last1, self.i1, self.x1, self.sure1, self.hit1), (s.last2, self.i2, self.x2, self.sure2, self.hit2)):
-            sure += hit
-            after = AFTER.take(sure)
-            gone = after == 0
-            after += known
-            np.copyto(after, fresh, where=gone)
-            table[at] = after
+        self.sure += hit
+        after = AFTER.take(self.sure.astype(np.int64))
+        change = x - self.known  # where the id gives way
+        change += UNIT
+        change *= after == 0
+        after += self.known
+        after += change
+        s.last[self.at] = after
         s.p2[:m] = s.p1[:m]
         s.p1[:m] = x
 
 
 def _cut(low: np.ndarray, rng: np.ndarray, small: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Low and range of lanes whose range is small, the range ending at the word border at most."""
-    a, r = low[small], rng[small]
-    crosses = ((a ^ (a + r)) >> HALF) != 0
+    a, r = low.take(small), rng.take(small)
+    crosses = (a ^ (a + r)) > WORD
     return a, np.where(crosses, (~a + U(1)) & WORD, r)
 
 
+def _in_steps(rows: np.ndarray) -> np.ndarray:
+    """One row per step instead of one per lane, copied in squares that stay in the cache."""
+    n, longest = rows.shape
+    out = np.empty((longest, n), rows.dtype)
+    for k in range(0, n, 64):
+        for t in range(0, longest, 64):
+            out[t : t + 64, k : k + 64] = rows[k : k + 64, t : t + 64].T
+    return out
+
+
 def encode(blocks: list[np.ndarray], models: list[Model], model_of: list[int]) -> list[np.ndarray]:
     """The 32-bit words of each block, by the model that its number in ``model_of`` names."""
     if not blocks:
         return []
     order = np.argsort([-len(b) for b in blocks], kind="stable")
     lengths = np.array([len(blocks[k]) for k in order])
-    s = _Lanes(lengths, _Order0(models, np.array(model_of)[order]))
+    s = _Lanes(lengths, None)
     n, longest = len(blocks), int(lengths[0])
-    number = [numbers(m.alphabet) for m in models]
-    rows = np.zeros((n, longest), np.uint16)
-    for row, k in zip(rows, order, strict=True):
-        row[: len(blocks[k])] = number[model_of[k]].take(blocks[k])
-    symbols = np.ascontiguousarray(rows.T)
-    out, used = np.zeros((n, longest + 8), np.uint32), np.zeros(n, np.int64)
-    for t in range(longest):
-        m = s.active(t)
-        x = symbols[t, :m].astype(np.int64)
+    number, span = [numbers(m.alphabet) for m in models], [m.packed() for m in models]
+    row = [m.of.astype(np.int64) * len(m.alphabet) for m in models]
+    rows, spans = np.zeros((n, longest), np.uint16), np.zeros((n, longest), np.uint32)
+    for lane, k in enumerate(order):  # order 0 needs no other lane and no earlier step
+        size, j = lengths[lane], model_of[k]
+        x = rows[lane, :size] = number[j].take(blocks[k])
+        before = np.zeros(size, np.int64)
+        before[1:] = x[:-1]
+        spans[lane, :size] = span[j].take(row[j].take(before) + x)
+    symbols, spans = _in_steps(rows), _in_steps(spans)
+    out, lanes = [], []
+    for t, m in enumerate(s.active):
+        x = symbols[t, :m].astype(np.int32)
         step = _Step(s, m)
         low, rng = s.low[:m], s.range[:m]
-        begin, size = step.bounds(x)
+        span = spans[t, :m]
+        begin, size = step.bounds(x, ((span & 0xFFFF).view(np.int32), ((span >> 16) + np.uint32(1)).view(np.int32)))
         rng >>= BTOTAL
-        low += rng * begin.view(U)
-        rng *= size.view(U)
+        low += rng * begin.view(np.uint32)
+        rng *= size.view(np.uint32)
         step.learn(x)
         small = np.flatnonzero(rng < SMALL)
         if len(small):
             a, r = _cut(low, rng, small)
-            out[small, used[small]] = a >> HALF
-            used[small] += 1
+            out.append((a >> HALF).astype(np.uint32)), lanes.append(small)
             low[small], rng[small] = a << HALF, r << HALF
-    lane = np.arange(n)
-    out[lane, used], out[lane, used + 1] = s.low >> HALF, s.low & WORD
+    for last in (s.low >> HALF, s.low & WORD):
+        out.append(last.astype(np.uint32)), lanes.append(np.arange(n))
+    lane = np.concatenate(lanes).astype(np.uint16 if n <= 1 << 16 else np.uint32)
+    coded = np.concatenate(out).take(np.argsort(lane, kind="stable"))
+    ends = np.cumsum(np.bincount(lane, minlength=n))
     words: list[np.ndarray] = [np.empty(0, np.uint32)] * n
-    for at_lane, k in enumerate(order):
-        words[k] = out[at_lane, : used[at_lane] + 2].copy()
+    for own, k in zip(np.split(coded, ends[:-1]), order, strict=True):
+        words[k] = own
     return words
 
 
@@ -314,30 +359,31 @@ def decode(words: list[np.ndarray], lengths: list[int], models: list[Model], mod
     size = np.array([lengths[k] for k in order])
     s = _Lanes(size, _Order0(models, np.array(model_of)[order]))
     n, longest = len(words), int(size[0])
-    read = np.zeros((n, max(len(w) for w in words) + 2), np.uint32)
-    for lane, k in enumerate(order):
-        read[lane, : len(words[k])] = words[k]
-    code, used = (read[:, 0].astype(U) << HALF) | read[:, 1], np.full(n, 2, np.int64)
+    read = np.concatenate([words[k] for k in order])
+    ends = np.cumsum([len(words[k]) for k in order])
+    used = ends - [len(words[k]) for k in order]
+    code = (read.take(used).astype(U) << HALF) | read.take(used + 1, mode="clip")
+    used += 2
     symbols = np.zeros((longest, n), np.uint16)
-    most = read.shape[1] - 1
-    for t in range(longest):
-        m = s.active(t)
+    for t, m in enumerate(s.active):
         step = _Step(s, m)
         low, rng, value = s.low[:m], s.range[:m], code[:m]
         rng >>= BTOTAL
-        x = step.find(np.minimum((value - low) // rng, U((1 << TOTAL) - 1)).view(np.int64))
+        x = step.find(np.minimum((value - low) // rng, U((1 << TOTAL) - 1)).astype(np.int32))
         begin, width = step.bounds(x)
-        low += rng * begin.view(U)
-        rng *= width.view(U)
+        low += rng * begin.view(np.uint32)
+        rng *= width.view(np.uint32)
         step.learn(x)
         small = np.flatnonzero(rng < SMALL)
         if len(small):
             a, r = _cut(low, rng, small)
-            value[small] = (value[small] << HALF) | read[small, np.minimum(used[small], most)]
-            used[small] += 1
+            at = used.take(small)
+            value[small] = (value.take(small) << HALF) | read.take(at, mode="clip")  # a damaged block may read on
+            at += 1
+            used[small] = at
             low[small], rng[small] = a << HALF, r << HALF
         symbols[t, :m] = x
     out: list[np.ndarray] = [np.empty(0, np.int32)] * n
-    for row, k in zip(np.ascontiguousarray(symbols.T), order, strict=True):
+    for row, k in zip(_in_steps(symbols), order, strict=True):
         out[k] = models[model_of[k]].alphabet.take(row[: lengths[k]]).astype(np.int32)
     return out

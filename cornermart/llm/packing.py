@@ -38,12 +38,12 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
     the pieces of its length in that part). Must be written once before use: parts are tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode
+        words = encoder(vocabulary)
         part, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                ids = np.append(encode(text.as_py()), END_ID).astype("<u4")
+            for doc_id, own_ids in zip(batch["doc_id"].to_pylist(), words.documents(batch["text"], END_ID), strict=True):
+                ids = own_ids.astype("<u4")
                 for piece, start in enumerate(range(0, len(ids), capacity)):
                     own = ids[start : start + capacity]
                     rows.append((doc_id, piece, start, len(own), zlib.crc32(own.tobytes()), part, seen[len(own)]))

@@ -138,7 +138,7 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
     vocabulary = vocabulary or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, file, number = encoder(vocabulary).encode, TaskContext.get().partitionId(), 0
+        words, file, number = encoder(vocabulary), TaskContext.get().partitionId(), 0
         held: list[Segment] = []
 
         def rows(number: int) -> pa.RecordBatch:
@@ -153,8 +153,7 @@ def write(docs: DataFrame, path: str, vocabulary: str | None = None) -> None:
 
         doc_ids, ids, size = [], [], 0
         for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-                own = np.append(encode(text.as_py()), END_ID)
+            for doc_id, own in zip(batch["doc_id"].to_pylist(), words.documents(batch["text"], END_ID), strict=True):
                 doc_ids.append(doc_id), ids.append(own)
                 size += len(own)
                 if size >= SEGMENT:

@@ -4,6 +4,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -319,3 +320,41 @@ def test_segments_held_at_once_are_bounded(spark, frame, library, monkeypatch):
     for k in range(60):
         ids = np.array([*library(invented(40, k)), 1], "<u4")
         assert got[k] == (len(ids), zlib.crc32(ids.tobytes()))
+
+
+def test_batches_equal_the_library(library):
+    """A batch of texts at once: parts that end in marks, letters of every Latin block, nulls, an array cut from another."""
+    r = random.Random(8)
+    letters = [chr(c) for c in range(0x20, 0x300)] + list("Σσςẞ漢字🙂")
+    odd = ["".join(r.choice(letters) for _ in range(r.randint(1, 3))) + "".join(r.choice("&.'#|>_") for _ in range(r.randint(0, 4))) for _ in range(3000)]
+    texts = [" ".join(odd[k : k + 7]) for k in range(0, 3000, 7)] + ["a" + c for c in letters] + [None, "", " ", "<|endoftext|>.", invented(500, 2)]
+    got = word_tokens.WordEncoder(PATH).documents(pa.array(["cut off", *texts]).slice(1), 1)
+    assert len(got) == len(texts)
+    for t, ids in zip(texts, got, strict=True):
+        assert ids.tolist() == [*library(t), 1], t
+
+
+def test_new_words_of_a_batch_are_one_call(monkeypatch):
+    """The library is asked once for the ASCII words of a batch, and not again for known ones."""
+    encoder, asked = word_tokens.WordEncoder(PATH), []
+    spelled = encoder._spelled
+    monkeypatch.setattr(encoder, "_spelled", lambda words: asked.append(len(words)) or spelled(words))
+    texts = pa.array([invented(400, k) for k in range(20)])
+    distinct = {w.rstrip(".").lower() for t in texts.to_pylist() for w in t.split()}
+    first = encoder.documents(texts, 1)
+    assert asked == [len(distinct)]
+    assert all(np.array_equal(a, b) for a, b in zip(first, encoder.documents(texts, 1), strict=True)) and len(asked) == 1
+
+
+def test_unknown_ends_of_pieces_are_asked_whole(library):
+    """Where the ends of pieces can't be told from the ids, each word is asked for by itself."""
+    encoder = word_tokens.WordEncoder(PATH)
+    encoder.ends_piece[:] = False
+    text = invented(200, 4)
+    assert encoder.encode(text).tolist() == library(text)
+
+
+def test_bytes_of_a_segment_stay():
+    """Files written before are read, and the same ids give the same bytes."""
+    raw = token_files.encoded([token_files.Segment([7], [np.arange(20_000) ** 2 % 997 % 400])])[0]
+    assert (len(raw), zlib.crc32(raw)) == (12242, 1352323847)
