@@ -37,7 +37,8 @@ from .word_tokens import encoder, vocabulary_path
 END_ID = 1
 SEGMENT = 1 << 20  # ids after which a segment ends with the document
 LANES = 2048  # blocks coded in lock step, about
-MODELS = 12  # segments held at once at most
+READ_LANES = 4096  # blocks of version 3 decoded so: they take less memory
+MODELS = 12  # segments held at once at most, twice as many when read
 MAGIC, VERSION = b"CMTF", 3
 HEAD = struct.Struct("<4sHII")
 FILE_SCHEMA = "file int, segment int, n_docs int, n_ids bigint, body binary"
@@ -99,9 +100,9 @@ class Body:
         return np.split(np.concatenate(blocks), np.cumsum(self.sizes)[:-1])
 
 
-def _in_lanes(items: list, coder) -> list:
-    """``coder`` over the columns of all items, about LANES at a time, in parts of like size."""
-    out, parts = [], max(1, round(len(items) / LANES))
+def _in_lanes(items: list, coder, lanes: int) -> list:
+    """``coder`` over the columns of all items, about ``lanes`` at a time, in parts of like size."""
+    out, parts = [], max(1, round(len(items) / lanes))
     for k in range(parts):
         part = items[k * len(items) // parts : (k + 1) * len(items) // parts]
         out += coder(*map(list, zip(*part, strict=True))) if part else []
@@ -112,7 +113,7 @@ def encoded(segments: list[Segment]) -> list[bytes]:
     """The bytes of each segment."""
     models = [mixing_coder.Model.of_blocks(s.blocks) for s in segments]
     blocks = [(b, k) for k, s in enumerate(segments) for b in s.blocks]
-    words = iter(_in_lanes(blocks, lambda own, of: mixing_coder.encode(own, models, of)))
+    words = iter(_in_lanes(blocks, lambda own, of: mixing_coder.encode(own, models, of), LANES))
     return [s.body([next(words) for _ in s.blocks], m.stored()) for s, m in zip(segments, models, strict=True)]
 
 
@@ -127,7 +128,7 @@ def blocks_of(bodies: list[Body]) -> list[list[np.ndarray]]:
         def coder(words: list[np.ndarray], sizes: list[int], of: list[int]) -> list[np.ndarray]:
             return range_coder.decode(words, sizes) if models[0] is None else mixing_coder.decode(words, sizes, models, of)  # noqa: B023
 
-        blocks = iter(_in_lanes(coded, coder))
+        blocks = iter(_in_lanes(coded, coder, LANES if version == 2 else READ_LANES))
         for k in some:
             out[k] = [next(blocks) for _ in bodies[k].words]
     return out
@@ -198,7 +199,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for file, segment, body in zip(batch["file"].to_pylist(), batch["segment"].to_pylist(), batch["body"], strict=True):
                 held.append((file, segment, Body(body.as_py())))
-                if sum(len(b.words) for *_, b in held) >= LANES or len(held) >= MODELS:
+                if sum(len(b.words) for *_, b in held) >= READ_LANES or len(held) >= 2 * MODELS:
                     yield rows()
                     held = []
         if held:
